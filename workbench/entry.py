@@ -18,11 +18,13 @@ GRID = 2**30
 
 @dataclass(frozen=True)
 class Entry:
-    """``floats`` names the columns that come from floating-point sums."""
+    """``floats`` names the columns that come from floating-point sums, ``grid``
+    how many steps per unit they are compared on (coarser for large sums)."""
 
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
     floats: Sequence[str] = ()
+    grid: int = GRID
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.run(configure(spark), sf_dir)
@@ -30,7 +32,7 @@ class Entry:
         for field in df.schema:
             col = F.col(f"`{field.name}`")
             if field.name in self.floats:
-                col = F.floor(col * F.lit(float(GRID)) + F.lit(0.5)) / F.lit(float(GRID))
+                col = F.floor(col * F.lit(float(self.grid)) + F.lit(0.5)) / F.lit(float(self.grid))
             elif isinstance(field.dataType, T.TimestampType):
                 col = col.cast("timestamp_ntz")
             columns.append(col.alias(field.name))
@@ -41,7 +43,7 @@ class Entry:
             return None
         if not self.floats:
             return self.sql
-        grid = f"CAST({GRID} AS DOUBLE)"
+        grid = f"CAST({self.grid} AS DOUBLE)"
         rounded = ", ".join(
             f'floor("{c}" * {grid} + CAST(0.5 AS DOUBLE)) / {grid} AS "{c}"' for c in self.floats
         )

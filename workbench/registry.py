@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .entry import Entry
 
-SECTIONS = ["scalars", "questions"]
+SECTIONS = ["scalars", "relational", "questions"]
 
 
 def all_entries() -> dict[str, Entry]:
