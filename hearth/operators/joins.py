@@ -77,6 +77,7 @@ def validity_join(
     carry: Sequence[str],
     keys: Sequence[tuple[str, str]] = (),
     max_rows: int = SMALL_ROWS,
+    bounds: tuple | None = None,
 ) -> DataFrame:
     """Versions valid on the fact's day, ``start <= day <= end``.
 
@@ -84,7 +85,7 @@ def validity_join(
     :func:`validity_join_bucketed`, with the same result.
     """
     if not fits(dim, max_rows):
-        return validity_join_bucketed(fact, dim, day, start, end, carry=carry, keys=keys)
+        return validity_join_bucketed(fact, dim, day, start, end, carry=carry, keys=keys, bounds=bounds)
     versions = F.broadcast(_versions(dim, start, end, keys, carry))
     valid = F.col(day).between(F.col("_from"), F.col("_to"))
     return fact.join(versions, _all([*_same_keys(keys), valid])).select(*fact.columns, *carry)
@@ -100,19 +101,27 @@ def validity_join_bucketed(
     carry: Sequence[str],
     keys: Sequence[tuple[str, str]] = (),
     bucket_days: int = BUCKET_DAYS,
+    bounds: tuple | None = None,
 ) -> DataFrame:
     """Validity join as an equi join on keys and day bucket.
 
     Each version is repeated once per bucket it touches inside the fact's own
     date range, so an open end costs nothing. Buckets also spread a hot key
-    over many shuffle partitions.
+    over many shuffle partitions. ``bounds`` gives the first and last fact day
+    when they are known; a streaming fact needs them.
     """
     width = F.lit(bucket_days)
-    span = fact.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("span")).scalar()
+    if bounds is not None:
+        lowest, highest = (F.lit(b).cast("date") for b in bounds)
+    elif fact.isStreaming:
+        raise ValueError("a large dimension needs the day bounds of a streaming fact")
+    else:
+        span = fact.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("span")).scalar()
+        lowest, highest = span.getField("lo"), span.getField("hi")
     bucket = lambda col: F.floor(F.unix_date(col) / width)
     versions = _versions(dim, start, end, keys, carry)
-    first = F.greatest(F.col("_from"), span.getField("lo"))
-    last = F.least(F.col("_to"), span.getField("hi"))
+    first = F.greatest(F.col("_from"), lowest)
+    last = F.least(F.col("_to"), highest)
     touched = F.when(first <= last, F.sequence(bucket(first), bucket(last)))
     repeated = versions.withColumn("_bucket", F.explode(touched))
     placed = fact.withColumn("_fact_bucket", bucket(F.col(day)))

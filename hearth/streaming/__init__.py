@@ -1,6 +1,7 @@
 """The hourly load as Structured Streaming."""
 
 from .readings import (
+    append_sink,
     dedup_stream,
     drain,
     enrich_stream,
@@ -12,6 +13,7 @@ from .readings import (
 )
 
 __all__ = [
+    "append_sink",
     "dedup_stream",
     "drain",
     "enrich_stream",

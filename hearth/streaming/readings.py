@@ -72,11 +72,23 @@ def last_state_stream(observations: DataFrame, delay: str, value: str = "conditi
     )
 
 
-def enrich_stream(hourly: DataFrame, dim_device: DataFrame, holidays: DataFrame, ts: str) -> DataFrame:
-    """Device version and holiday flag from static tables."""
-    dated = hourly.withColumn("_day", local_date(F.col(ts)))
+def enrich_stream(
+    rows: DataFrame, dim_device: DataFrame, holidays: DataFrame, ts: str, *, bounds: tuple | None = None
+) -> DataFrame:
+    """Device version and holiday flag from static tables.
+
+    ``bounds`` (first and last day to expect) is only needed for a device table
+    too large to broadcast.
+    """
+    dated = rows.withColumn("_day", local_date(F.col(ts)))
     with_device = validity_join(
-        dated, dim_device, "_day", "InstallationDate", "ValidTo", carry=["DeviceKey", "Brand", "Model"]
+        dated,
+        dim_device,
+        "_day",
+        "InstallationDate",
+        "ValidTo",
+        carry=["DeviceKey", "Brand", "Model"],
+        bounds=bounds,
     )
     days = holidays.select(F.to_date("timestamp").alias("day"))
     return flag_join(with_device, days, "_day", "IsHoliday").drop("_day")
@@ -95,6 +107,19 @@ def upsert_interval_sink(table: str, ts: str, keys: Sequence[str]) -> Callable[[
     return write
 
 
+def append_sink(table: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that keeps each batch in a folder of its own.
+
+    The folder is named by the batch id and overwritten, so a replay of a batch
+    does not append it twice.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch_id={batch_id}")
+
+    return write
+
+
 def upsert_result_sink(table: str, hour: str = "hour_start") -> Callable[[DataFrame, int], None]:
     """Sink for update-mode hourly results: the newest result of an hour wins."""
     return upsert_interval_sink(table, hour, [hour])

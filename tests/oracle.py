@@ -87,6 +87,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -105,7 +106,7 @@ def main() -> None:
             else:
                 problem, rows = None, df.count()
         except Exception as error:  # noqa: BLE001 - report and go on
-            problem = f"{type(error).__name__}: {str(error)[:600]}"
+            problem = f"{type(error).__name__}: {str(error)[:600]}".replace("\n", " ")
         bad += problem is not None
         mark = "ok  " if problem is None else "FAIL"
         print(f"{mark} {name} {time.time() - begin:.2f}s {problem or ''}", flush=True)

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .entry import Entry
 
-SECTIONS = ["scalars", "relational", "questions"]
+SECTIONS = ["storage", "scalars", "relational", "models", "questions", "streams"]
 
 
 def all_entries() -> dict[str, Entry]:
