@@ -11,8 +11,8 @@ NUMERIC_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 def safe_number(text: Column) -> Column:
     """Double, or NULL for anything that is not a finite decimal number."""
-    number = F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMERIC_TEXT) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def json_number(attributes: Column, key: str) -> Column:

@@ -59,12 +59,34 @@ def _versions(
     )
 
 
-def _same_keys(keys: Sequence[tuple[str, str]]) -> list[Column]:
-    return [F.col(fact_key) == F.col(f"_key{i}") for i, (fact_key, _) in enumerate(keys)]
-
-
-def _all(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+def _by_bucket(
+    fact: DataFrame,
+    dim: DataFrame,
+    day: str,
+    start: str,
+    end: str,
+    carry: Sequence[str],
+    keys: Sequence[tuple[str, str]],
+    bucket_days: int,
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Fact with its bucket, versions repeated per bucket, and the join condition.
+
+    Each version is repeated once per bucket it touches. Beyond the last start
+    date in the dimension nothing changes any more, so all later days share one
+    tail bucket and an open end costs a single row; the fact itself is not
+    scanned for its date range.
+    """
+    versions = _versions(dim, start, end, keys, carry)
+    numbered = lambda col: F.floor(F.unix_date(col) / F.lit(bucket_days))
+    tail = versions.agg(F.max(numbered(F.col("_from"))).alias("last_change")).scalar() + F.lit(1)
+    bucket = lambda col: F.least(numbered(col), tail)
+    touched = F.when(F.col("_from") <= F.col("_to"), F.sequence(bucket(F.col("_from")), bucket(F.col("_to"))))
+    repeated = versions.withColumn("_bucket", F.explode(touched))
+    placed = fact.withColumn("_fact_bucket", bucket(F.col(day)))
+    valid = F.col(day).between(F.col("_from"), F.col("_to"))
+    same_bucket = F.col("_fact_bucket") == F.col("_bucket")
+    same_keys = [F.col(fact_key) == F.col(f"_key{i}") for i, (fact_key, _) in enumerate(keys)]
+    return placed, repeated, reduce(lambda a, b: a & b, [*same_keys, same_bucket, valid])
 
 
 def validity_join(
@@ -76,19 +98,18 @@ def validity_join(
     *,
     carry: Sequence[str],
     keys: Sequence[tuple[str, str]] = (),
+    bucket_days: int = BUCKET_DAYS,
     max_rows: int = SMALL_ROWS,
-    bounds: tuple | None = None,
 ) -> DataFrame:
-    """Versions valid on the fact's day, ``start <= day <= end``.
+    """Versions valid on the fact's day, ``start <= day <= end``, as a hash join.
 
-    A dimension counted to be small is broadcast; a larger one goes through
-    :func:`validity_join_bucketed`, with the same result.
+    The repeated versions are broadcast after they were counted to be few;
+    otherwise both sides are shuffled as in :func:`validity_join_bucketed`.
     """
-    if not fits(dim, max_rows):
-        return validity_join_bucketed(fact, dim, day, start, end, carry=carry, keys=keys, bounds=bounds)
-    versions = F.broadcast(_versions(dim, start, end, keys, carry))
-    valid = F.col(day).between(F.col("_from"), F.col("_to"))
-    return fact.join(versions, _all([*_same_keys(keys), valid])).select(*fact.columns, *carry)
+    placed, repeated, condition = _by_bucket(fact, dim, day, start, end, carry, keys, bucket_days)
+    few = fits(repeated, max_rows)
+    repeated = F.broadcast(repeated) if few else repeated.hint("merge")
+    return placed.join(repeated, condition).select(*fact.columns, *carry)
 
 
 def validity_join_bucketed(
@@ -101,35 +122,14 @@ def validity_join_bucketed(
     carry: Sequence[str],
     keys: Sequence[tuple[str, str]] = (),
     bucket_days: int = BUCKET_DAYS,
-    bounds: tuple | None = None,
 ) -> DataFrame:
-    """Validity join as an equi join on keys and day bucket.
+    """Validity join for a large dimension: shuffled on keys and day bucket.
 
-    Each version is repeated once per bucket it touches inside the fact's own
-    date range, so an open end costs nothing. Buckets also spread a hot key
-    over many shuffle partitions. ``bounds`` gives the first and last fact day
-    when they are known; a streaming fact needs them.
+    Buckets spread a hot key over many shuffle partitions. The repeated side is
+    never broadcast, because Spark's estimate does not see the repetition.
     """
-    width = F.lit(bucket_days)
-    if bounds is not None:
-        lowest, highest = (F.lit(b).cast("date") for b in bounds)
-    elif fact.isStreaming:
-        raise ValueError("a large dimension needs the day bounds of a streaming fact")
-    else:
-        span = fact.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("span")).scalar()
-        lowest, highest = span.getField("lo"), span.getField("hi")
-    bucket = lambda col: F.floor(F.unix_date(col) / width)
-    versions = _versions(dim, start, end, keys, carry)
-    first = F.greatest(F.col("_from"), lowest)
-    last = F.least(F.col("_to"), highest)
-    touched = F.when(first <= last, F.sequence(bucket(first), bucket(last)))
-    repeated = versions.withColumn("_bucket", F.explode(touched))
-    placed = fact.withColumn("_fact_bucket", bucket(F.col(day)))
-    valid = F.col(day).between(F.col("_from"), F.col("_to"))
-    same_bucket = F.col("_fact_bucket") == F.col("_bucket")
-    return placed.join(repeated, _all([*_same_keys(keys), same_bucket, valid])).select(
-        *fact.columns, *carry
-    )
+    placed, repeated, condition = _by_bucket(fact, dim, day, start, end, carry, keys, bucket_days)
+    return placed.join(repeated.hint("merge"), condition).select(*fact.columns, *carry)
 
 
 def overlapping_versions(
@@ -146,9 +146,7 @@ def overlapping_versions(
     matched = on_days
     for side in (left, right):
         key, start, end = side.columns
-        matched = validity_join_bucketed(
-            matched, side, day, start, end, carry=[key], bucket_days=bucket_days
-        )
+        matched = validity_join(matched, side, day, start, end, carry=[key], bucket_days=bucket_days)
     return matched.groupBy(left.columns[0], right.columns[0]).agg(F.count("*").alias("days"))
 
 

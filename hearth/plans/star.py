@@ -7,14 +7,21 @@ table instead of the bronze log.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from . import gold, silver
+from .access import full_access, limited_access
+from ..schemas import SENSOR_COLUMNS
 from ..sinks import materialize
 
+# Models written at the same time; their Spark jobs share the executors.
+BUILD_THREADS = 4
+
 
 @dataclass(frozen=True)
 class Star:
@@ -46,47 +53,49 @@ def build_star(
     bronze_location: DataFrame,
     holidays: DataFrame,
     root: str,
-    sensors: Mapping[str, str] | None = None,
+    sensors: Mapping[str, str] = SENSOR_COLUMNS,
 ) -> Star:
     """Write staging, dimensions and fact below ``root`` and return them."""
-
-    def table(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, "table", name, root)
-
-    stg_iot = table(silver.stg_iot(bronze_iot, sensors) if sensors else silver.stg_iot(bronze_iot), "stg_iot")
-    stg_weather = table(silver.stg_weather(bronze_weather), "stg_weather")
-    stg_price = table(silver.stg_price(bronze_price), "stg_price")
-    dim_time = table(
-        gold.dim_time(gold.needed_hours(stg_iot, stg_weather, stg_price), holidays), "dim_time"
-    )
-    dim_device = table(gold.dim_device(bronze_device), "dim_device")
-    dim_location = table(gold.dim_location(bronze_location), "dim_location")
+    spark = bronze_iot.sparkSession
+
+    def table(name: str, model: Callable[..., DataFrame], *inputs, **named) -> DataFrame:
+        return materialize(model(*inputs, **named), "table", name, root)
+
+    with ThreadPoolExecutor(BUILD_THREADS) as pool:
+        build = inheritable_thread_target(spark)(table)
+        waiting = [
+            pool.submit(build, "stg_iot", silver.stg_iot, bronze_iot, sensors),
+            pool.submit(build, "stg_weather", silver.stg_weather, bronze_weather),
+            pool.submit(build, "stg_price", silver.stg_price, bronze_price),
+            pool.submit(build, "dim_device", gold.dim_device, bronze_device),
+            pool.submit(build, "dim_location", gold.dim_location, bronze_location),
+        ]
+        stg_iot, stg_weather, stg_price, dim_device, dim_location = [w.result() for w in waiting]
+    hours = gold.needed_hours(stg_iot, stg_weather, stg_price)
+    dim_time = table("dim_time", gold.dim_time, hours, holidays)
     fact = table(
-        gold.fact_energy(
-            stg_iot=stg_iot,
-            stg_weather=stg_weather,
-            stg_price=stg_price,
-            dim_time=dim_time,
-            dim_device=dim_device,
-            dim_location=dim_location,
-            stage_path=f"{root.rstrip('/')}/_fact_stage",
-        ),
         "fact",
+        gold.fact_energy,
+        stg_iot=stg_iot,
+        stg_weather=stg_weather,
+        stg_price=stg_price,
+        dim_time=dim_time,
+        dim_device=dim_device,
+        dim_location=dim_location,
+        stage_path=f"{root.rstrip('/')}/_fact_stage",
     )
     return Star(stg_iot, stg_weather, stg_price, dim_time, dim_device, dim_location, fact)
 
 
 def register_star(star: Star) -> None:
     """Temp views for SQL users, with both access views."""
-    from .access import full_access, limited_access
-
     for name, df in star.tables().items():
         df.createOrReplaceTempView(name if name != "fact" else "fact_heating_energy_usage")
     materialize(full_access(star.fact), "view", "v_heating_energy_full_access")
     materialize(limited_access(star.fact), "view", "v_heating_energy_limited_access")
 
 
-def star_session(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Stored models of an earlier build, by name."""
+def read_star(spark: SparkSession, root: str) -> Star:
+    """The models of an earlier build."""
     names = ["stg_iot", "stg_weather", "stg_price", "dim_time", "dim_device", "dim_location", "fact"]
-    return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in names}
+    return Star(*[spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in names])

@@ -72,23 +72,11 @@ def last_state_stream(observations: DataFrame, delay: str, value: str = "conditi
     )
 
 
-def enrich_stream(
-    rows: DataFrame, dim_device: DataFrame, holidays: DataFrame, ts: str, *, bounds: tuple | None = None
-) -> DataFrame:
-    """Device version and holiday flag from static tables.
-
-    ``bounds`` (first and last day to expect) is only needed for a device table
-    too large to broadcast.
-    """
+def enrich_stream(rows: DataFrame, dim_device: DataFrame, holidays: DataFrame, ts: str) -> DataFrame:
+    """Device version and holiday flag from static tables."""
     dated = rows.withColumn("_day", local_date(F.col(ts)))
     with_device = validity_join(
-        dated,
-        dim_device,
-        "_day",
-        "InstallationDate",
-        "ValidTo",
-        carry=["DeviceKey", "Brand", "Model"],
-        bounds=bounds,
+        dated, dim_device, "_day", "InstallationDate", "ValidTo", carry=["DeviceKey", "Brand", "Model"]
     )
     days = holidays.select(F.to_date("timestamp").alias("day"))
     return flag_join(with_device, days, "_day", "IsHoliday").drop("_day")
