@@ -41,9 +41,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, one tree per application."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/hearth/{app}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give ``DataFrame.checkpoint`` a home when the session has none."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

@@ -4,7 +4,7 @@ from helpers import iot, tuples, utc, weather
 from pyspark.sql import functions as F
 
 from hearth import sinks, streaming
-from hearth.plans.backfill import late_replay
+from hearth.plans.ingest import late_replay
 from hearth.plans.silver import stg_iot
 from hearth.schemas import BRONZE_IOT, BRONZE_WEATHER
 

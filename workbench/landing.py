@@ -1,7 +1,7 @@
 """Landed JSON payloads built from the feeds, in the shapes the readers expect.
 
-One document per line, at most ``PER_DOCUMENT`` records each, so building and
-reading them never gathers more than that in one place.
+Every source row becomes one small document of its own, with no grouping, so a
+repeated row or key makes more documents and never a larger one.
 """
 
 from __future__ import annotations
@@ -14,161 +14,124 @@ from hearth.sources.payloads import HOURLY_ARRAYS, WEATHER_ATTRIBUTES
 
 from . import feeds
 
-PER_DOCUMENT = 64
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+LATER = "interval 30 minutes"
 
 
-def _write(documents: DataFrame, label: str) -> str:
-    path = scratch_path(documents.sparkSession, label)
-    documents.toDF("value").write.text(path)
+def _write(df: DataFrame, document: Column, label: str) -> str:
+    path = scratch_path(df.sparkSession, label)
+    df.select(document.alias("value")).write.text(path)
     return path
 
 
-def _chunk(number: Column) -> Column:
-    return F.floor(number / PER_DOCUMENT).alias("chunk")
+def _later(ts: str) -> Column:
+    return F.col(ts) + F.expr(LATER)
 
 
-def _history(rows: DataFrame) -> DataFrame:
-    """Rows ``(chunk, entity_id, record)`` to one list of lists per chunk."""
-    per_entity = rows.groupBy("chunk", "entity_id").agg(F.collect_list("record").alias("records"))
-    per_chunk = per_entity.groupBy("chunk").agg(F.collect_list("records").alias("lists"))
-    return per_chunk.select(F.to_json("lists"))
+def iot_history(spark: SparkSession, sf_dir: str) -> str:
+    """Two entity lists per document: the reading, and its sensor going away."""
+    log = feeds.readings(spark, sf_dir)
 
+    def record(state: Column, at: Column) -> Column:
+        return F.struct(
+            "entity_id",
+            state.alias("state"),
+            F.date_format(at, ISO + "'+00:00'").alias("last_changed"),
+            F.from_json("attributes", "k int").alias("attributes"),
+        )
 
-def iot_history(spark: SparkSession, sf_dir: str) -> str:
-    e = feeds.events(spark, sf_dir)
-    log = feeds.readings(spark, sf_dir).withColumnRenamed("last_changed", "at")
-    rows = log.join(e.select(F.col("ts").alias("at"), _chunk(F.col("event_id"))), "at")
-    record = F.struct(
-        "entity_id",
-        "state",
-        F.date_format("at", ISO + "'+00:00'").alias("last_changed"),
-        F.from_json("attributes", "k int").alias("attributes"),
-    )
-    return _write(_history(rows.select("chunk", "entity_id", record.alias("record"))), "iot-history")
+    reading = record(F.col("state"), F.col("last_changed"))
+    gone = record(F.lit("unavailable"), _later("last_changed"))
+    return _write(log, F.to_json(F.array(F.array(reading), F.array(gone))), "iot-history")
 
 
 def weather_history(spark: SparkSession, sf_dir: str) -> str:
-    e = feeds.events(spark, sf_dir)
-    log = feeds.weather(spark, sf_dir).withColumnRenamed("last_changed", "at")
-    rows = log.join(e.select(F.col("ts").alias("at"), _chunk(F.col("event_id"))), "at")
     attributes = F.struct(*[F.col(name).alias(key) for name, key in WEATHER_ATTRIBUTES.items()])
     record = F.struct(
         "entity_id",
         F.col("condition_state").alias("state"),
-        F.date_format("at", ISO + "'Z'").alias("last_changed"),
+        F.date_format("last_changed", ISO + "'Z'").alias("last_changed"),
         attributes.alias("attributes"),
     )
-    return _write(_history(rows.select("chunk", "entity_id", record.alias("record"))), "weather-history")
+    return _write(feeds.weather(spark, sf_dir), F.to_json(F.array(F.array(record))), "weather-history")
 
 
-def _price_documents(rows: DataFrame) -> DataFrame:
-    """Rows ``(chunk, success, timestamp, price)`` to one payload per chunk."""
-    record = F.struct("timestamp", "price")
-    chunks = rows.groupBy("chunk", "success").agg(F.collect_list(record).alias("ee"))
-    return chunks.select(F.to_json(F.struct("success", F.struct("ee").alias("data"))))
+def _price_payload(success: Column, *records: Column) -> Column:
+    return F.to_json(F.struct(success.alias("success"), F.struct(F.array(*records).alias("ee")).alias("data")))
 
 
 def price(spark: SparkSession, sf_dir: str) -> str:
-    """Every seventh payload is marked unsuccessful."""
-    bought = feeds.events(spark, sf_dir).filter("event_type = 'purchase'").withColumn(
-        "chunk", F.floor(F.col("event_id") / PER_DOCUMENT)
-    )
-    rows = bought.select(
-        "chunk",
-        (F.col("chunk") % 7 != 0).alias("success"),
-        F.unix_timestamp("ts").alias("timestamp"),
-        (F.col("value") - 20).alias("price"),
-    )
-    return _write(_price_documents(rows), "price")
-
-
-def _statistics_documents(rows: DataFrame) -> DataFrame:
-    """Rows ``(chunk, entity_id, start, mean, state)``, ``start`` as JSON text.
-
-    ``start`` mixes numbers and strings, so the payload is put together as text.
-    """
-    number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    record = F.concat(
-        F.lit('{"start":'), "start", F.lit(',"mean":'), number("mean"), F.lit(',"min":'), number("mean"),
-        F.lit(',"max":null,"sum":null,"state":'), number("state"), F.lit("}"),
-    )
-    per_entity = rows.groupBy("chunk", "entity_id").agg(F.array_join(F.collect_list(record), ",").alias("records"))
-    entry = F.concat(F.lit('"'), "entity_id", F.lit('":['), "records", F.lit("]"))
-    per_chunk = per_entity.groupBy("chunk").agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
-    return per_chunk.select(F.concat(F.lit("{"), "entries", F.lit("}")))
+    """Two prices per document; every seventh document is marked unsuccessful."""
+    bought = feeds.events(spark, sf_dir).filter("event_type = 'purchase'")
+    at, value = F.unix_timestamp("ts"), F.col("value") - 20
+    now = F.struct(at.alias("timestamp"), value.alias("price"))
+    later = F.struct((at + 1800).alias("timestamp"), (value / 2).alias("price"))
+    return _write(bought, _price_payload(F.col("event_id") % 7 != 0, now, later), "price")
+
+
+def _statistics_payload(entity: Column, *records: tuple[Column, Column, Column]) -> Column:
+    """``{entity: [records]}`` put together as text, because ``start`` mixes types."""
+    number = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    texts = [
+        F.concat(
+            F.lit('{"start":'), start, F.lit(',"mean":'), number(mean), F.lit(',"min":'), number(mean),
+            F.lit(',"max":null,"sum":null,"state":'), number(state), F.lit("}"),
+        )
+        for start, mean, state in records
+    ]
+    return F.concat(F.lit('{"'), entity, F.lit('":['), F.concat_ws(",", *texts), F.lit("]}"))
 
 
 def statistics(spark: SparkSession, sf_dir: str) -> str:
     """Start times as seconds, milliseconds, ISO text or missing, by turns."""
-    e, event_id = feeds.events(spark, sf_dir), F.col("event_id")
+    event_id, value = F.col("event_id"), F.col("value")
     start = (
         F.when(event_id % 17 == 0, F.lit("null"))
         .when(event_id % 3 == 0, F.unix_timestamp("ts").cast("string"))
         .when(event_id % 3 == 1, (F.unix_timestamp("ts") * 1000).cast("string"))
         .otherwise(F.date_format("ts", "'\"'yyyy-MM-dd'T'HH:mm:ss'+00:00\"'"))
     )
-    rows = e.select(
-        F.floor(event_id / PER_DOCUMENT).alias("chunk"),
-        feeds.sensor_id().alias("entity_id"),
-        start.alias("start"),
-        F.when(event_id % 5 != 0, F.col("value")).alias("mean"),
-        F.when(event_id % 10 != 0, F.col("value")).alias("state"),
-    )
-    return _write(_statistics_documents(rows), "statistics")
-
-
-def _hourly_documents(rows: DataFrame, *, short: bool) -> DataFrame:
-    """Rows ``(chunk, seq, time, nine measures)`` to parallel arrays per chunk."""
-    columns = ["seq", "time", *HOURLY_ARRAYS.values()]
-    chunks = rows.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("r"))
-    arrays = []
-    for name in columns[1:]:
-        values = F.col("r").getField(name)
-        if short and name == "wind_gusts_10m":
-            values = F.slice(values, F.lit(1), F.size(values) - 1)
-        arrays.append(values.alias(name))
-    hourly = F.struct(F.struct(*arrays).alias("hourly"))
-    return chunks.select(F.to_json(hourly, {"ignoreNullFields": "false"}))
-
-
-def _hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = feeds.events(spark, sf_dir).select(F.col("ts").alias("last_changed"), F.col("event_id").alias("seq"))
-    observed = feeds.weather(spark, sf_dir).withColumn("uv_index", F.col("uv_index") * 25).join(e, "last_changed")
-    return observed.select(
-        F.floor(F.col("seq") / PER_DOCUMENT).alias("chunk"),
-        "seq",
-        F.date_format("last_changed", ISO).alias("time"),
-        *[F.col(name).alias(source) for name, source in HOURLY_ARRAYS.items()],
-    )
+    mean, state = F.when(event_id % 5 != 0, value), F.when(event_id % 10 != 0, value)
+    later = (F.unix_timestamp("ts") + 1800).cast("string")
+    document = _statistics_payload(feeds.sensor_id(), (start, mean, state), (later, F.lit(None), value))
+    return _write(feeds.events(spark, sf_dir), document, "statistics")
+
+
+def _hourly_payload(arrays: dict[str, Column]) -> Column:
+    hourly = F.struct(*[values.alias(name) for name, values in arrays.items()])
+    return F.to_json(F.struct(hourly.alias("hourly")), {"ignoreNullFields": "false"})
 
 
-def hourly_weather(spark: SparkSession, sf_dir: str, *, short: bool = True) -> str:
-    """With ``short``, the gust array of each payload lacks its last value."""
-    return _write(_hourly_documents(_hourly_rows(spark, sf_dir), short=short), "hourly-weather")
+def hourly_weather(spark: SparkSession, sf_dir: str) -> str:
+    """Two hours per document; the gust array is one value short."""
+    observed = feeds.weather(spark, sf_dir).withColumn("uv_index", F.col("uv_index") * 25)
+    arrays = {"time": F.array(F.date_format("last_changed", ISO), F.date_format(_later("last_changed"), ISO))}
+    for name, source in HOURLY_ARRAYS.items():
+        short = source == "wind_gusts_10m"
+        arrays[source] = F.array(F.col(name)) if short else F.array(F.col(name), F.col(name) / 2)
+    return _write(observed, _hourly_payload(arrays), "hourly-weather")
+
+
+def backfill_weather(spark: SparkSession, sf_dir: str) -> str:
+    observed = feeds.weather(spark, sf_dir).withColumn("uv_index", F.col("uv_index") * 25)
+    arrays = {"time": F.array(F.date_format("last_changed", ISO))}
+    arrays |= {source: F.array(F.col(name)) for name, source in HOURLY_ARRAYS.items()}
+    return _write(observed, _hourly_payload(arrays), "backfill-weather")
 
 
 def backfill_statistics(spark: SparkSession, sf_dir: str) -> str:
     """Sensor log as statistics, numeric states only."""
-    e = feeds.events(spark, sf_dir).select(F.col("ts").alias("last_changed"), F.col("event_id"))
-    log = feeds.readings(spark, sf_dir).join(e, "last_changed")
-    rows = log.select(
-        F.floor(F.col("event_id") / PER_DOCUMENT).alias("chunk"),
-        "entity_id",
-        F.date_format("last_changed", f"'\"'{ISO}'Z\"'").alias("start"),
-        F.col("state").try_cast("double").alias("mean"),
-        F.lit(None).cast("double").alias("state"),
-    )
-    return _write(_statistics_documents(rows), "backfill-statistics")
+    start = F.date_format("last_changed", f"'\"'{ISO}'Z\"'")
+    document = _statistics_payload(F.col("entity_id"), (start, F.col("state").try_cast("double"), F.lit(None)))
+    return _write(feeds.readings(spark, sf_dir), document, "backfill-statistics")
 
 
 def backfill_prices(spark: SparkSession, sf_dir: str) -> str:
     """One price per hour."""
-    hourly = feeds.prices(spark, sf_dir).groupBy(F.date_trunc("hour", "ts_utc").alias("hour"))
-    rows = hourly.agg(F.avg("price_per_mwh").alias("price")).select(
-        F.floor(F.unix_timestamp("hour") / (3600 * PER_DOCUMENT)).alias("chunk"),
-        F.lit(True).alias("success"),
-        F.unix_timestamp("hour").alias("timestamp"),
-        "price",
+    hourly = (
+        feeds.prices(spark, sf_dir)
+        .groupBy(F.date_trunc("hour", "ts_utc").alias("hour"))
+        .agg(F.avg("price_per_mwh").alias("price"))
     )
-    return _write(_price_documents(rows), "backfill-prices")
+    record = F.struct(F.unix_timestamp("hour").alias("timestamp"), "price")
+    return _write(hourly, _price_payload(F.lit(True), record), "backfill-prices")

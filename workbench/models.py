@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hearth import sinks
 from hearth.operators import quality
-from hearth.plans import access, backfill, exploration, gold, silver
+from hearth.plans import access, exploration, gold, ingest, silver
 from hearth.plans.suites import DIAGRAM_CHECKS, GOVERNANCE_CHECKS, STAR_CHECKS
 from hearth.schemas import RAW_COLUMNS
 from hearth.session import scratch_path
@@ -14,7 +14,7 @@ from hearth.sources.registry import bronze_path
 
 from . import feeds, landing, marts
 from .entry import Entry
-from .feeds import with_feeds
+from .feeds import outer_merge_sql, with_feeds
 from .scalars import MEASURE_NAMES
 
 ENTRIES: dict[str, Entry] = {}
@@ -119,12 +119,7 @@ def _(spark, sf):
     return access.limited_access(marts.star(spark, sf).fact)
 
 
-_RAW = ", ".join(
-    f"max(state) FILTER (WHERE entity_id = '{sensor}') AS {name}" for sensor, name in RAW_COLUMNS.items()
-)
-
-
-@register("g11_wide_raw", with_feeds("readings", f"SELECT last_changed AS timestamp, {_RAW} FROM readings GROUP BY 1"))
+@register("g11_wide_raw", with_feeds("readings", outer_merge_sql(RAW_COLUMNS)))
 def _(spark, sf):
     return exploration.wide_raw(feeds.readings(spark, sf))
 
@@ -147,12 +142,12 @@ def _(spark, sf):
     )
     sinks.overwrite(feeds.devices(spark, sf), bronze_path(root, "bronze_device"))
     sinks.overwrite(feeds.locations(spark, sf), bronze_path(root, "bronze_location"))
-    landed = backfill.Landing(
+    landed = ingest.Landing(
         statistics=landing.backfill_statistics(spark, sf),
         prices=landing.backfill_prices(spark, sf),
-        weather=landing.hourly_weather(spark, sf, short=False),
+        weather=landing.backfill_weather(spark, sf),
     )
-    star, _ = backfill.backfill(
+    star, _ = ingest.backfill(
         spark,
         root,
         landed,

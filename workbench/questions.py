@@ -5,10 +5,11 @@ from __future__ import annotations
 from hearth.plans import analytics
 from hearth.plans.access import full_access, limited_access
 from hearth.plans.exploration import SERIES_GROUPS, series, wide_raw
+from hearth.schemas import RAW_COLUMNS
 
 from . import feeds, marts
 from .entry import Entry
-from .feeds import with_feeds
+from .feeds import outer_merge_sql, with_feeds
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -189,23 +190,9 @@ WHERE "IndoorTemp" IS NOT NULL AND "OutdoorTemp" IS NOT NULL AND "ASHP_Power" IS
     needs="fact",
 )
 
-_SENSOR = {
-    "living_room_temp": "sensor.tempniiskuslauaall_temperature",
-    "wc_temp": "sensor.indoor_outdoor_meter_3866",
-    "air_purifier_2_5": "sensor.air_purifier_particulate_matter_2_5",
-    "air_purifier_10": "sensor.air_purifier_particulate_matter_10",
-    "heat_pump_power": "sensor.ohksoojus_power",
-    "boiler_power": "sensor.0xa4c138cdc6eff777_power",
-    "living_room_hum_perc": "sensor.tempniiskuslauaall_humidity",
-    "living_room_hum_abs": "sensor.abshumidkuu2_absolute_humidity",
-}
-
 
 def _series(group):
-    columns = ", ".join(
-        f"max(state) FILTER (WHERE entity_id = '{_SENSOR[name]}') AS {name}" for name in SERIES_GROUPS[group]
-    )
-    return with_feeds("readings", f"SELECT last_changed AS timestamp, {columns} FROM readings GROUP BY 1")
+    return with_feeds("readings", outer_merge_sql(RAW_COLUMNS, SERIES_GROUPS[group]))
 
 
 for _group in SERIES_GROUPS:

@@ -34,7 +34,9 @@ def register(name: str, sql: str | None, floats=()):
     with_feeds(
         "readings",
         """SELECT entity_id, state, last_changed, '{"k":' || json_extract_string(attributes, '$.k') || '}' AS attributes
-FROM readings""",
+FROM readings
+UNION ALL SELECT entity_id, 'unavailable', last_changed + INTERVAL 30 MINUTE,
+       '{"k":' || json_extract_string(attributes, '$.k') || '}' FROM readings""",
     ),
 )
 def _(spark, sf):
@@ -49,8 +51,9 @@ def _(spark, sf):
 
 @register(
     "s3_price",
-    """SELECT date_trunc('second', ts) AS ts_utc, 'EE' AS zone, 'EUR' AS currency, value - 20 AS price_per_mwh
-FROM events WHERE event_type = 'purchase' AND (event_id // 64) % 7 <> 0""",
+    """SELECT date_trunc('second', ts) + to_minutes(CAST(30 * n AS INTEGER)) AS ts_utc, 'EE' AS zone, 'EUR' AS currency,
+       (value - 20) / (n + 1) AS price_per_mwh
+FROM events, (VALUES (0), (1)) AS v(n) WHERE event_type = 'purchase' AND event_id % 7 <> 0""",
 )
 def _(spark, sf):
     return sources.read_price(spark, landing.price(spark, sf)).drop("ingestion_ts")
@@ -68,7 +71,10 @@ _STATE = "CASE WHEN event_id % 10 <> 0 THEN value END"
        '{{"mean":' || coalesce(CAST({_MEAN} AS VARCHAR), 'null') || ',"min":' ||
        coalesce(CAST({_MEAN} AS VARCHAR), 'null') || ',"max":null,"sum":null,"state":' ||
        coalesce(CAST({_STATE} AS VARCHAR), 'null') || ',"source":"long_term_statistics"}}' AS attributes
-FROM events WHERE event_id % 17 <> 0""",
+FROM events WHERE event_id % 17 <> 0
+UNION ALL SELECT {_SENSOR_CASE}, CAST(value AS VARCHAR), date_trunc('second', ts) + INTERVAL 30 MINUTE,
+       '{{"mean":null,"min":null,"max":null,"sum":null,"state":' || CAST(value AS VARCHAR) ||
+       ',"source":"long_term_statistics"}}' FROM events""",
 )
 def _(spark, sf):
     return sources.read_statistics(spark, landing.statistics(spark, sf)).drop("ingestion_ts")
@@ -76,14 +82,17 @@ def _(spark, sf):
 
 @register(
     "s5_hourly_weather",
-    """SELECT 'weather.forecast_home' AS entity_id, 'unknown' AS condition_state, ts AS last_changed,
-       CASE WHEN event_id % 37 <> 0 THEN value / 10 - 10 END AS "temperature_C", 980 + user_id / 5 AS "pressure_hPa",
-       CAST(user_id % 101 AS DOUBLE) AS humidity_percent, value AS wind_speed_kmh,
-       CAST((event_id * 7) % 361 AS DOUBLE) AS wind_bearing_deg, CAST(event_id % 101 AS DOUBLE) AS cloud_coverage_pct,
-       value / 10 - 15 AS "dew_point_C", CAST(user_id % 12 AS DOUBLE) AS uv_index,
-       CASE WHEN event_id <> max(event_id) OVER (PARTITION BY event_id // 64) THEN value * CAST(1.5 AS DOUBLE) END
-         AS wind_gust_speed_kmh
-FROM events WHERE event_type IN ('view', 'click') QUALIFY ts < TIMESTAMP '2024-01-20 00:00:00'""",
+    with_feeds(
+        "weather",
+        """SELECT * FROM (SELECT entity_id, 'unknown' AS condition_state,
+       last_changed + to_minutes(CAST(30 * n AS INTEGER)) AS last_changed,
+       "temperature_C" / (n + 1) AS "temperature_C", "pressure_hPa" / (n + 1) AS "pressure_hPa",
+       humidity_percent / (n + 1) AS humidity_percent, wind_speed_kmh / (n + 1) AS wind_speed_kmh,
+       wind_bearing_deg / (n + 1) AS wind_bearing_deg, cloud_coverage_pct / (n + 1) AS cloud_coverage_pct,
+       "dew_point_C" / (n + 1) AS "dew_point_C", round_even(uv_index / (n + 1), 0) AS uv_index,
+       CASE WHEN n = 0 THEN wind_gust_speed_kmh END AS wind_gust_speed_kmh
+FROM weather, (VALUES (0), (1)) AS v(n)) AS w WHERE last_changed < TIMESTAMP '2024-01-20 00:00:00'""",
+    ),
 )
 def _(spark, sf):
     cutoff = F.lit("2024-01-20").cast("timestamp")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hearth import sinks, streaming
 from hearth.operators.filters import time_window
-from hearth.plans.backfill import late_replay
+from hearth.plans.ingest import late_replay
 from hearth.plans.silver import stg_iot
 from hearth.schemas import BRONZE_IOT, BRONZE_WEATHER
 from hearth.session import scratch_path
