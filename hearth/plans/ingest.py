@@ -8,6 +8,7 @@ is up to the caller.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -25,6 +26,7 @@ from ..sources import (
     read_weather_history,
 )
 from ..sources.registry import bronze_path
+from ..together import together
 from .silver import stg_iot
 from .star import Star, build_star
 from .suites import STAR_CHECKS
@@ -65,8 +67,11 @@ def load_interval(spark: SparkSession, root: str, landing: Landing, start, end)
         (read_weather_history(spark, landing.weather, per=landing.per), WEATHER, "last_changed"),
         (read_price(spark, landing.prices, per=landing.per), PRICE, "ts_utc"),
     ]
-    for df, name, ts in loads:
-        replace_interval(time_window(df, ts, start, end), bronze_path(root, name), ts, start, end)
+    writes = [
+        partial(replace_interval, time_window(df, ts, start, end), bronze_path(root, name), ts, start, end)
+        for df, name, ts in loads
+    ]
+    together(spark, *writes)
 
 
 def _backfill_readings(spark: SparkSession, landing: Landing, start, end) -> DataFrame:
@@ -88,8 +93,11 @@ def load_range(spark: SparkSession, root: str, landing: Landing, start, end) ->
         (time_window(prices, "ts_utc", start, end), PRICE, "ts_utc", ["zone", "ts_utc"]),
         (time_window(weather, "last_changed", start, end), WEATHER, "last_changed", ["entity_id", "last_changed"]),
     ]
-    for df, name, ts, keys in loads:
-        replace_range_backfill(df, bronze_path(root, name), ts, start, end, keys)
+    writes = [
+        partial(replace_range_backfill, df, bronze_path(root, name), ts, start, end, keys)
+        for df, name, ts, keys in loads
+    ]
+    together(spark, *writes)
 
 
 def rebuild(spark: SparkSession, root: str, *, holidays: DataFrame, marts: str) -> tuple[Star, DataFrame]:

@@ -8,19 +8,16 @@ table instead of the bronze log.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from . import gold, silver
 from .access import full_access, limited_access
 from ..schemas import SENSOR_COLUMNS
 from ..sinks import materialize
-
-# Models written at the same time; their Spark jobs share the executors.
-BUILD_THREADS = 4
+from ..together import together
 
 
 @dataclass(frozen=True)
@@ -61,16 +58,14 @@ def build_star(
     def table(name: str, model: Callable[..., DataFrame], *inputs, **named) -> DataFrame:
         return materialize(model(*inputs, **named), "table", name, root)
 
-    with ThreadPoolExecutor(BUILD_THREADS) as pool:
-        build = inheritable_thread_target(spark)(table)
-        waiting = [
-            pool.submit(build, "stg_iot", silver.stg_iot, bronze_iot, sensors),
-            pool.submit(build, "stg_weather", silver.stg_weather, bronze_weather),
-            pool.submit(build, "stg_price", silver.stg_price, bronze_price),
-            pool.submit(build, "dim_device", gold.dim_device, bronze_device),
-            pool.submit(build, "dim_location", gold.dim_location, bronze_location),
-        ]
-        stg_iot, stg_weather, stg_price, dim_device, dim_location = [w.result() for w in waiting]
+    stg_iot, stg_weather, stg_price, dim_device, dim_location = together(
+        spark,
+        partial(table, "stg_iot", silver.stg_iot, bronze_iot, sensors),
+        partial(table, "stg_weather", silver.stg_weather, bronze_weather),
+        partial(table, "stg_price", silver.stg_price, bronze_price),
+        partial(table, "dim_device", gold.dim_device, bronze_device),
+        partial(table, "dim_location", gold.dim_location, bronze_location),
+    )
     hours = gold.needed_hours(stg_iot, stg_weather, stg_price)
     dim_time = table("dim_time", gold.dim_time, hours, holidays)
     fact = table(

@@ -355,8 +355,11 @@ FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, max(o_totalprice) AS l
 }
 
 
-def with_feeds(names: str, body: str) -> str:
-    """``body`` below the common table expressions it needs, in order."""
+def with_feeds(names: str, body: str, *, once: bool = False) -> str:
+    """``body`` below the common table expressions it needs, in order.
+
+    With ``once``, repeated rows of the three logs count once.
+    """
     ordered: list[str] = []
 
     def visit(name: str) -> None:
@@ -368,7 +371,9 @@ def with_feeds(names: str, body: str) -> str:
 
     for name in names.split():
         visit(name)
-    ctes = ",\n".join(f"{name} AS (\n{_CTES[name][1]}\n)" for name in ordered)
+    distinct = {"readings", "weather", "prices"} if once else set()
+    texts = {n: f"SELECT DISTINCT * FROM ({_CTES[n][1]}) AS rows" if n in distinct else _CTES[n][1] for n in ordered}
+    ctes = ",\n".join(f"{name} AS (\n{text}\n)" for name, text in texts.items())
     return f"WITH {ctes}\n{body}"
 
 

@@ -130,6 +130,7 @@ def _(spark, sf):
         "fact",
         """SELECT * REPLACE (CASE WHEN "OutdoorHumidityPerc" IS NOT NULL THEN 'unknown' END AS "WeatherCondition")
 FROM fact""",
+        once=True,
     ),
     MEASURE_NAMES,
 )

@@ -218,7 +218,15 @@ def _(spark, sf):
     return sources.read_price_table(spark, path)
 
 
-@register("k3_replace_range", _replaced("2024-01-02 00:00:00", "2024-01-25 15:00:00"))
+@register(
+    "k3_replace_range",
+    with_feeds(
+        "prices",
+        """SELECT * FROM prices WHERE ts_utc < TIMESTAMP '2024-01-02 00:00:00' OR ts_utc >= TIMESTAMP '2024-01-25 15:00:00'
+UNION ALL SELECT DISTINCT * REPLACE (price_per_mwh + 100 AS price_per_mwh) FROM prices
+WHERE ts_utc >= TIMESTAMP '2024-01-02 00:00:00' AND ts_utc < TIMESTAMP '2024-01-25 15:00:00'""",
+    ),
+)
 def _(spark, sf):
     path = _stored_prices(spark, sf, "replace-range")
     start, end = "2024-01-02 00:00:00", "2024-01-25 15:00:00"

@@ -53,7 +53,10 @@ def _(spark, sf):
     return sinks.read_days(spark, table, hourly.schema).drop("ts_day")
 
 
-@register("x3_dedup", with_feeds("readings", "SELECT entity_id, state, last_changed FROM readings"))
+@register(
+    "x3_dedup",
+    with_feeds("readings", "SELECT entity_id, state, last_changed FROM readings", once=True),
+)
 def _(spark, sf):
     log = feeds.readings(spark, sf)
     twice = log.unionByName(log.withColumn("ingestion_ts", F.col("ingestion_ts") + F.expr("interval 1 hour")))
@@ -62,7 +65,10 @@ def _(spark, sf):
     return spark.read.schema(BRONZE_IOT).parquet(table).select("entity_id", "state", "last_changed")
 
 
-@register("x4_upsert_interval", with_feeds("readings", "SELECT entity_id, state, last_changed FROM readings"))
+@register(
+    "x4_upsert_interval",
+    with_feeds("readings", "SELECT entity_id, state, last_changed FROM readings", once=True),
+)
 def _(spark, sf):
     log = feeds.readings(spark, sf)
     path = _landed(spark, time_window(log, "last_changed", "2000-01-01", "2024-01-18"))
