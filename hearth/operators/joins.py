@@ -151,15 +151,18 @@ def overlapping_versions(
 
 
 def outer_merge(frames: Sequence[DataFrame], on: str) -> DataFrame:
-    """Full outer join of all frames on one column; NULL keys match each other."""
+    """Full outer join of all frames on one column.
+
+    Rows without a key match nothing; they are added after the joins, so they
+    neither meet in one task nor multiply.
+    """
 
     def merge(left: DataFrame, right: DataFrame) -> DataFrame:
-        right = right.withColumnRenamed(on, "_right")
-        joined = left.join(right, F.col(on).eqNullSafe(F.col("_right")), "full_outer")
-        others = [c for c in joined.columns if c not in (on, "_right")]
-        return joined.select(F.coalesce(on, "_right").alias(on), *others)
+        return left.join(right, on, "full_outer")
 
-    return reduce(merge, frames)
+    merged = reduce(merge, [frame.filter(F.col(on).isNotNull()) for frame in frames])
+    keyless = [frame.filter(F.col(on).isNull()) for frame in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), keyless, merged)
 
 
 def semi_members(df: DataFrame, col: str, members: DataFrame) -> DataFrame:

@@ -47,20 +47,27 @@ def global_row_number(
     *,
     partitions: int | None = None,
     stage_path: str | None = None,
+    unique: bool = True,
 ) -> DataFrame:
     """Dense key over any number of rows, without a single-task window.
 
     The frame is range-partitioned and sorted, then written once with each
     row's partition and position. Reading the written table back makes the
     numbers final: a lost executor cannot renumber rows. The key of a row is its
-    position plus the rows of all earlier partitions. ``order_cols`` should
-    identify a row; a hot leading value is split by the columns after it.
+    position plus the rows of all earlier partitions. A hot leading value is
+    split by the columns after it. If ``order_cols`` do not identify a row, say
+    ``unique=False``: rows are then tagged in a written table first, so that
+    equal rows can be split as well.
     """
     spark = df.sparkSession
     path = stage_path or scratch_path(spark, "row-number")
-    ranged = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
+    rows, order = df, list(order_cols)
+    if not unique:
+        df.withColumn("_tag", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{path}-tagged")
+        rows, order = spark.read.parquet(f"{path}-tagged"), [*order, "_tag"]
+    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
     (
-        ranged.sortWithinPartitions(*order_cols)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
         .write.mode("overwrite")
         .parquet(path)
@@ -81,4 +88,4 @@ def surrogate_key(
     """Dense key in natural-key order: one window if small, staged numbering if not."""
     if fits(df, max_rows):
         return ordered_key(df, order_cols, name)
-    return global_row_number(df, order_cols, name)
+    return global_row_number(df, order_cols, name, unique=False)

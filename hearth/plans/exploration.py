@@ -30,27 +30,35 @@ def sensor_slice(readings: DataFrame, sensor: str, name: str) -> DataFrame:
 
 
 def merge_sensors(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
-    """Outer merge of the per-sensor slices; repeated timestamps multiply."""
+    """Outer merge of the per-sensor slices; repeated timestamps multiply, as in any join."""
     return outer_merge([sensor_slice(readings, s, name) for s, name in columns.items()], "timestamp")
 
 
-def pivot_sensors(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
-    """The same table in one aggregation, for sensors without repeated timestamps."""
-    known = in_list(readings, "entity_id", list(columns))
-    return known.groupBy(F.col("last_changed").alias("timestamp")).agg(
+def _spread(readings: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Each reading as a wide row that has only its own sensor's column."""
+    return in_list(readings, "entity_id", list(columns)).select(
+        F.col("last_changed").alias("timestamp"),
         *[
-            F.any_value(F.when(F.col("entity_id") == sensor, F.col("state")), ignoreNulls=True).alias(name)
+            F.when(F.col("entity_id") == sensor, F.col("state")).alias(name)
             for sensor, name in columns.items()
-        ]
+        ],
+    )
+
+
+def pivot_sensors(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
+    """The merge in one aggregation, for sensors that never repeat a timestamp."""
+    wide = _spread(readings, columns)
+    timed = wide.filter(F.col("timestamp").isNotNull())
+    merged = timed.groupBy("timestamp").agg(
+        *[F.any_value(name, ignoreNulls=True).alias(name) for name in columns.values()]
     )
+    return merged.unionByName(wide.filter(F.col("timestamp").isNull()))
 
 
 def wide_raw(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
     """Wide table: pivoted in one pass unless a sensor repeats a timestamp."""
     known = in_list(readings, "entity_id", list(columns))
-    untimed = known.filter(F.col("last_changed").isNull())
-    repeated = duplicate_keys(known, "entity_id", "last_changed")
-    if untimed.isEmpty() and repeated.isEmpty():
+    if duplicate_keys(known, "entity_id", "last_changed").isEmpty():
         return pivot_sensors(readings, columns)
     return merge_sensors(readings, columns)
 

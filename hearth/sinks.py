@@ -68,9 +68,10 @@ def write_day_partitioned(df: DataFrame, table: str, ts: str, *, mode: str = "ap
 def write_clustered(df: DataFrame, table: str, keys: Sequence[str], *, mode: str = "overwrite") -> None:
     """Stored in key order, so Parquet min/max statistics can skip row groups.
 
-    Range partitioning on the whole key splits a dominant leading value.
+    Range partitioning on the whole key splits a dominant leading value, and the
+    hash of the row splits rows that share their key.
     """
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).parquet(table)
+    df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys).write.mode(mode).parquet(table)
 
 
 def save_csv(df: DataFrame, path: str) -> None:

@@ -124,10 +124,25 @@ def test_wide_table_keeps_repeated_timestamps(spark):
     ]
 
 
-def test_outer_merge_matches_null_keys(spark):
-    left = spark.createDataFrame([(None, 1), ("a", 2)], "t string, l int")
-    right = spark.createDataFrame([(None, 3), ("b", 4)], "t string, r int")
-    assert tuples(joins.outer_merge([left, right], "t")) == [("a", 2, None), ("b", None, 4), (None, 1, 3)]
+def test_rows_without_a_key_stay_and_do_not_multiply(spark):
+    left = spark.createDataFrame([(None, 1), (None, 5), ("a", 2)], "t string, l int")
+    right = spark.createDataFrame([(None, 3), (None, 6), ("b", 4)], "t string, r int")
+    assert tuples(joins.outer_merge([left, right], "t")) == [
+        ("a", 2, None), ("b", None, 4), (None, 1, None), (None, 5, None), (None, None, 3), (None, None, 6),
+    ]
+    a, b = "sensor.ohksoojus_power", "sensor.0xa4c138cdc6eff777_power"
+    rows = iot(spark, [(a, "1", None), (b, "2", None), (a, "3", "2025-01-01 00:00:00")])
+    columns = {a: "pump", b: "boiler"}
+    assert tuples(exploration.wide_raw(rows, columns)) == tuples(exploration.merge_sensors(rows, columns))
+
+
+def test_global_row_number_splits_equal_rows(spark, folder):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.lit(-1)).alias("x"))
+    numbered = keys.global_row_number(rows, ["x"], "k", partitions=8, stage_path=folder, unique=False)
+    assert [r.k for r in numbered.orderBy("k").collect()] == list(range(1, 3001))
+    assert [r.x for r in numbered.orderBy("k").collect()] == sorted(r.x for r in rows.collect())
+    sizes = spark.read.parquet(folder).groupBy(F.shiftright("_slot", 33)).count().agg(F.max("count")).first()[0]
+    assert sizes < 1000  # the third that is equal does not sit in one partition
 
 
 def test_hourly_weather_scans_once_with_hash_aggregation(spark):

@@ -378,7 +378,7 @@ def with_feeds(names: str, body: str, *, once: bool = False) -> str:
 
 
 def outer_merge_sql(columns: dict[str, str], shown: list[str] | None = None) -> str:
-    """Full outer joins of one slice of ``readings`` per sensor, NULL times matching."""
+    """Full outer joins of one slice of ``readings`` per sensor."""
     slices = [
         f"(SELECT last_changed AS t, state FROM readings WHERE entity_id = '{sensor}') AS s{i}"
         for i, sensor in enumerate(columns)
@@ -386,7 +386,7 @@ def outer_merge_sql(columns: dict[str, str], shown: list[str] | None = None) ->
     joined = slices[0]
     for i, one in enumerate(slices[1:], start=1):
         before = ", ".join(f"s{j}.t" for j in range(i))
-        joined += f"\nFULL JOIN {one} ON coalesce({before}, NULL) IS NOT DISTINCT FROM s{i}.t"
+        joined += f"\nFULL JOIN {one} ON coalesce({before}, NULL) = s{i}.t"
     names = [(f"s{i}.state AS {name}") for i, name in enumerate(columns.values()) if shown is None or name in shown]
     times = ", ".join(f"s{i}.t" for i in range(len(slices)))
     return f"SELECT coalesce({times}) AS timestamp, {', '.join(names)}\nFROM {joined}"

@@ -597,7 +597,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return keys.global_row_number(lineitem(spark, sf).select(*order), order, "row_key")
+    return keys.global_row_number(lineitem(spark, sf).select(*order), order, "row_key", unique=False)
 
 
 # -- ordering ----------------------------------------------------------------
