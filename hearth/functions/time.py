@@ -23,6 +23,7 @@ WIDE_PEAK_RANGE = (7, 22)
 OPEN_START = dt.date(2000, 1, 1)
 OPEN_END = dt.date(9999, 12, 31)
 MILLIS_THRESHOLD = 1e12
+EPOCH_RANGE = (-62135596800.0, 253402300799.0)  # years 1 to 9999
 
 ISO_PREFIX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
@@ -99,7 +100,7 @@ def from_epoch_or_iso(text: Column) -> Column:
     """Epoch seconds, epoch milliseconds (told apart by size) or ISO text."""
     number = safe_number(text)
     seconds = F.when(number > F.lit(MILLIS_THRESHOLD), number / F.lit(1000.0)).otherwise(number)
-    return F.coalesce(F.timestamp_seconds(seconds), parse_iso(text))
+    return F.coalesce(F.timestamp_seconds(F.when(seconds.between(*EPOCH_RANGE), seconds)), parse_iso(text))
 
 
 def backfill_cutoff(now: Column) -> Column:

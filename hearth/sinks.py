@@ -2,8 +2,10 @@
 
 A table is a folder. Tables that take interval writes are partitioned by day in
 ``ts_day``; replacing an interval rewrites only the days it touches. The new
-content of those days is staged in full before the table changes, and the
-change itself is one dynamic partition overwrite.
+content of those days is staged in full, and a note next to the table says where,
+before the table changes. The change itself is one dynamic partition overwrite;
+if the job dies in the middle of it, the next write finds the note and completes
+the change first.
 """
 
 from __future__ import annotations
@@ -91,19 +93,19 @@ def materialize(df: DataFrame, kind: str, name: str, root: str | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
+def _staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-def _put_days(current: DataFrame, content: DataFrame, table: str, touched) -> None:
-    """Make ``content`` the whole of the touched days of ``table``."""
-    spark = content.sparkSession
-    before = current.filter(touched).select(DAY).distinct()
-    # at most one value per calendar day of the interval
-    emptied = [row[DAY] for row in before.join(content, DAY, "left_anti").collect()]
+def _note(table: str) -> str:
+    return f"{table.rstrip('/')}_pending"
+
+
+def _swap(content: DataFrame, table: str, emptied: Sequence) -> None:
+    """Make ``content`` the whole of its days and drop the emptied ones. Repeatable."""
     (
         _balanced_by_day(content)
         .write.mode("overwrite")
@@ -112,7 +114,32 @@ def _put_days(current: DataFrame, content: DataFrame, table: str, touched) -> No
         .parquet(table)
     )
     for day in emptied:
-        _drop_day(spark, table, day)
+        _drop_day(content.sparkSession, table, day)
+
+
+def _finish_pending(spark: SparkSession, table: str) -> None:
+    """Complete a change that an earlier job noted but did not finish."""
+    note, fs = _path_and_fs(spark, _note(table))
+    done, _ = _path_and_fs(spark, f"{_note(table)}/_SUCCESS")
+    if fs.exists(done):
+        pending = spark.read.schema("content string, emptied array<date>").json(_note(table)).first()
+        _swap(spark.read.parquet(pending["content"]), table, pending["emptied"])
+    fs.delete(note, True)
+
+
+def _put_days(current: DataFrame, staged: tuple[DataFrame, str], table: str, touched) -> None:
+    """Make the staged rows the whole of the touched days of ``table``."""
+    content, path = staged
+    spark = content.sparkSession
+    before = current.filter(touched).select(DAY).distinct()
+    # at most one value per calendar day of the interval
+    emptied = [row[DAY] for row in before.join(content, DAY, "left_anti").collect()]
+    days = F.array(*[F.lit(day) for day in emptied]).cast("array<date>")
+    note = spark.range(1, numPartitions=1).select(F.lit(path).alias("content"), days.alias("emptied"))
+    note.write.mode("overwrite").json(_note(table))
+    _swap(content, table, emptied)
+    folder, fs = _path_and_fs(spark, _note(table))
+    fs.delete(folder, True)
 
 
 def replace_interval(
@@ -125,7 +152,7 @@ def replace_interval(
     Returns whether the table was changed.
     """
     spark = df.sparkSession
-    new = _staged(with_day(df, ts), "new-rows")
+    new, _ = _staged(with_day(df, ts), "new-rows")
     summary = new.agg(
         F.count("*").alias("rows"),
         F.count_if(F.col(ts).isNull()).alias("untimed"),
@@ -135,6 +162,7 @@ def replace_interval(
         raise ValueError(f"{summary['untimed']} rows have no {ts} and fit no interval")
     if not summary["rows"] and not allow_empty:
         return False
+    _finish_pending(spark, table)
     current = read_days(spark, table, new.schema)
     touched = day_range(DAY, start, end)
     if summary["elsewhere"]:
@@ -143,8 +171,8 @@ def replace_interval(
         affected = current.filter(touched).unionByName(kept_elsewhere)
     else:
         affected = current.filter(touched)
-    content = _staged(replace_where(affected, new, in_window(ts, start, end)), "new-days")
-    _put_days(current, content, table, touched)
+    staged = _staged(replace_where(affected, new, in_window(ts, start, end)), "new-days")
+    _put_days(current, staged, table, touched)
     return True
 
 
@@ -168,12 +196,13 @@ def upsert_rows(df: DataFrame, table: str, ts: str, keys: Sequence[str]) -> None
     Rewrites only the days the batch touches; ``keys`` must determine ``ts``.
     """
     spark = df.sparkSession
-    new = _staged(with_day(df, ts).dropDuplicates(list(keys)), "new-rows")
+    new, _ = _staged(with_day(df, ts).dropDuplicates(list(keys)), "new-rows")
     if new.isEmpty():
         return
+    _finish_pending(spark, table)
     days = new.select(DAY).distinct()
     current = read_days(spark, table, new.schema)
     kept = current.join(days, DAY, "left_semi").join(new.select(*keys), list(keys), "left_anti")
-    content = _staged(kept.select(*new.columns).unionByName(new), "new-days")
+    staged = _staged(kept.select(*new.columns).unionByName(new), "new-days")
     # every touched day has at least the new rows, so none can end up empty
-    _put_days(current, content, table, F.lit(False))
+    _put_days(current, staged, table, F.lit(False))

@@ -113,3 +113,38 @@ def test_scratch_follows_the_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert shared_dir(spark) == configured.rstrip("/")
+
+
+def test_interrupted_change_is_completed_by_the_next_write(spark, table, monkeypatch):
+    """The job dies after a day folder was removed and before its new one is in place."""
+    swap = sinks._swap
+
+    def dies(content, path, emptied):
+        sinks._drop_day(spark, path, utc("2025-01-02").date())
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(sinks, "_swap", dies)
+    batch = price(spark, [("2025-01-02 00:00:00", 20)])
+    with pytest.raises(RuntimeError):
+        sinks.replace_interval(batch, table, "ts_utc", "2025-01-02 00:00:00", "2025-01-02 01:00:00")
+    assert [p for _, p in stored(spark, table)] == [1.0, 4.0]
+    monkeypatch.setattr(sinks, "_swap", swap)
+    sinks.replace_interval(price(spark, [("2025-01-03 00:00:00", 40)]), table, "ts_utc", "2025-01-03", "2025-01-04")
+    assert [p for _, p in stored(spark, table)] == [1.0, 20.0, 3.0, 40.0]
+
+
+def test_day_filter_prunes_partitions(spark, table):
+    from hearth.operators.filters import time_window
+
+    rows = time_window(
+        sinks.read_days(spark, table, BRONZE_PRICE), "ts_utc", "2025-01-02", "2025-01-03", day="ts_day"
+    )
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ts_day" in plan
+    assert [r.price_per_mwh for r in rows.orderBy("ts_utc").collect()] == [2.0, 3.0]
+
+
+def test_recursive_price_files(spark, folder):
+    price(spark, HISTORY[:2]).write.parquet(f"{folder}/data/a/b")
+    price(spark, HISTORY[2:]).write.parquet(f"{folder}/data/c")
+    assert read_price_table(spark, f"{folder}/data", recursive=True).count() == 4

@@ -6,7 +6,7 @@ for the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.time import as_instant
@@ -139,8 +139,6 @@ def holidays(spark: SparkSession) -> DataFrame:
 
 def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validity of a customer's state, from one order day to the next."""
-    from pyspark.sql import Window
-
     days = (
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey", F.to_date("o_orderdate").alias("valid_from"))
@@ -172,7 +170,7 @@ def number(col: str) -> str:
     return f"CASE WHEN regexp_matches({col}, '{NUMERIC}') THEN TRY_CAST({col} AS DOUBLE) END"
 
 
-_SENSOR_CASE = (
+SENSOR_CASE = (
     "CASE event_type "
     + " ".join(f"WHEN '{t}' THEN '{s}'" for t, s in SENSOR_OF_TYPE.items())
     + f" ELSE '{OTHER_SENSOR}' END"
@@ -202,7 +200,7 @@ FROM (SELECT CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) /
 _CTES: dict[str, tuple[list[str], str]] = {
     "readings": (
         [],
-        f"""SELECT ts AS ingestion_ts, {_SENSOR_CASE} AS entity_id,
+        f"""SELECT ts AS ingestion_ts, {SENSOR_CASE} AS entity_id,
        CASE WHEN event_id % 50 = 0 THEN 'unavailable'
             WHEN event_type = 'view' THEN printf('%.4f', 10 + value / 4)
             ELSE printf('%.2f', value) END AS state,

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearth import sinks, sources
-from hearth.operators.filters import no_rows, time_window
+from hearth.operators.filters import keep_prefix, no_rows, time_window
 from hearth.operators.sets import union_all
+from hearth.plans.silver import stg_price
 from hearth.schemas import BRONZE_DEVICE, BRONZE_PRICE
 from hearth.session import scratch_path
 from hearth.sources.registry import bronze_path
 
 from . import feeds, landing
 from .entry import Entry
-from .feeds import _SENSOR_CASE, with_feeds
+from .feeds import SENSOR_CASE, with_feeds
 
 ENTRIES: dict[str, Entry] = {}
 
@@ -65,14 +66,14 @@ _STATE = "CASE WHEN event_id % 10 <> 0 THEN value END"
 
 @register(
     "s4_statistics",
-    f"""SELECT {_SENSOR_CASE} AS entity_id,
+    f"""SELECT {SENSOR_CASE} AS entity_id,
        coalesce(CAST({_MEAN} AS VARCHAR), CAST({_STATE} AS VARCHAR), '') AS state,
        date_trunc('second', ts) AS last_changed,
        '{{"mean":' || coalesce(CAST({_MEAN} AS VARCHAR), 'null') || ',"min":' ||
        coalesce(CAST({_MEAN} AS VARCHAR), 'null') || ',"max":null,"sum":null,"state":' ||
        coalesce(CAST({_STATE} AS VARCHAR), 'null') || ',"source":"long_term_statistics"}}' AS attributes
 FROM events WHERE event_id % 17 <> 0
-UNION ALL SELECT {_SENSOR_CASE}, CAST(value AS VARCHAR), date_trunc('second', ts) + INTERVAL 30 MINUTE,
+UNION ALL SELECT {SENSOR_CASE}, CAST(value AS VARCHAR), date_trunc('second', ts) + INTERVAL 30 MINUTE,
        '{{"mean":null,"min":null,"max":null,"sum":null,"state":' || CAST(value AS VARCHAR) ||
        ',"source":"long_term_statistics"}}' FROM events""",
 )
@@ -279,8 +280,6 @@ def _(spark, sf):
     ["price_eur_per_kwh"],
 )
 def _(spark, sf):
-    from hearth.plans.silver import stg_price
-
     root = scratch_path(spark, "models")
     view = sinks.materialize(stg_price(feeds.prices(spark, sf)), "view", "stg_price_data")
     return sinks.materialize(view, "table", "price_by_hour", root)
@@ -303,8 +302,6 @@ WHERE CAST(last_changed AS DATE) = DATE '2024-01-07'""",
     ),
 )
 def _(spark, sf):
-    from hearth.operators.filters import keep_prefix
-
     path = scratch_path(spark, "subset-csv")
     sinks.save_csv(keep_prefix(_readings_text(spark, sf), "last_changed", "2024-01-07"), path)
     return sources.read_readings_csv(spark, path)

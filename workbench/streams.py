@@ -71,11 +71,13 @@ def _(spark, sf):
 )
 def _(spark, sf):
     log = feeds.readings(spark, sf)
-    path = _landed(spark, time_window(log, "last_changed", "2000-01-01", "2024-01-18"))
-    sinks.append(time_window(log, "last_changed", "2024-01-12", "2100-01-01"), path)  # overlaps by days
-    stream = streaming.stream_readings(spark, path, files_per_trigger=1)
-    sink = lambda table: streaming.upsert_interval_sink(table, "last_changed", ["entity_id", "last_changed"])
-    table = _drained(spark, stream, sink, scratch_path(spark, "stream-upsert"))
+    path, table = scratch_path(spark, "stream-landing"), scratch_path(spark, "stream-upsert")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    sink = streaming.upsert_interval_sink(table, "last_changed", ["entity_id", "last_changed"])
+    # two deliveries that overlap by some days, each drained when it has landed
+    for start, end in (("2000-01-01", "2024-01-18"), ("2024-01-12", "2100-01-01")):
+        sinks.append(time_window(log, "last_changed", start, end), path)
+        streaming.drain(streaming.stream_readings(spark, path), sink, checkpoint)
     return sinks.read_days(spark, table, BRONZE_IOT).select("entity_id", "state", "last_changed")
 
 
