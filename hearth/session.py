@@ -41,3 +41,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, one tree per application."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/hearth/{app}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's scratch tree, once nothing reads from it any more."""
+    tree = f"{shared_dir(spark)}/hearth/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(tree)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

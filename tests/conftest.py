@@ -19,10 +19,11 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    from hearth.session import configure
+    from hearth.session import configure, release
 
     configure(session)
     yield session
+    release(session)
     session.stop()
 
 

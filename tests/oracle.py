@@ -79,6 +79,7 @@ def main() -> None:
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as entry
+    from hearth.session import release
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     prefixes = tuple(sys.argv[2:])
@@ -111,6 +112,7 @@ def main() -> None:
         mark = "ok  " if problem is None else "FAIL"
         print(f"{mark} {name} {time.time() - begin:.2f}s {problem or ''}", flush=True)
     print("failures:", bad)
+    release(spark)
 
 
 if __name__ == "__main__":

@@ -32,7 +32,7 @@ class Entry:
         for field in df.schema:
             col = F.col(f"`{field.name}`")
             if field.name in self.floats:
-                col = F.floor(col * F.lit(float(self.grid)) + F.lit(0.5)) / F.lit(float(self.grid))
+                col = F.rint(col * F.lit(float(self.grid))) / F.lit(float(self.grid))
             elif isinstance(field.dataType, T.TimestampType):
                 col = col.cast("timestamp_ntz")
             columns.append(col.alias(field.name))
@@ -45,6 +45,6 @@ class Entry:
             return self.sql
         grid = f"CAST({self.grid} AS DOUBLE)"
         rounded = ", ".join(
-            f'floor("{c}" * {grid} + CAST(0.5 AS DOUBLE)) / {grid} AS "{c}"' for c in self.floats
+            f'round_even("{c}" * {grid}, 0) / {grid} AS "{c}"' for c in self.floats
         )
         return f"SELECT * REPLACE ({rounded}) FROM ({self.sql}) AS result"
