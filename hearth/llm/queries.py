@@ -8,12 +8,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import line_dedup
+from . import decontaminate, line_dedup
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+OP4_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS key, least(len(w), 10) AS size
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS key
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), found AS (
+  SELECT p.doc_id, p.i, p.size, x.item_id FROM places p JOIN windows x ON p.key = x.key AND p.size = x.size
+), hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+  sha256(coalesce(i.ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM words d LEFT JOIN hit h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_frequent_lines(table(configure(spark), sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -39,9 +82,11 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES: dict[str, Query] = {
+    "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op4_decontamination": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
 }
