@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
-from . import decontaminate, line_dedup
+from ..session import configure, scratch_path
+from . import decontaminate, line_dedup, packing, token_counts
 from .common import table
 
+# One of the vocabulary files that the box offers; operators take any path.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(configure(spark), sf_dir, "documents"), TOKENIZER).drop("ids")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -81,9 +89,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id
 """
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so that every content is a miss."""
+    docs = table(configure(spark), sf_dir, "documents")
+    return token_counts.count_tokens(docs, TOKENIZER, scratch_path(spark, "token-cache"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_packing": op2_packing,
     "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
