@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
-from . import decontaminate, line_dedup, packing, token_counts
+from . import decontaminate, language, line_dedup, packing, quality, token_counts
 from .common import table
 
 # One of the vocabulary files that the box offers; operators take any path.
@@ -18,6 +18,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(configure(spark), sf_dir, "documents"), TOKENIZER).drop("ids")
 
@@ -89,6 +94,10 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id
 """
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(table(configure(spark), sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, so that every content is a miss."""
     docs = table(configure(spark), sf_dir, "documents")
@@ -96,9 +105,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op7_language": op7_language,
     "op10_token_counts": op10_token_counts,
 }
 
