@@ -15,6 +15,8 @@ from .features import Characters, held_out, sampled, text_blocks
 
 ORDERS = (2, 3, 4)
 BITS = 16
+# Word pairs have two buckets behind the hashed ones: another word follows, or the same one again.
+SIZE = (1 << BITS) + 2
 DIMENSIONS = 16
 EPOCHS = 5
 RATE = 0.5
@@ -24,6 +26,15 @@ FOLDS = (4, 2)
 THRESHOLD = 0.7
 
 
+def _words(chars: Characters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket of each word, bucket of its pair with the word before it, and its place."""
+    words, places = chars.words(BITS)
+    again = np.concatenate([[False], words[1:] == words[:-1]])[: len(words)]
+    first = np.searchsorted(places, chars.begin[:-1])
+    again[first[first < len(words)]] = False
+    return words, (1 << BITS) + again.astype(np.int32), places
+
+
 @dataclass
 class QualityModel:
     """Label 1 against label 0. As the output is linear in the averaged vectors, each
@@ -36,9 +47,9 @@ class QualityModel:
         out = np.zeros(len(texts))
         for at, part in text_blocks(texts):
             chars = Characters.of(part)
-            bucket, places = chars.words(BITS)
-            total = chars.per_text(self.table[bucket], places)
-            n = chars.per_text(np.ones(len(places)), places)
+            words, pairs, places = _words(chars)
+            total = chars.per_text(self.table[words] + self.table[pairs], places)
+            n = chars.per_text(np.full(len(places), 2.0), places)
             for order in ORDERS:
                 bucket, whole = chars.ngrams(order, BITS)
                 total += chars.per_text(np.where(whole, self.table[bucket], 0.0))
@@ -60,12 +71,11 @@ def fit(examples: list[tuple[np.ndarray, np.ndarray, int]], *, dimensions: int =
     at their own pace.
     """
     if not examples:
-        return QualityModel(np.zeros(1 << BITS, dtype=np.float32), 0.0)
+        return QualityModel(np.zeros(SIZE, dtype=np.float32), 0.0)
     rng = np.random.default_rng(11)
-    size = 1 << BITS
-    vectors = rng.uniform(-1, 1, (size, dimensions)).astype(np.float32) / dimensions
+    vectors = rng.uniform(-1, 1, (SIZE, dimensions)).astype(np.float32) / dimensions
     output, bias = rng.normal(0, 0.5, (dimensions, 2)).astype(np.float32), np.zeros(2)
-    seen_v, seen_o = np.full(size, 1e-8, dtype=np.float32), np.full((dimensions, 2), 1e-2, dtype=np.float32)
+    seen_v, seen_o = np.full(SIZE, 1e-8, dtype=np.float32), np.full((dimensions, 2), 1e-2, dtype=np.float32)
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
         for i in rng.permutation(len(examples)):
@@ -101,12 +111,13 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAINING_DO
             found = []
             for _, part in text_blocks([t or "" for t in batch.column(1).to_pylist()]):
                 chars = Characters.of(part)
-                words, places = chars.words(BITS)
+                words, pairs, places = _words(chars)
                 bound = np.searchsorted(places, chars.begin)
                 grams = [chars.ngrams(order, BITS) for order in ORDERS]
                 for d in range(len(part)):
                     low, high = chars.begin[d], chars.begin[d + 1]
-                    every = [words[bound[d] : bound[d + 1]], *(b[low:high][w[low:high]] for b, w in grams)]
+                    own = slice(bound[d], bound[d + 1])
+                    every = [words[own], pairs[own], *(b[low:high][w[low:high]] for b, w in grams)]
                     bucket, count = np.unique(np.concatenate(every), return_counts=True)
                     share = count / max(1, count.sum())
                     found.append((bucket.astype("<i4").tobytes(), share.astype("<f4").tobytes()))
