@@ -15,8 +15,7 @@ BLANKS = " \t\n\v\f\r"
 MIN_CHARS = 40
 MIN_DOCS = 5
 BATCHES = 4
-FANOUT = 2
-BUCKETS = 32
+FANOUT = 3
 
 
 def line_key(line: Column) -> Column:
@@ -32,8 +31,9 @@ def _digest(key: Column) -> Column:
 class LineRuns:
     """Levels of sorted runs ``(key, docs, keeper)``, one row per line hash.
 
-    A run is a table bucketed and sorted by the hash, so that joining a run and
-    merging two runs are merge joins without a shuffle of the run. When a level
+    A run is a table bucketed and sorted by the hash, in as many buckets as the
+    session has shuffle partitions, so that joining a run and merging two runs are
+    merge joins without a shuffle of the run. When a level
     holds ``fanout`` runs, they are merged into one run of the next level. Every
     key whose documents have reached ``min_docs`` in some run is settled: later
     batches leave it out by an anti join, provided that batches arrive from the
@@ -43,9 +43,11 @@ class LineRuns:
     spark: SparkSession
     min_docs: int = MIN_DOCS
     fanout: int = FANOUT
-    buckets: int = BUCKETS
     levels: list[list[str]] = field(default_factory=list)
 
+    def __post_init__(self) -> None:
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def _write(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex[:12]}"
         (
@@ -109,7 +111,6 @@ def drop_frequent_lines(
     min_docs: int = MIN_DOCS,
     batches: int = BATCHES,
     fanout: int = FANOUT,
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text``.
 
@@ -135,7 +136,7 @@ def drop_frequent_lines(
     long_lines.withColumn("batch", number).write.partitionBy("batch").parquet(path)
     keys = spark.read.schema(f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, batch int").parquet(path)
 
-    runs = LineRuns(spark, min_docs=min_docs, fanout=fanout, buckets=buckets)
+    runs = LineRuns(spark, min_docs=min_docs, fanout=fanout)
     for batch in range(len(bounds), -1, -1):
         runs.add(keys.filter(F.col("batch") == batch).select("key", "doc_id"))
 
