@@ -62,6 +62,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, *, limit: int = LI
         .write.mode("append")
         .parquet(cache)
     )
-    return digests.join(read_cache(spark, cache, version), "digest").select(
+    # both sides written: adaptive execution can then split a digest that very many rows share
+    counts = stage(read_cache(spark, cache, version), "counts")
+    return digests.join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
