@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
-from . import decontaminate, language, line_dedup, packing, quality, token_counts
+from . import decontaminate, language, line_dedup, packing, quality, token_counts, topk
 from .common import table
 
 # One of the vocabulary files that the box offers; operators take any path.
@@ -94,6 +94,26 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id
 """
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(configure(spark), sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM vectors q, vectors c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+WHERE place <= 10
+"""
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(configure(spark), sf_dir, "documents"))
 
@@ -109,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op6_topk": op6_topk,
     "op7_language": op7_language,
     "op10_token_counts": op10_token_counts,
 }
@@ -116,4 +137,5 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op4_decontamination": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
+    "op6_topk": OP6_SQL,
 }
