@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
-from . import decontaminate, language, line_dedup, minhash, packing, quality, token_counts, topk
+from . import decontaminate, language, line_dedup, minhash, packing, quality, secret_scan, token_counts, topk
 from .common import table
 
 # One of the vocabulary files that the box offers; operators take any path.
@@ -35,7 +35,8 @@ OP3_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^ 	-]+') AS w FROM documents
+    '[^ 	-
+]+') AS w FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
@@ -147,6 +148,32 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(configure(spark), sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(configure(spark), sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    kinds = F.array(*[F.lit(kind) for kind in secret_scan.KINDS])
+    ordered = F.array_sort(
+        F.transform(
+            F.concat("base", "added"),
+            lambda s: F.struct(s["begin"].alias("begin"), F.array_position(kinds, s["kind"]).alias("place"), s["kind"].alias("kind"), s["end"].alias("end")),
+        )
+    )
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(F.encode(listed("base"), "UTF-8"), 256).alias("base_sha256"),
+        listed(ordered).alias("spans"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, so that every content is a miss."""
     docs = table(configure(spark), sf_dir, "documents")
@@ -161,6 +188,7 @@ QUERIES: dict[str, Query] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_topk": op6_topk,
     "op7_language": op7_language,
+    "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
 }
 
