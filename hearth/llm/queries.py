@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
-from . import decontaminate, language, line_dedup, minhash, packing, quality, secret_scan, token_counts, topk
+from . import decontaminate, language, line_dedup, minhash, packing, quality, secret_scan, substring_dedup, token_counts, topk
 from .common import table
 
 # One of the vocabulary files that the box offers; operators take any path.
@@ -148,6 +148,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(configure(spark), sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.find_repeats(table(configure(spark), sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(configure(spark), sf_dir, "documents"))
 
@@ -188,6 +193,7 @@ QUERIES: dict[str, Query] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_topk": op6_topk,
     "op7_language": op7_language,
+    "op8_substrings": op8_substrings,
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
 }
