@@ -82,7 +82,7 @@ def _hits(batch_texts: list[bytes], sizes: list[int], bits: np.ndarray):
     """Per block: its range of texts, its words, and (token, word position) of the mapped shingles."""
     for begin, end in blocks(batch_texts):
         found = words_of(batch_texts[begin:end], WORD_BYTES)
-        tokens, places = [], []
+        tokens, places = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
         for size in sizes:
             token, whole = found.shingles(size)
             slot = _slot(token)

@@ -128,10 +128,13 @@ def drop_frequent_lines(
         .select(_digest(F.col("line")).alias("key"), "doc_id")
         .distinct()
     )
-    bounds = sorted(set(docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)))
+    bounds = []
+    if batches > 1:
+        shares = F.array(*[F.lit(i / batches) for i in range(1, batches)])
+        bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", shares)).collect()[0][0] or ()))
     number = F.lit(0)
     for bound in bounds:
-        number = number + F.when(F.col("doc_id") > F.lit(int(bound)), 1).otherwise(0)
+        number = number + F.when(F.col("doc_id") > F.lit(bound), 1).otherwise(0)
     path = scratch_path(spark, "line-keys")
     long_lines.withColumn("batch", number).write.partitionBy("batch").parquet(path)
     keys = spark.read.schema(f"key binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, batch int").parquet(path)
