@@ -23,7 +23,7 @@ ROWS = 6
 MISS = 1e-6
 BATCH = 30
 # Members of a group that one task compares with one another or with as many others.
-GROUP_BLOCK = 128
+GROUP_BLOCK = 512
 WORD_BYTES = byte_class(bytes([0x20, *range(0x09, 0x0E)]))
 
 
@@ -223,11 +223,12 @@ def _survivors(signatures: np.ndarray, a: np.ndarray, b: np.ndarray, steps: list
     return a, b
 
 
-def _in_blocks(members: DataFrame, group: str, payload: list[str], block: int) -> DataFrame:
-    """Deal the members of each group into blocks, and every pair of blocks to one task.
+def _in_blocks(members: DataFrame, group: str, payload: DataFrame, block: int) -> DataFrame:
+    """Deal the ``cls`` members of each group into blocks, and every pair of blocks to one task.
 
     A group of at most ``block`` members is one block; a larger one has as many as
-    its size asks for, so that no pair of blocks has many more than two blocks' members.
+    its size asks for, so that no pair of blocks has many more than two blocks'
+    members. ``payload`` (by ``cls``) is attached once the rows are dealt.
     """
     sizes = stage(members.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "group-sizes")
     parts = F.ceil(F.col("n") / block).cast("int")
@@ -235,15 +236,16 @@ def _in_blocks(members: DataFrame, group: str, payload: list[str], block: int) -
     dealt = members.join(sizes, group).withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), parts - 1))
     )
+    rows = dealt.select(
+        F.col(group).alias("grp"),
+        F.least("own", "other").alias("left"),
+        F.greatest("own", "other").alias("right"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "cls",
+    )
     return (
-        dealt.select(
-            F.col(group).alias("grp"),
-            F.least("own", "other").alias("left"),
-            F.greatest("own", "other").alias("right"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"),
-            "cls",
-            *payload,
-        )
+        stage(rows, "dealt").join(payload, "cls")
+        .select("grp", "left", "right", "side", "cls", *[c for c in payload.columns if c != "cls"])
         .repartition("grp", "left", "right")
         .sortWithinPartitions("grp", "left", "right", "side")
     )
@@ -335,14 +337,14 @@ def near_duplicates(
     banded = reps.select(F.explode("bands").alias("band"), "cls")
     shared = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "bands")
     members = stage(banded.join(shared, "band").select("band", "cls"), "members")
-    signed = stage(members.join(reps.select("cls", "signature"), "cls").select("band", "cls", "signature"), "signed")
-    similar = _links(_in_blocks(signed, "band", ["signature"], block), _alike(steps))
+    similar = _links(_in_blocks(members, "band", reps.select("cls", "signature"), block), _alike(steps))
     clusters = stage(components(similar), "clusters")
 
-    wanted = clusters.join(reps, clusters["node"] == reps["cls"]).select("cls", "component", "digest", "doc_id")
+    wanted = clusters.join(reps, clusters["node"] == reps["cls"]).select("cls", "digest", "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint"), text_of(docs).alias("text")).join(stage(wanted, "wanted"), "doc_id")
-    full = stage(_with_sets(texts, plan, shingle), "sets").dropDuplicates(["cls"])
-    links = _links(_in_blocks(stage(full, "members"), "component", ["signature", "shingles"], block), _verified(steps, percent))
+    full = stage(_with_sets(texts, plan, shingle).dropDuplicates(["cls"]), "sets")
+    clustered = clusters.select(F.col("node").alias("cls"), "component")
+    links = _links(_in_blocks(clustered, "component", full, block), _verified(steps, percent))
     found = stage(components(links), "components")
 
     numbered = reps.select("cls", "digest", "doc_id").join(found, F.col("cls") == F.col("node"), "left").select(
@@ -358,12 +360,12 @@ def near_duplicates(
 
 
 def _with_sets(rows: DataFrame, plan: Plan, size: int) -> DataFrame:
-    """``cls, component, signature, shingles`` from rows whose text has the digest of the class."""
+    """``cls, signature, shingles`` from rows whose text has the digest of the class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(plan)
         for batch in batches:
-            texts, digests = texts_of(batch.column(3)), batch.column(2).to_pylist()
+            texts, digests = texts_of(batch.column(2)), batch.column(1).to_pylist()
             at, signatures, sets = [], [], []
             for begin, end in blocks(texts):
                 for i, own in enumerate(shingle_sets(words_of(texts[begin:end], WORD_BYTES), size), begin):
@@ -371,12 +373,9 @@ def _with_sets(rows: DataFrame, plan: Plan, size: int) -> DataFrame:
                         at.append(i)
                         signatures.append(signer.sign(own).astype("<u2").tobytes())
                         sets.append(own.astype("<u8").tobytes())
-            chosen = [column.take(pa.array(at, pa.int64())) for column in batch.columns[:2]]
+            chosen = batch.column(0).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*chosen, pa.array(signatures, pa.binary()), pa.array(sets, pa.binary())],
-                names=["cls", "component", "signature", "shingles"],
+                [chosen, pa.array(signatures, pa.binary()), pa.array(sets, pa.binary())], names=["cls", "signature", "shingles"]
             )
 
-    return rows.select("cls", "component", "digest", "text").mapInArrow(
-        run, "cls bigint, component bigint, signature binary, shingles binary"
-    )
+    return rows.select("cls", "digest", "text").mapInArrow(run, "cls bigint, signature binary, shingles binary")
