@@ -21,6 +21,8 @@ MATCH = 50
 # Bytes of an anchor. Every string of MATCH bytes holds the anchor of least hash
 # in it, so equal strings lie around equal anchors.
 ANCHOR = 16
+# Bytes of spans that a shard sorts at a time, if one anchor has no more.
+GROUP_BYTES = 1 << 20
 LEAST_ID = -(1 << 63)
 _HOME = 33  # class numbers: partition, and place in it
 
@@ -240,10 +242,16 @@ def _removed(pieces: DataFrame, match: int) -> DataFrame:
         starts = (e["length"][order][first].astype(np.int64) - match + 1)
         owner: list[np.ndarray] = [np.full(n, x) for n, x in zip(starts.tolist(), least.tolist(), strict=True)]
         chosen = np.flatnonzero(several)
-        if len(chosen):
-            spans = [held[span_of[order[first[i]]]] for i in chosen]
-            for i, found in zip(chosen.tolist(), _least_owner(spans, least[chosen], match), strict=True):
-                owner[i] = found
+        # anchors have no string in common, so they are sorted in groups of about GROUP_BYTES
+        room = np.cumsum(e["length"][order][first[chosen]].astype(np.int64) + 1) // GROUP_BYTES
+        of_chosen = of_anchor[chosen]
+        begins = np.flatnonzero(np.concatenate([[True], of_chosen[1:] != of_chosen[:-1]])[: len(chosen)])
+        part = np.repeat(room[begins], np.diff(np.append(begins, len(chosen))))
+        for at in np.split(chosen, np.flatnonzero(np.diff(part)) + 1):
+            if len(at):
+                spans = [held[span_of[order[first[i]]]] for i in at]
+                for i, found in zip(at.tolist(), _least_owner(spans, least[at], match), strict=True):
+                    owner[i] = found
         flat, offset = np.concatenate(owner), np.concatenate([[0], np.cumsum(starts)])
         for part in np.array_split(np.arange(len(order)), max(1, len(order) // 100_000)):
             n = starts[group[part]]
