@@ -47,6 +47,17 @@ def latest(value: str, ts: str) -> Column:
     return F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(ts, value)))
 
 
+def latest_in_group(df: DataFrame, keys: Mapping[str, Column], value: str, ts: str) -> DataFrame:
+    """Latest non-NULL ``value`` of each group; ``keys`` maps output names to columns.
+
+    In two steps as in :func:`hourly_avg_with_last`: the large input is hashed by
+    key and value with a numeric buffer, and values are compared among few rows.
+    """
+    named = [column.alias(name) for name, column in keys.items()]
+    per_value = df.groupBy(*named, F.col(value)).agg(F.max(ts).alias("_seen"))
+    return per_value.groupBy(*keys).agg(latest(value, "_seen").alias(value))
+
+
 def hourly_avg_with_last(
     df: DataFrame, ts: str, cols: Sequence[str], last: str, *, hour: str = "hour"
 ) -> DataFrame:

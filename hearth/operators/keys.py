@@ -89,3 +89,22 @@ def surrogate_key(
     if fits(df, max_rows):
         return ordered_key(df, order_cols, name)
     return global_row_number(df, order_cols, name, unique=False)
+
+
+def repeat_number(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds the number, from 0, of each row among those with equal ``keys`` (none NULL).
+
+    Rows whose key occurs once are number 0. The others are numbered as a whole by
+    :func:`global_row_number`, and the first number of their key is taken off, so
+    a key with very many rows is spread over tasks.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "repeats")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts.filter("_n > 1").select(*keys).write.parquet(f"{path}-keys")
+    repeated = spark.read.parquet(f"{path}-keys")
+    single = df.join(repeated, keys, "left_anti").select(*df.columns, F.lit(0).cast("bigint").alias(name))
+    several = global_row_number(df.join(repeated, keys, "left_semi"), [*keys, *order], "_position", unique=False)
+    several.groupBy(*keys).agg(F.min("_position").alias("_first")).write.parquet(f"{path}-first")
+    first = spark.read.parquet(f"{path}-first")
+    numbered = several.join(first, keys).select(*df.columns, (F.col("_position") - F.col("_first")).alias(name))
+    return single.unionByName(numbered)

@@ -31,5 +31,5 @@ def head(df: DataFrame, n: int, *cols: str) -> DataFrame:
     return top(df, n, *cols) if cols else df.limit(n)
 
 
-def dashboard_cap(df: DataFrame, *cols: str) -> DataFrame:
-    return head(df, DASHBOARD_ROWS, *cols)
+def dashboard_cap(df: DataFrame, *cols: str, limit: int = DASHBOARD_ROWS) -> DataFrame:
+    return head(df, limit, *cols)

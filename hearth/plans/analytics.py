@@ -250,7 +250,7 @@ def y8b(fact: DataFrame, dim_time: DataFrame, dim_device: DataFrame) -> DataFram
 
 
 def _last_rows(
-    view: DataFrame, dim_time: DataFrame, dim_device: DataFrame, dim_location: DataFrame, price: str, power: str
+    view: DataFrame, dim_time: DataFrame, dim_device: DataFrame, dim_location: DataFrame, price: str, power: str, limit: int
 ) -> DataFrame:
     joined = star_join(
         view.select("FactKey", "TimeKey", "DeviceKey", "LocationKey", price, "WC_Temp", power),
@@ -260,21 +260,25 @@ def _last_rows(
             "LocationKey": dim_location.select("LocationKey", "DeviceLocation", "PricingRegion"),
         },
     )
-    return top(joined, LAST_ROWS, "-TimeKey", "-FactKey").select(
+    return top(joined, limit, "-TimeKey", "-FactKey").select(
         "FactKey", price, "WC_Temp", power, "IsHoliday", "Month", "Day", "HourOfDay", "IsWeekend",
         "Brand", "Model", "DeviceLocation", "PricingRegion",
     )
 
 
-def y9(full: DataFrame, dim_time: DataFrame, dim_device: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Last ten rows of the full view with their dimensions."""
-    return _last_rows(full, dim_time, dim_device, dim_location, "ElectricityPrice", "ASHP_Power")
+def y9(
+    full: DataFrame, dim_time: DataFrame, dim_device: DataFrame, dim_location: DataFrame, *, limit: int = LAST_ROWS
+) -> DataFrame:
+    """Last rows of the full view with their dimensions."""
+    return _last_rows(full, dim_time, dim_device, dim_location, "ElectricityPrice", "ASHP_Power", limit)
 
 
-def y10(limited: DataFrame, dim_time: DataFrame, dim_device: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Last ten rows of the limited view with their dimensions."""
+def y10(
+    limited: DataFrame, dim_time: DataFrame, dim_device: DataFrame, dim_location: DataFrame, *, limit: int = LAST_ROWS
+) -> DataFrame:
+    """Last rows of the limited view with their dimensions."""
     return _last_rows(
-        limited, dim_time, dim_device, dim_location, "ElectricityPrice_Range", "ASHP_Power_Range"
+        limited, dim_time, dim_device, dim_location, "ElectricityPrice_Range", "ASHP_Power_Range", limit
     )
 
 

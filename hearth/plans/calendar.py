@@ -25,11 +25,6 @@ EASTER_DAYS = [
     (49, "Pentecost (Whit Sunday)"),
 ]
 
-# Years for which the published holiday list departs from the
-# astronomical rule. Pass overrides={} for the rule alone.
-LISTED_EASTER = {2038: "2038-03-28", 2039: "2039-04-17", 2040: "2040-04-08"}
-
-
 def easter_sunday(year: Column) -> Column:
     """Gregorian Easter by the Gauss method, as integer column arithmetic."""
     whole = lambda x: F.floor(x)
@@ -46,14 +41,13 @@ def easter_sunday(year: Column) -> Column:
     return F.date_add(F.make_date(year.cast("int"), F.lit(3), F.lit(22)), days.cast("int"))
 
 
-def holidays(
-    spark: SparkSession, first_year: int, last_year: int, *, overrides: dict[int, str] = LISTED_EASTER
-) -> DataFrame:
-    """``(timestamp date, name)`` for a range of years, one row per holiday."""
+def holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """``(timestamp date, name)`` for a range of years, one row per holiday.
+
+    For a published list use :func:`hearth.sources.read_seed`.
+    """
     years = spark.range(first_year, last_year + 1).select(F.col("id").alias("year"))
     easter = easter_sunday(F.col("year"))
-    for listed, day in overrides.items():
-        easter = F.when(F.col("year") == listed, F.lit(day).cast("date")).otherwise(easter)
     fixed = [
         F.struct(
             F.to_date(F.concat_ws("-", F.col("year").cast("string"), F.lit(day))).alias("timestamp"),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.aggregates import duplicate_keys
 from ..operators.filters import in_list
 from ..operators.joins import outer_merge
+from ..operators.keys import repeat_number
 from ..operators.ordering import sort_by
 from ..schemas import RAW_COLUMNS
 
@@ -30,37 +30,33 @@ def sensor_slice(readings: DataFrame, sensor: str, name: str) -> DataFrame:
 
 
 def merge_sensors(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
-    """Outer merge of the per-sensor slices; repeated timestamps multiply, as in any join."""
+    """Outer merge of the per-sensor slices, for sensors that never repeat a timestamp:
+    repeated ones multiply, as in any join."""
     return outer_merge([sensor_slice(readings, s, name) for s, name in columns.items()], "timestamp")
 
 
-def _spread(readings: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Each reading as a wide row that has only its own sensor's column."""
-    return in_list(readings, "entity_id", list(columns)).select(
-        F.col("last_changed").alias("timestamp"),
-        *[
-            F.when(F.col("entity_id") == sensor, F.col("state")).alias(name)
-            for sensor, name in columns.items()
-        ],
-    )
-
-
-def pivot_sensors(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
-    """The merge in one aggregation, for sensors that never repeat a timestamp."""
-    wide = _spread(readings, columns)
-    timed = wide.filter(F.col("timestamp").isNotNull())
-    merged = timed.groupBy("timestamp").agg(
+def wide_raw(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
+    """One row per timestamp with a column for each sensor, in one aggregation.
+
+    Where a sensor repeats a timestamp, its readings are numbered by value, and
+    there is one row per timestamp and number: the first readings of all sensors
+    side by side, then the second ones, and so on. An outer merge would give every
+    combination instead. Readings without a timestamp stay rows of their own.
+    """
+    known = in_list(readings, "entity_id", list(columns)).select("last_changed", "entity_id", "state")
+    timed = known.filter(F.col("last_changed").isNotNull())
+    numbered = repeat_number(timed, ["entity_id", "last_changed"], ["state"], "_number")
+
+    def own(sensor: str, name: str) -> Column:
+        return F.when(F.col("entity_id") == sensor, F.col("state")).alias(name)
+
+    wide = numbered.select(F.col("last_changed").alias("timestamp"), "_number", *[own(s, name) for s, name in columns.items()])
+    merged = wide.groupBy("timestamp", "_number").agg(
         *[F.any_value(name, ignoreNulls=True).alias(name) for name in columns.values()]
     )
-    return merged.unionByName(wide.filter(F.col("timestamp").isNull()))
-
-
-def wide_raw(readings: DataFrame, columns: Mapping[str, str] = RAW_COLUMNS) -> DataFrame:
-    """Wide table: pivoted in one pass unless a sensor repeats a timestamp."""
-    known = in_list(readings, "entity_id", list(columns))
-    if duplicate_keys(known, "entity_id", "last_changed").isEmpty():
-        return pivot_sensors(readings, columns)
-    return merge_sensors(readings, columns)
+    untimed = known.filter(F.col("last_changed").isNull())
+    alone = untimed.select(F.col("last_changed").alias("timestamp"), *[own(s, name) for s, name in columns.items()])
+    return merged.drop("_number").unionByName(alone)
 
 
 def series(wide: DataFrame, group: str) -> DataFrame:

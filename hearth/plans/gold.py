@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,14 +135,25 @@ def fact_base(
     return project_measures(with_price, "hour_start", "TimeKey")
 
 
-def attach_versions(base: DataFrame, dim_device: DataFrame, dim_location: DataFrame) -> DataFrame:
-    """Device and location versions valid on the local day of each hour."""
-    dated = base.withColumn("_day", local_date(F.col("hour_start")))
+def attach_versions(
+    base: DataFrame,
+    dim_device: DataFrame,
+    dim_location: DataFrame,
+    ts: str = "hour_start",
+    *,
+    device: Sequence[str] = ("DeviceKey",),
+    location: Sequence[str] = ("LocationKey",),
+) -> DataFrame:
+    """Device and location versions valid on the local day of ``ts``; works on streams too.
+
+    A device without an installation date is valid from the default date on.
+    """
+    dated = base.withColumn("_day", local_date(F.col(ts)))
     devices = dim_device.withColumn("_since", valid_from_or_default(F.col("InstallationDate")))
-    with_device = validity_join(dated, devices, "_day", "_since", "ValidTo", carry=["DeviceKey"])
+    with_device = validity_join(dated, devices, "_day", "_since", "ValidTo", carry=list(device))
     return validity_join(
-        with_device, dim_location, "_day", "ValidFrom", "ValidTo", carry=["LocationKey"]
-    ).drop("_day", "hour_start")
+        with_device, dim_location, "_day", "ValidFrom", "ValidTo", carry=list(location)
+    ).drop("_day")
 
 
 def fact_energy(
@@ -158,7 +171,7 @@ def fact_energy(
         stg_iot=stg_iot, stg_weather=stg_weather, stg_price=stg_price, dim_time=dim_time
     )
     keys = ["TimeKey", "DeviceKey", "LocationKey"]
-    rows = attach_versions(base, dim_device, dim_location)
+    rows = attach_versions(base, dim_device, dim_location).drop("hour_start")
     return global_row_number(rows, keys, "FactKey", stage_path=stage_path).select(
         "FactKey", *keys, *MEASURES
     )

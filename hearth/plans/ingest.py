@@ -1,22 +1,25 @@
 """Loads of landed payloads: the hourly interval, a backfill, a late replay.
 
 Every load stages and checks its batch before anything is deleted, so an empty
-or unreadable landing folder leaves the stored rows alone. When to run a load
-is up to the caller.
+landing folder, or one broken document in it, leaves the stored rows alone. Each
+load says what it did with its rows. When to run a load is up to the caller.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.time import backfill_cutoff
-from ..operators.filters import as_time, in_list, time_window
+from ..operators.aggregates import coverage
+from ..operators.filters import as_time, cutoff_report, in_list, in_window, time_window
 from ..operators.quality import run_suite
 from ..schemas import BRONZE_IOT, SENSOR_COLUMNS
-from ..sinks import read_days, replace_interval, replace_range_backfill
+from ..sinks import read_days, replace_interval, replace_range_backfill, upsert_rows
 from ..sources import (
     read_bronze,
     read_hourly_weather,
@@ -34,10 +37,34 @@ from .suites import STAR_CHECKS
 IOT, WEATHER, PRICE = "bronze_iot_raw_data", "bronze_weather_history", "bronze_price"
 
 
+# What names a row of each log.
+KEYS = {
+    IOT: ("last_changed", ["entity_id", "last_changed"]),
+    WEATHER: ("last_changed", ["entity_id", "last_changed"]),
+    PRICE: ("ts_utc", ["zone", "ts_utc"]),
+}
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What a load did with one log: whether the log changed, how many landed rows lie
+    in the interval, elsewhere, or have no time, how many hours from the cutoff on
+    were skipped, and which known sensors had no row."""
+
+    changed: bool
+    inside: int
+    elsewhere: int
+    untimed: int
+    skipped: int = 0
+    missing: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class Landing:
     """Folders of landed JSON payloads.
 
+    An hourly load reads whole folders, so give it those of its own interval.
+
     ``history`` holds state histories, ``statistics`` long-term statistics; a
     backfill turns to the histories when the statistics have no rows.
     ``weather`` holds weather histories for an hourly load and hourly arrays
@@ -60,18 +87,39 @@ def cutoff(now) -> Column:
     return backfill_cutoff(as_time(now))
 
 
-def load_interval(spark: SparkSession, root: str, landing: Landing, start, end) -> None:
-    """Replace ``[start, end)`` of the three bronze logs with what has landed."""
-    loads = [
-        (_known_sensors(read_iot_history(spark, landing.history, per=landing.per)), IOT, "last_changed"),
-        (read_weather_history(spark, landing.weather, per=landing.per), WEATHER, "last_changed"),
-        (read_price(spark, landing.prices, per=landing.per), PRICE, "ts_utc"),
-    ]
-    writes = [
-        partial(replace_interval, time_window(df, ts, start, end), bronze_path(root, name), ts, start, end)
-        for df, name, ts in loads
-    ]
-    together(spark, *writes)
+def _tally(df: DataFrame, ts: str, start, end) -> dict[str, int]:
+    inside = F.coalesce(in_window(ts, start, end), F.lit(False))
+    timed = F.col(ts).isNotNull()
+    row = df.agg(
+        F.count_if(inside).alias("inside"), F.count_if(timed & ~inside).alias("elsewhere"), F.count_if(~timed).alias("untimed")
+    ).first()
+    return row.asDict()
+
+
+def _load(df: DataFrame, root: str, name: str, start, end) -> Loaded:
+    """Replace the interval by the rows inside; rows elsewhere replace those of their own keys."""
+    ts, keys = KEYS[name]
+    path, tally = bronze_path(root, name), _tally(df, ts, start, end)
+    changed = replace_interval(time_window(df, ts, start, end), path, ts, start, end)
+    if tally["elsewhere"]:
+        upsert_rows(df.filter(F.col(ts).isNotNull() & ~in_window(ts, start, end)), path, ts, keys)
+    return Loaded(changed or tally["elsewhere"] > 0, **tally)
+
+
+def load_interval(spark: SparkSession, root: str, landing: Landing, start, end) -> dict[str, Loaded]:
+    """Replace ``[start, end)`` of the three bronze logs with what has landed.
+
+    Landed rows outside the interval are kept: they are inserted, or replace the
+    stored row of their key, so a rerun changes nothing. Rows without a time fit
+    nowhere; they are counted.
+    """
+    loads = {
+        IOT: _known_sensors(read_iot_history(spark, landing.history, per=landing.per)),
+        WEATHER: read_weather_history(spark, landing.weather, per=landing.per),
+        PRICE: read_price(spark, landing.prices, per=landing.per),
+    }
+    found = together(spark, *[partial(_load, df, root, name, start, end) for name, df in loads.items()])
+    return dict(zip(loads, found, strict=True))
 
 
 def _backfill_readings(spark: SparkSession, landing: Landing, start, end) -> DataFrame:
@@ -84,20 +132,42 @@ def _backfill_readings(spark: SparkSession, landing: Landing, start, end) -> Dat
     return time_window(rows, "last_changed", start, end)
 
 
-def load_range(spark: SparkSession, root: str, landing: Landing, start, end) -> None:
-    """Replace a long range of the three bronze logs; copies of a key count once."""
-    weather = read_hourly_weather(spark, landing.weather, as_time(end), per=landing.per)
-    prices = read_price(spark, landing.prices, per=landing.per)
-    loads = [
-        (_backfill_readings(spark, landing, start, end), IOT, "last_changed", ["entity_id", "last_changed"]),
-        (time_window(prices, "ts_utc", start, end), PRICE, "ts_utc", ["zone", "ts_utc"]),
-        (time_window(weather, "last_changed", start, end), WEATHER, "last_changed", ["entity_id", "last_changed"]),
-    ]
-    writes = [
-        partial(replace_range_backfill, df, bronze_path(root, name), ts, start, end, keys)
-        for df, name, ts, keys in loads
-    ]
-    together(spark, *writes)
+def _fill(df: DataFrame, root: str, name: str, start, end) -> Loaded:
+    ts, keys = KEYS[name]
+    tally = _tally(df, ts, start, end)
+    changed = replace_range_backfill(time_window(df, ts, start, end), bronze_path(root, name), ts, start, end, keys)
+    return Loaded(changed, **tally)
+
+
+def _missing(readings: DataFrame) -> tuple[str, ...]:
+    """Known sensors without a row; at most as many as there are sensors."""
+    rows = coverage(readings, "entity_id", list(SENSOR_COLUMNS)).filter("NOT present").collect()
+    return tuple(sorted(row["entity_id"] for row in rows))
+
+
+def load_range(spark: SparkSession, root: str, landing: Landing, start, end) -> dict[str, Loaded]:
+    """Replace a long range of the three bronze logs; the newest version of a key counts.
+
+    Rows outside the range are left to other loads; they are counted, as are the
+    weather hours from ``end`` on and the sensors that have no rows.
+    """
+    hours = read_hourly_weather(spark, landing.weather, F.lit("9999-12-31").cast("timestamp"), per=landing.per)
+    readings = _backfill_readings(spark, landing, start, end)
+    loads = {
+        IOT: readings,
+        PRICE: read_price(spark, landing.prices, per=landing.per),
+        WEATHER: read_hourly_weather(spark, landing.weather, as_time(end), per=landing.per),
+    }
+    skipped, missing, *found = together(
+        spark,
+        lambda: cutoff_report(hours, "last_changed", end).first()["skipped"],
+        lambda: _missing(readings),
+        *[partial(_fill, df, root, name, start, end) for name, df in loads.items()],
+    )
+    report = dict(zip(loads, found, strict=True))
+    report[WEATHER] = replace(report[WEATHER], skipped=skipped)
+    report[IOT] = replace(report[IOT], missing=missing)
+    return report
 
 
 def rebuild(spark: SparkSession, root: str, *, holidays: DataFrame, marts: str) -> tuple[Star, DataFrame]:
@@ -114,33 +184,55 @@ def rebuild(spark: SparkSession, root: str, *, holidays: DataFrame, marts: str)
     return star, run_suite(star.tables(), STAR_CHECKS)
 
 
+def _ignore(loaded: dict[str, Loaded]) -> None:
+    pass
+
+
 def run(
-    spark: SparkSession, root: str, landing: Landing, start, end, *, holidays: DataFrame, marts: str
+    spark: SparkSession,
+    root: str,
+    landing: Landing,
+    start,
+    end,
+    *,
+    holidays: DataFrame,
+    marts: str,
+    on_load: Callable[[dict[str, Loaded]], None] = _ignore,
 ) -> tuple[Star, DataFrame]:
-    """One scheduled interval: load, rebuild, test."""
-    load_interval(spark, root, landing, start, end)
+    """One scheduled interval: load, rebuild, test. ``on_load`` is told what was loaded."""
+    on_load(load_interval(spark, root, landing, start, end))
     return rebuild(spark, root, holidays=holidays, marts=marts)
 
 
 def backfill(
-    spark: SparkSession, root: str, landing: Landing, start, end, *, holidays: DataFrame, marts: str
+    spark: SparkSession,
+    root: str,
+    landing: Landing,
+    start,
+    end,
+    *,
+    holidays: DataFrame,
+    marts: str,
+    on_load: Callable[[dict[str, Loaded]], None] = _ignore,
 ) -> tuple[Star, DataFrame]:
-    """A closed range: load, rebuild, test."""
-    load_range(spark, root, landing, start, end)
+    """A closed range: load, rebuild, test. ``on_load`` is told what was loaded."""
+    on_load(load_range(spark, root, landing, start, end))
     return rebuild(spark, root, holidays=holidays, marts=marts)
 
 
 def late_replay(batch: DataFrame, bronze: str, hourly: str, start, end) -> DataFrame:
     """Replace a closed range of readings and recompute only its hours.
 
-    ``start`` and ``end`` lie on whole hours. Averages cannot be merged from
-    finished averages, so the touched hours are recomputed from bronze.
-    Returns the stored hourly table.
+    Averages cannot be merged from finished averages, so every hour that the range
+    touches is recomputed as a whole from bronze. Returns the stored hourly table.
     """
     spark = batch.sparkSession
     replace_interval(batch, bronze, "last_changed", start, end)
+    first = F.date_trunc("hour", as_time(start))
+    whole = F.date_trunc("hour", as_time(end))
+    last = F.when(whole == as_time(end), whole).otherwise(whole + F.expr("interval 1 hour"))
     stored = read_days(spark, bronze, BRONZE_IOT)
-    touched = time_window(stored, "last_changed", start, end, day="ts_day")
+    touched = time_window(stored, "last_changed", first, last, day="ts_day")
     recomputed = stg_iot(touched)
-    replace_interval(recomputed, hourly, "hour_start", start, end, allow_empty=True)
+    replace_interval(recomputed, hourly, "hour_start", first, last, allow_empty=True)
     return spark.read.parquet(hourly).select(*recomputed.columns)

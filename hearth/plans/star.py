@@ -3,10 +3,17 @@
 Staging frames are written first: the calendar and the fact both read them, so
 each bronze table is scanned once, and a lost executor re-reads a small hourly
 table instead of the bronze log.
+
+A build goes into a folder of its own and is published by one small file at the
+end. Surrogate keys change from build to build, so calendar and fact must be seen
+together or not at all: a reader follows the last published file, and a build
+that dies leaves the star before it in place.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import partial
@@ -52,11 +59,13 @@ def build_star(
     root: str,
     sensors: Mapping[str, str] = SENSOR_COLUMNS,
 ) -> Star:
-    """Write staging, dimensions and fact below ``root`` and return them."""
+    """Write staging, dimensions and fact as a new version below ``root``, publish and return them."""
     spark = bronze_iot.sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    folder = f"{root.rstrip('/')}/versions/{version}"
 
     def table(name: str, model: Callable[..., DataFrame], *inputs, **named) -> DataFrame:
-        return materialize(model(*inputs, **named), "table", name, root)
+        return materialize(model(*inputs, **named), "table", name, folder)
 
     stg_iot, stg_weather, stg_price, dim_device, dim_location = together(
         spark,
@@ -77,8 +86,9 @@ def build_star(
         dim_time=dim_time,
         dim_device=dim_device,
         dim_location=dim_location,
-        stage_path=f"{root.rstrip('/')}/_fact_stage",
+        stage_path=f"{folder}/_fact_stage",
     )
+    _publish(spark, root, version)
     return Star(stg_iot, stg_weather, stg_price, dim_time, dim_device, dim_location, fact)
 
 
@@ -90,7 +100,38 @@ def register_star(star: Star) -> None:
     materialize(limited_access(star.fact), "view", "v_heating_energy_limited_access")
 
 
+def _folder(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _published(spark: SparkSession, root: str) -> list[str]:
+    """Names of the published versions, oldest first; names begin with their time."""
+    folder, fs = _folder(spark, f"{root.rstrip('/')}/published")
+    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make a finished version the current one, then delete all but it and the one before.
+
+    Creating an empty file is one step, so readers see either star. The version
+    before stays for readers that have begun with it; folders of builds that died go too.
+    """
+    base = root.rstrip("/")
+    marker, fs = _folder(spark, f"{base}/published/{version}")
+    fs.create(marker).close()
+    kept = _published(spark, root)[-2:]
+    for place in ("published", "versions"):
+        folder, _ = _folder(spark, f"{base}/{place}")
+        for entry in fs.listStatus(folder):
+            if entry.getPath().getName() not in kept and entry.getPath().getName() < version:
+                fs.delete(entry.getPath(), True)
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
-    """The models of an earlier build."""
+    """The models of the last published build."""
+    versions = _published(spark, root)
+    if not versions:
+        raise FileNotFoundError(f"no star was published below {root}")
     names = ["stg_iot", "stg_weather", "stg_price", "dim_time", "dim_device", "dim_location", "fact"]
-    return Star(*[spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in names])
+    return Star(*[spark.read.parquet(f"{root.rstrip('/')}/versions/{versions[-1]}/{name}") for name in names])

@@ -2,23 +2,25 @@
 
 A table is a folder. Tables that take interval writes are partitioned by day in
 ``ts_day``; replacing an interval rewrites only the days it touches. The new
-content of those days is staged in full, and a note next to the table says where,
-before the table changes. The change itself is one dynamic partition overwrite;
-if the job dies in the middle of it, the next write finds the note and completes
-the change first.
+content of those days is staged in full beside the table, and a note next to it
+says where, before the table changes. The change itself is one dynamic partition
+overwrite; if the job dies in the middle of it, the next write finds the note and
+completes the change first. Staged rows go with the change they belong to, or at
+once if a write fails before its note stands. One writer at a time per table.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .operators.aggregates import latest_per_key
 from .operators.filters import day_range, in_window, nothing
 from .operators.sets import replace_where
-from .session import scratch_path
 from .sources.files import read_or_empty
 
 DAY = "ts_day"
@@ -77,7 +79,7 @@ def write_clustered(df: DataFrame, table: str, keys: Sequence[str], *, mode: str
 
 
 def save_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def materialize(df: DataFrame, kind: str, name: str, root: str | None = None) -> DataFrame:
@@ -93,17 +95,29 @@ def materialize(df: DataFrame, kind: str, name: str, root: str | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _staged(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+def _delete(spark: SparkSession, path: str) -> None:
+    folder, fs = _path_and_fs(spark, path)
+    fs.delete(folder, True)
+
+
+def _new_staging(table: str) -> str:
+    return f"{table.rstrip('/')}_staging/{uuid.uuid4().hex}"
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _note(table: str) -> str:
     return f"{table.rstrip('/')}_pending"
 
 
+def _noted(spark: SparkSession, table: str) -> bool:
+    done, fs = _path_and_fs(spark, f"{_note(table)}/_SUCCESS")
+    return fs.exists(done)
+
+
 def _swap(content: DataFrame, table: str, emptied: Sequence) -> None:
     """Make ``content`` the whole of its days and drop the emptied ones. Repeatable."""
     (
@@ -117,29 +131,44 @@ def _swap(content: DataFrame, table: str, emptied: Sequence) -> None:
         _drop_day(content.sparkSession, table, day)
 
 
+def _release_staging(spark: SparkSession, table: str, staging: str) -> None:
+    """Delete one write's staged rows, and the folder of all of them once it is empty."""
+    _delete(spark, staging)
+    parent, fs = _path_and_fs(spark, f"{table.rstrip('/')}_staging")
+    if fs.exists(parent) and not fs.listStatus(parent):
+        fs.delete(parent, True)
+
+
 def _finish_pending(spark: SparkSession, table: str) -> None:
     """Complete a change that an earlier job noted but did not finish."""
-    note, fs = _path_and_fs(spark, _note(table))
-    done, _ = _path_and_fs(spark, f"{_note(table)}/_SUCCESS")
-    if fs.exists(done):
+    if _noted(spark, table):
         pending = spark.read.schema("content string, emptied array<date>").json(_note(table)).first()
         _swap(spark.read.parquet(pending["content"]), table, pending["emptied"])
-    fs.delete(note, True)
+        _delete(spark, _note(table))
+        _release_staging(spark, table, pending["content"].rsplit("/", 1)[0])
+    _delete(spark, _note(table))
+
+
+def _days_of(df: DataFrame) -> list:
+    """Distinct days; at most one value per calendar day of a batch or interval."""
+    return [row[DAY] for row in df.select(DAY).distinct().collect()]
+
 
+def on_days(days: Sequence) -> Column:
+    """Condition with the days as literals, so that Spark prunes the other day folders."""
+    return F.col(DAY).isin(list(days)) if days else F.lit(False)
 
-def _put_days(current: DataFrame, staged: tuple[DataFrame, str], table: str, touched) -> None:
-    """Make the staged rows the whole of the touched days of ``table``."""
-    content, path = staged
+
+def _put_days(current: DataFrame, content: DataFrame, path: str, table: str, touched: Column) -> None:
+    """Make the staged ``content`` the whole of the touched days of ``table``."""
     spark = content.sparkSession
     before = current.filter(touched).select(DAY).distinct()
-    # at most one value per calendar day of the interval
-    emptied = [row[DAY] for row in before.join(content, DAY, "left_anti").collect()]
+    emptied = _days_of(before.join(content.select(DAY).distinct(), DAY, "left_anti"))
     days = F.array(*[F.lit(day) for day in emptied]).cast("array<date>")
     note = spark.range(1, numPartitions=1).select(F.lit(path).alias("content"), days.alias("emptied"))
     note.write.mode("overwrite").json(_note(table))
     _swap(content, table, emptied)
-    folder, fs = _path_and_fs(spark, _note(table))
-    fs.delete(folder, True)
+    _delete(spark, _note(table))
 
 
 def replace_interval(
@@ -151,38 +180,50 @@ def replace_interval(
     ``df`` outside the interval are appended without deleting anything.
     Returns whether the table was changed.
     """
-    spark = df.sparkSession
-    new, _ = _staged(with_day(df, ts), "new-rows")
-    summary = new.agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col(ts).isNull()).alias("untimed"),
-        F.count_if(~day_range(DAY, start, end)).alias("elsewhere"),
-    ).first()
-    if summary["untimed"]:
-        raise ValueError(f"{summary['untimed']} rows have no {ts} and fit no interval")
-    if not summary["rows"] and not allow_empty:
-        return False
-    _finish_pending(spark, table)
-    current = read_days(spark, table, new.schema)
-    touched = day_range(DAY, start, end)
-    if summary["elsewhere"]:
-        other_days = new.filter(~touched).select(DAY).distinct()
-        kept_elsewhere = current.filter(~touched).join(other_days, DAY, "left_semi")
-        affected = current.filter(touched).unionByName(kept_elsewhere)
-    else:
+    spark, staging = df.sparkSession, _new_staging(table)
+    try:
+        new = _staged(with_day(df, ts), f"{staging}/new-rows")
+        summary = new.agg(
+            F.count("*").alias("rows"),
+            F.count_if(F.col(ts).isNull()).alias("untimed"),
+            F.count_if(~day_range(DAY, start, end)).alias("elsewhere"),
+        ).first()
+        if summary["untimed"]:
+            raise ValueError(f"{summary['untimed']} rows have no {ts} and fit no interval")
+        if not summary["rows"] and not allow_empty:
+            return False
+        _finish_pending(spark, table)
+        current = read_days(spark, table, new.schema)
+        touched = day_range(DAY, start, end)
         affected = current.filter(touched)
-    staged = _staged(replace_where(affected, new, in_window(ts, start, end)), "new-days")
-    _put_days(current, staged, table, touched)
-    return True
+        if summary["elsewhere"]:
+            other_days = _days_of(new.filter(~touched))
+            affected = affected.unionByName(current.filter(~touched).filter(on_days(other_days)))
+        path = f"{staging}/new-days"
+        content = _staged(replace_where(affected, new, in_window(ts, start, end)), path)
+        _put_days(current, content, path, table, touched)
+        return True
+    finally:
+        if not _noted(spark, table):  # a noted change still needs its rows
+            _release_staging(spark, table, staging)
+
+
+def newest(df: DataFrame, keys: Sequence[str], version: str = "ingestion_ts") -> DataFrame:
+    """One row per key: the greatest ``version``, then the greatest of the other
+    columns in their order. Without such a column the other columns alone decide."""
+    others = [c for c in df.columns if c not in keys and c != version]
+    if version in df.columns:
+        return latest_per_key(df, list(keys), version, [version, *others])
+    return latest_per_key(df, list(keys), others[0], others) if others else df.dropDuplicates(list(keys))
 
 
 def replace_range_backfill(df: DataFrame, table: str, ts: str, start, end, keys: Sequence[str]) -> bool:
     """Replace a long range; ``end`` is exclusive, so newer rows survive.
 
-    Chunked loads overlap on their boundary days, so copies of one ``keys``
-    value within the batch count once.
+    Chunked loads overlap on their boundary days, so of several versions of one
+    ``keys`` value within the batch the newest counts.
     """
-    return replace_interval(df.dropDuplicates(list(keys)), table, ts, start, end)
+    return replace_interval(newest(df, keys), table, ts, start, end)
 
 
 def clear_range(spark: SparkSession, table: str, schema: T.StructType, ts: str, start, end) -> None:
@@ -193,16 +234,22 @@ def clear_range(spark: SparkSession, table: str, schema: T.StructType, ts: str,
 def upsert_rows(df: DataFrame, table: str, ts: str, keys: Sequence[str]) -> None:
     """Insert rows, replacing stored ones with the same ``keys``.
 
-    Rewrites only the days the batch touches; ``keys`` must determine ``ts``.
+    Of several versions of a key within the batch the newest counts. Reads and
+    rewrites only the days the batch touches; ``keys`` must determine ``ts``.
     """
-    spark = df.sparkSession
-    new, _ = _staged(with_day(df, ts).dropDuplicates(list(keys)), "new-rows")
-    if new.isEmpty():
-        return
-    _finish_pending(spark, table)
-    days = new.select(DAY).distinct()
-    current = read_days(spark, table, new.schema)
-    kept = current.join(days, DAY, "left_semi").join(new.select(*keys), list(keys), "left_anti")
-    staged = _staged(kept.select(*new.columns).unionByName(new), "new-days")
-    # every touched day has at least the new rows, so none can end up empty
-    _put_days(current, staged, table, F.lit(False))
+    spark, staging = df.sparkSession, _new_staging(table)
+    try:
+        new = _staged(newest(with_day(df, ts), keys), f"{staging}/new-rows")
+        days = _days_of(new)
+        if not days:
+            return
+        _finish_pending(spark, table)
+        current = read_days(spark, table, new.schema).filter(on_days(days))
+        kept = current.join(new.select(*keys), list(keys), "left_anti")
+        path = f"{staging}/new-days"
+        content = _staged(kept.select(*new.columns).unionByName(new), path)
+        # every touched day has at least the new rows, so none can end up empty
+        _put_days(current, content, path, table, F.lit(False))
+    finally:
+        if not _noted(spark, table):
+            _release_staging(spark, table, staging)

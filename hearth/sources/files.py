@@ -10,9 +10,25 @@ from ..operators.filters import nothing
 from ..schemas import BRONZE_PRICE, HOLIDAYS, READINGS_CSV
 
 
-def read_scd_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _by_name(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """Header CSV with its columns matched by name, whatever their order in the file.
+
+    Further columns of the file are left out, a missing one is an error, and so
+    is a folder whose files have different headers. ``multi_line`` allows line
+    breaks inside quotes, but a file is then read by one task.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    found = reader.csv(path).columns
+    missing = [name for name in schema.names if name not in found]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(found)}")
+    in_file = T.StructType([schema[name] if name in schema.names else T.StructField(name, T.StringType()) for name in found])
+    return reader.schema(in_file).option("enforceSchema", False).csv(path).select(*schema.names)
+
+
+def read_scd_csv(spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = True) -> DataFrame:
     """Header CSV of a dimension with validity dates."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return _by_name(spark, path, schema, multi_line)
 
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
@@ -20,9 +36,11 @@ def read_seed(spark: SparkSession, path: str) -> DataFrame:
     return read_scd_csv(spark, path, HOLIDAYS)
 
 
-def read_readings_csv(spark: SparkSession, path: str, schema: T.StructType = READINGS_CSV) -> DataFrame:
+def read_readings_csv(
+    spark: SparkSession, path: str, schema: T.StructType = READINGS_CSV, *, multi_line: bool = False
+) -> DataFrame:
     """Exploratory export; times stay text, as in the file."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return _by_name(spark, path, schema, multi_line)
 
 
 def read_or_empty(

@@ -2,7 +2,13 @@
 
 A payload is one JSON document: one per line by default, or one per file with
 ``per="file"``. Every reader parses the document once with a fixed schema and
-flattens it with ``inline``, so the work is spread over documents.
+flattens it with ``inline``, so the work is spread over documents. With
+``per="file"`` a whole file is one row, which suits payloads of an API call, not
+files of many gigabytes.
+
+A document that is no JSON, or not of its payload's shape, fails the read: a load
+must not take what is left for the whole. ``broken="skip"`` leaves such documents
+out, and :func:`bad_documents` lists them for a quarantine. Blank lines are no documents.
 """
 
 from __future__ import annotations
@@ -59,21 +65,75 @@ def read_documents(spark: SparkSession, path: str, per: str = "line") -> DataFra
     return spark.read.text(path, wholetext=per == "file")
 
 
+def _parse(documents: DataFrame, schema: str) -> DataFrame:
+    """``value``, the parsed ``payload``, and ``is_broken`` where that was not possible."""
+    wrapped = F.concat(F.lit('{"payload":'), F.col("value"), F.lit("}"))
+    options = {"columnNameOfCorruptRecord": "unparsed"}
+    parsed = F.from_json(wrapped, f"struct<payload:{schema},unparsed:string>", options)
+    rows = documents.filter(F.trim("value") != "").select("value", parsed.alias("parsed"))
+    return rows.select("value", F.col("parsed.payload").alias("payload"), F.col("parsed.unparsed").isNotNull().alias("is_broken"))
+
+
+def _payloads(documents: DataFrame, schema: str, broken: str) -> DataFrame:
+    """Parsed documents as one column ``payload``."""
+    if broken not in ("fail", "skip"):
+        raise ValueError("broken must be 'fail' or 'skip'")
+    parsed = _parse(documents, schema)
+    if broken == "skip":
+        return parsed.filter("NOT is_broken").select("payload")
+    message = F.concat(F.lit("broken document: "), F.substring("value", 1, 100))
+    return parsed.select(F.when(F.col("is_broken"), F.raise_error(message)).otherwise(F.col("payload")).alias("payload"))
+
+
+def bad_documents(spark: SparkSession, path: str, kind: str, *, per: str = "line", zone: str = "ee") -> DataFrame:
+    """Texts that a reader would refuse; ``kind`` is ``history``, ``weather``, ``price``, ``statistics`` or ``hourly``."""
+    schemas = {
+        "history": _history_schema("string"),
+        "weather": _history_schema(_attributes_type()),
+        "price": _price_schema(zone),
+        "statistics": _statistics_schema(),
+        "hourly": _hourly_schema(),
+    }
+    return _parse(read_documents(spark, path, per), schemas[kind]).filter("is_broken").select("value")
+
+
 def _ingested(at: Column | None) -> Column:
     return (F.current_timestamp() if at is None else at).alias("ingestion_ts")
 
 
-def _history_records(documents: DataFrame, attributes_type: str) -> DataFrame:
+def _history_schema(attributes_type: str) -> str:
     record = f"entity_id:string,state:string,last_changed:string,attributes:{attributes_type}"
-    lists = F.from_json("value", f"array<array<struct<{record}>>>")
-    return documents.select(F.inline(F.flatten(F.filter(lists, lambda one: one.isNotNull()))))
+    return f"array<array<struct<{record}>>>"
+
+
+def _attributes_type() -> str:
+    return f"struct<{','.join(f'{name}:string' for name in WEATHER_ATTRIBUTES.values())}>"
+
+
+def _price_schema(zone: str) -> str:
+    return f"struct<success:boolean,data:struct<{zone}:array<struct<timestamp:bigint,price:double>>>>"
+
+
+def _statistics_schema() -> str:
+    record = "start:string," + ",".join(f"{name}:string" for name in STATISTIC_FIELDS)
+    return f"map<string,array<struct<{record}>>>"
+
+
+def _hourly_schema() -> str:
+    arrays = ",".join(f"{name}:array<double>" for name in HOURLY_ARRAYS.values())
+    return f"struct<hourly:struct<time:array<string>,{arrays}>>"
+
+
+def _history_records(documents: DataFrame, attributes_type: str, broken: str) -> DataFrame:
+    lists = _payloads(documents, _history_schema(attributes_type), broken)
+    return lists.select(F.inline(F.flatten(F.filter("payload", lambda one: one.isNotNull()))))
 
 
 def read_iot_history(
-    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None
+    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
 ) -> DataFrame:
     """History payload: a list of per-entity lists of state changes."""
-    records = _history_records(read_documents(spark, path, per), "string")
+    records = _history_records(read_documents(spark, path, per), "string", broken)
     return records.select(
         _ingested(ingested_at),
         "entity_id",
@@ -84,11 +144,10 @@ def read_iot_history(
 
 
 def read_weather_history(
-    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None
+    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
 ) -> DataFrame:
     """History payload of the weather entity, nine attributes as doubles."""
-    fields = ",".join(f"{name}:string" for name in WEATHER_ATTRIBUTES.values())
-    records = _history_records(read_documents(spark, path, per), f"struct<{fields}>")
+    records = _history_records(read_documents(spark, path, per), _attributes_type(), broken)
     return records.select(
         _ingested(ingested_at),
         "entity_id",
@@ -108,10 +167,10 @@ def read_price(
     per: str = "line",
     zone: str = "ee",
     ingested_at: Column | None = None,
+    broken: str = "fail",
 ) -> DataFrame:
     """Price payload; unsuccessful or empty documents give no rows."""
-    schema = f"struct<success:boolean,data:struct<{zone}:array<struct<timestamp:bigint,price:double>>>>"
-    parsed = read_documents(spark, path, per).select(F.from_json("value", schema).alias("payload"))
+    parsed = _payloads(read_documents(spark, path, per), _price_schema(zone), broken)
     records = parsed.filter("payload.success").select(F.inline(f"payload.data.{zone}"))
     return records.select(
         _ingested(ingested_at),
@@ -123,14 +182,11 @@ def read_price(
 
 
 def read_statistics(
-    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None
+    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
 ) -> DataFrame:
     """Long-term statistics keyed by entity; rows without a time are dropped."""
-    record = "start:string," + ",".join(f"{name}:string" for name in STATISTIC_FIELDS)
-    documents = read_documents(spark, path, per)
-    by_entity = documents.select(
-        F.explode(F.from_json("value", f"map<string,array<struct<{record}>>>")).alias("entity_id", "records")
-    )
+    documents = _payloads(read_documents(spark, path, per), _statistics_schema(), broken)
+    by_entity = documents.select(F.explode("payload").alias("entity_id", "records"))
     records = by_entity.select("entity_id", F.inline("records"))
     attributes = F.struct(
         *[safe_number(F.col(name)).alias(name) for name in STATISTIC_FIELDS],
@@ -153,12 +209,10 @@ def read_hourly_weather(
     *,
     per: str = "line",
     ingested_at: Column | None = None,
+    broken: str = "fail",
 ) -> DataFrame:
     """Parallel hourly arrays zipped by position; hours from ``cutoff`` on are dropped."""
-    arrays = ",".join(f"{name}:array<double>" for name in HOURLY_ARRAYS.values())
-    parsed = read_documents(spark, path, per).select(
-        F.from_json("value", f"struct<hourly:struct<time:array<string>,{arrays}>>").alias("payload")
-    )
+    parsed = _payloads(read_documents(spark, path, per), _hourly_schema(), broken)
     # a missing array would make the whole zip NULL, so an empty one stands in
     measures = [
         F.coalesce(F.col(f"payload.hourly.{name}"), F.array().cast("array<double>"))

@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.parse import safe_number
 from ..functions.time import local_date
 from ..operators.aggregates import avg_if, latest
-from ..operators.joins import flag_join, validity_join
+from ..operators.joins import flag_join
+from ..plans.gold import attach_versions
 from ..schemas import BRONZE_IOT, SENSOR_COLUMNS
 from ..sinks import upsert_rows
 
@@ -72,14 +73,16 @@ def last_state_stream(observations: DataFrame, delay: str, value: str = "conditi
     )
 
 
-def enrich_stream(rows: DataFrame, dim_device: DataFrame, holidays: DataFrame, ts: str) -> DataFrame:
-    """Device version and holiday flag from static tables."""
-    dated = rows.withColumn("_day", local_date(F.col(ts)))
-    with_device = validity_join(
-        dated, dim_device, "_day", "InstallationDate", "ValidTo", carry=["DeviceKey", "Brand", "Model"]
+def enrich_stream(
+    rows: DataFrame, dim_device: DataFrame, dim_location: DataFrame, holidays: DataFrame, ts: str
+) -> DataFrame:
+    """Device version, location version and holiday flag from static tables, by the rules of the fact."""
+    versioned = attach_versions(
+        rows, dim_device, dim_location, ts, device=["DeviceKey", "Brand", "Model"], location=["LocationKey", "DeviceLocation"]
     )
     days = holidays.select(F.to_date("timestamp").alias("day"))
-    return flag_join(with_device, days, "_day", "IsHoliday").drop("_day")
+    dated = versioned.withColumn("_day", local_date(F.col(ts)))
+    return flag_join(dated, days, "_day", "IsHoliday").drop("_day")
 
 
 def upsert_interval_sink(table: str, ts: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:

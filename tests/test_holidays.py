@@ -5,8 +5,8 @@ import datetime as dt
 from hearth.plans.calendar import holidays
 
 
-def by_name(spark, name, **options):
-    rows = holidays(spark, 2020, 2040, **options).filter(f"name = '{name}'").collect()
+def by_name(spark, name):
+    rows = holidays(spark, 2020, 2040).filter(f"name = '{name}'").collect()
     return {r.timestamp.year: r.timestamp for r in rows}
 
 
@@ -17,16 +17,15 @@ def test_twelve_days_a_year_all_distinct(spark):
 
 
 def test_known_easter_sundays(spark):
-    easter = by_name(spark, "Easter Sunday", overrides={})
+    easter = by_name(spark, "Easter Sunday")
     known = {2020: (4, 12), 2024: (3, 31), 2025: (4, 20), 2035: (3, 25), 2038: (4, 25), 2040: (4, 1)}
     assert {y: (easter[y].month, easter[y].day) for y in known} == known
-    assert by_name(spark, "Easter Sunday")[2038] == dt.date(2038, 3, 28)
 
 
 def test_special_gregorian_years(spark):
     easter = {
         r.timestamp.year: r.timestamp
-        for r in holidays(spark, 1954, 2076, overrides={}).filter("name = 'Easter Sunday'").collect()
+        for r in holidays(spark, 1954, 2076).filter("name = 'Easter Sunday'").collect()
     }
     assert easter[1954] == dt.date(1954, 4, 18)
     assert easter[1981] == dt.date(1981, 4, 19)

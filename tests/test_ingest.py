@@ -3,13 +3,15 @@
 import json
 
 import pytest
-from helpers import devices, locations, tuples, utc
+from helpers import devices, iot, locations, tuples, utc
 
 from hearth import sinks
-from hearth.plans import ingest
+from hearth.plans import gold, ingest
 from hearth.plans.calendar import holidays
+from hearth.plans.silver import stg_iot
 from hearth.plans.star import read_star, register_star
-from hearth.sources import read_bronze
+from hearth.schemas import SENSOR_COLUMNS
+from hearth.sources import bad_documents, read_bronze, read_price
 from hearth.sources.registry import bronze_path
 
 PUMP = "sensor.ohksoojus_power"
@@ -49,11 +51,12 @@ def test_interval_run_is_repeatable(spark, root):
         star, report = ingest.run(
             spark, f"{root}/bronze", landed, START, END, holidays=holidays(spark, 2020, 2040), marts=f"{root}/marts"
         )
-    row = star.fact.first()
-    assert star.fact.count() == 1
+    # the reading that landed for the next hour is kept, once
+    assert star.fact.count() == 2
+    row = star.fact.orderBy("TimeKey").first()
     assert (row.ASHP_Power, row.OutdoorTemp, row.ElectricityPrice, row.WeatherCondition) == (200.0, 2.0, 0.08, "rain")
     assert report.filter("failing > 0").count() == 0
-    assert read_bronze(spark, f"{root}/bronze", ingest.IOT).count() == 2
+    assert read_bronze(spark, f"{root}/bronze", ingest.IOT).count() == 3
     assert tuples(read_star(spark, f"{root}/marts").fact) == tuples(star.fact)
 
 
@@ -70,9 +73,9 @@ def test_sql_over_registered_views(spark, root):
            JOIN dim_device d ON d.DeviceKey = f.DeviceKey WHERE d.Brand = 'Daikin' GROUP BY 1"""
     ).first()
     assert (answer.kind, answer.cost) == ("weekend", pytest.approx(0.016))
-    masked = spark.sql("SELECT ASHP_Power_Range, WC_Temp FROM v_heating_energy_limited_access").first()
+    masked = spark.sql("SELECT ASHP_Power_Range, WC_Temp FROM v_heating_energy_limited_access ORDER BY TimeKey").first()
     assert tuple(masked) == ("200...300", "Masked")
-    assert spark.sql("SELECT * FROM v_heating_energy_full_access").count() == 1
+    assert spark.sql("SELECT * FROM v_heating_energy_full_access").count() == 2
 
 
 def test_backfill_prefers_statistics_and_falls_back_to_history(spark, root):
@@ -96,3 +99,71 @@ def test_backfill_prefers_statistics_and_falls_back_to_history(spark, root):
 def test_cutoff(spark):
     row = spark.range(1).select(ingest.cutoff("2025-11-05 10:40:00").alias("c")).first()
     assert row.c == utc("2025-11-05 09:00:00")
+
+
+def test_one_broken_document_stops_the_load(spark, root):
+    landed = landing(spark, root)
+    ingest.load_interval(spark, f"{root}/bronze", landed, START, END)
+    before = {name: tuples(read_bronze(spark, f"{root}/bronze", name)) for name in (ingest.IOT, ingest.WEATHER, ingest.PRICE)}
+    good = {"success": True, "data": {"ee": [{"timestamp": 1763892000, "price": 1}]}}
+    prices = land(spark, f"{root}/prices-2", good)
+    spark.createDataFrame([(json.dumps(good)[:40],), ("  ",)], "value string").write.mode("append").text(prices)
+    broken = ingest.Landing(history=landed.history, weather=landed.weather, prices=prices)
+    with pytest.raises(Exception, match="broken document"):
+        ingest.load_interval(spark, f"{root}/bronze", broken, START, END)
+    assert tuples(read_bronze(spark, f"{root}/bronze", ingest.PRICE)) == before[ingest.PRICE]
+    assert bad_documents(spark, prices, "price").count() == 1
+    assert read_price(spark, prices, broken="skip").count() == 1
+
+
+def test_load_report(spark, root):
+    told = ingest.load_interval(spark, f"{root}/bronze", landing(spark, root), START, END)
+    assert told[ingest.IOT] == ingest.Loaded(True, inside=2, elsewhere=1, untimed=0)
+    assert told[ingest.PRICE] == ingest.Loaded(True, 1, 0, 0)
+
+
+def test_backfill_report(spark, root):
+    hourly = {"hourly": {"time": ["2025-11-23T10:00", "2025-11-23T11:00", "2025-11-23T12:00"], "temperature_2m": [1.0, 2.0, 3.0]}}
+    landed = ingest.Landing(
+        statistics=land(spark, f"{root}/statistics", {PUMP: [{"start": 1763892000000, "mean": 55}]}),
+        prices=land(spark, f"{root}/prices", {"success": False}),
+        weather=land(spark, f"{root}/hourly", hourly),
+    )
+    told = ingest.load_range(spark, f"{root}/bronze", landed, "2025-11-23", END)
+    assert told[ingest.WEATHER].skipped == 2 and told[ingest.WEATHER].inside == 1
+    assert PUMP not in told[ingest.IOT].missing and len(told[ingest.IOT].missing) == len(SENSOR_COLUMNS) - 1
+    assert not told[ingest.PRICE].changed
+
+
+def test_dead_build_leaves_the_star_before_it(spark, root, monkeypatch):
+    options = dict(holidays=holidays(spark, 2020, 2040), marts=f"{root}/marts")
+    ingest.run(spark, f"{root}/bronze", landing(spark, root), START, END, **options)
+    before = tuples(read_star(spark, f"{root}/marts").fact)
+
+    def dies(**inputs):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(gold, "fact_energy", dies)
+        with pytest.raises(RuntimeError):
+            ingest.rebuild(spark, f"{root}/bronze", **options)
+    old = read_star(spark, f"{root}/marts")
+    assert tuples(old.fact) == before
+    assert old.fact.join(old.dim_time, "TimeKey").count() == len(before)
+    for _ in range(3):
+        ingest.rebuild(spark, f"{root}/bronze", **options)
+    assert tuples(read_star(spark, f"{root}/marts").fact) == before
+    # the current build and the one before it are all that is left
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/marts/versions")
+    assert len(folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)) == 2
+
+
+def test_replay_of_half_hours_recomputes_whole_ones(spark, root):
+    log = iot(spark, [(PUMP, "100", "2025-01-02 00:10:00"), (PUMP, "300", "2025-01-02 01:10:00"), (PUMP, "500", "2025-01-02 01:50:00")])
+    bronze, hourly = f"{root}/replay-bronze", f"{root}/replay-hourly"
+    sinks.write_day_partitioned(log, bronze, "last_changed")
+    sinks.write_day_partitioned(stg_iot(log), hourly, "hour_start")
+    late = iot(spark, [(PUMP, "200", "2025-01-02 00:40:00")])
+    stored = ingest.late_replay(late, bronze, hourly, "2025-01-02 00:30:00", "2025-01-02 01:30:00")
+    found = [(r.hour_start, r.heat_pump_power_avg) for r in stored.orderBy("hour_start").collect()]
+    assert found == [(utc("2025-01-02 00:00:00"), 150.0), (utc("2025-01-02 01:00:00"), 500.0)]

@@ -117,13 +117,24 @@ def test_wide_table_keeps_repeated_timestamps(spark):
     once = iot(spark, [(a, "1", "2025-01-01 00:00:00"), (b, "2", "2025-01-01 00:00:00"), (b, "3", "2025-01-01 01:00:00")])
     assert tuples(exploration.wide_raw(once, columns)) == tuples(exploration.merge_sensors(once, columns))
     twice = once.unionByName(iot(spark, [(a, "9", "2025-01-01 00:00:00")]))
+    # the second reading gets a row of its own; nothing multiplies
     assert tuples(exploration.wide_raw(twice, columns)) == [
         (utc("2025-01-01 00:00:00"), "1", "2"),
-        (utc("2025-01-01 00:00:00"), "9", "2"),
+        (utc("2025-01-01 00:00:00"), "9", None),
         (utc("2025-01-01 01:00:00"), None, "3"),
     ]
 
 
+def test_wide_table_never_outgrows_the_log(spark):
+    sensors = ["sensor.ohksoojus_power", "sensor.0xa4c138cdc6eff777_power", "sensor.ohukuivati_power"]
+    columns = dict(zip(sensors, ["pump", "boiler", "drier"]))
+    log = iot(spark, [(s, str(i % 9), "2025-01-01 00:00:00") for s in sensors for i in range(40)])
+    wide = exploration.wide_raw(log, columns)
+    assert wide.count() == 40
+    readings = [r[name] for r in wide.collect() for name in columns.values()]
+    assert sorted(readings) == sorted(r.state for r in log.collect())
+
+
 def test_rows_without_a_key_stay_and_do_not_multiply(spark):
     left = spark.createDataFrame([(None, 1), (None, 5), ("a", 2)], "t string, l int")
     right = spark.createDataFrame([(None, 3), (None, 6), ("b", 4)], "t string, r int")

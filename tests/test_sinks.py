@@ -5,7 +5,7 @@ from helpers import price, tuples, utc
 
 from hearth import sinks
 from hearth.schemas import BRONZE_PRICE
-from hearth.session import shared_dir
+from hearth.session import release, shared_dir
 from hearth.sources import read_or_empty, read_price_table
 
 
@@ -148,3 +148,54 @@ def test_recursive_price_files(spark, folder):
     price(spark, HISTORY[:2]).write.parquet(f"{folder}/data/a/b")
     price(spark, HISTORY[2:]).write.parquet(f"{folder}/data/c")
     assert read_price_table(spark, f"{folder}/data", recursive=True).count() == 4
+
+
+def folders(spark, path):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+
+
+def test_failed_swap_survives_release(spark, tmp_path, monkeypatch):
+    """Staged rows lie beside the table, so cleaning the scratch tree does not lose them."""
+    table = f"{tmp_path}/prices"
+    sinks.write_day_partitioned(price(spark, HISTORY), table, "ts_utc")
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_swap", lambda *_: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        with pytest.raises(RuntimeError):
+            sinks.replace_interval(price(spark, [("2025-01-02 00:00:00", 20)]), table, "ts_utc", "2025-01-02", "2025-01-03")
+    assert len(folders(spark, f"{table}_staging")) == 1
+    release(spark)
+    sinks.replace_interval(price(spark, [("2025-01-03 00:00:00", 40)]), table, "ts_utc", "2025-01-03", "2025-01-04")
+    assert [p for _, p in stored(spark, table)] == [1.0, 20.0, 40.0]
+    assert folders(spark, str(tmp_path)) == ["prices"]
+
+
+def test_writes_leave_no_staging(spark, tmp_path):
+    table = f"{tmp_path}/prices"
+    batch = price(spark, HISTORY)
+    sinks.replace_interval(batch, table, "ts_utc", "2025-01-01", "2025-01-04")
+    sinks.replace_interval(batch.limit(0), table, "ts_utc", "2025-01-01", "2025-01-04")
+    sinks.upsert_rows(batch, table, "ts_utc", ["zone", "ts_utc"])
+    sinks.clear_range(spark, table, BRONZE_PRICE, "ts_utc", "2025-01-02", "2025-01-03")
+    with pytest.raises(ValueError):
+        sinks.replace_interval(batch.selectExpr("* EXCEPT (ts_utc)", "CAST(NULL AS TIMESTAMP) AS ts_utc"), table, "ts_utc", "2025-01-02", "2025-01-03")
+    assert folders(spark, str(tmp_path)) == ["prices"]
+
+
+def test_newest_version_of_a_key_is_kept(spark, table):
+    versions = [("2025-01-02 00:00:00", p, t) for p, t in ((5, "2025-02-01"), (7, "2025-02-03"), (6, "2025-02-02"), (4, "2025-02-03"))]
+    batch = price(spark, versions)
+    sinks.replace_range_backfill(batch, table, "ts_utc", "2025-01-02", "2025-01-03", ["zone", "ts_utc"])
+    assert [p for _, p in stored(spark, table)] == [1.0, 7.0, 4.0]
+    sinks.upsert_rows(price(spark, [(a, p + 1, t) for a, p, t in versions]), table, "ts_utc", ["zone", "ts_utc"])
+    assert [p for _, p in stored(spark, table)] == [1.0, 8.0, 4.0]
+
+
+def test_touched_days_are_literals(spark, table):
+    import datetime as dt
+
+    rows = sinks.read_days(spark, table, BRONZE_PRICE).filter(sinks.on_days([dt.date(2025, 1, 2)]))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ts_day" in plan and "(ts_day#" in plan and "= 2025-01-02)" in plan
+    assert sinks.read_days(spark, table, BRONZE_PRICE).filter(sinks.on_days([])).count() == 0

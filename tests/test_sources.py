@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from helpers import utc
 from pyspark.sql import functions as F
 
@@ -75,3 +76,26 @@ def test_short_and_missing_hourly_arrays(spark, folder):
 
 def test_unlanded_bronze_is_empty(spark, folder):
     assert read_bronze(spark, folder, "bronze_price").count() == 0
+
+
+def test_csv_columns_by_name(spark, folder):
+    from hearth.schemas import BRONZE_DEVICE
+
+    names = BRONZE_DEVICE.names
+    row = {"Brand": 'Quote "A", B', "Model": "two\nlines", "MinPower": "1.5", "MaxPower": "2", "InstallationDate": "2024-01-01", "ValidTo": "2024-12-31"}
+    frame = spark.createDataFrame([tuple(row[n] for n in names)], ", ".join(f"`{n}` string" for n in names))
+    expected = None
+    for order in (names, list(reversed(names)), [names[1], "Extra", *[n for n in names if n != names[1]]]):
+        path = f"{folder}/{'-'.join(order[:2])}"
+        from pyspark.sql import functions as F
+
+        from hearth.sinks import save_csv
+
+        save_csv(frame.withColumn("Extra", F.lit("x")).select(*order), path)
+        rows = [tuple(r) for r in sources.read_scd_csv(spark, path, BRONZE_DEVICE).collect()]
+        expected = expected or rows
+        assert rows == expected and rows[0][names.index("Brand")] == row["Brand"]
+        assert rows[0][names.index("Model")] == row["Model"]
+    save_csv(frame.drop("Brand"), f"{folder}/missing")
+    with pytest.raises(ValueError, match="no column Brand"):
+        sources.read_scd_csv(spark, f"{folder}/missing", BRONZE_DEVICE)

@@ -176,6 +176,7 @@ SENSOR_CASE = (
     + f" ELSE '{OTHER_SENSOR}' END"
 )
 
+# Sensor of each hourly average.
 _SENSOR_AVERAGES = {
     "heat_pump_power_avg": "sensor.ohksoojus_power",
     "boiler_power_avg": "sensor.0xa4c138cdc6eff777_power",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from hearth import sinks
@@ -143,6 +145,11 @@ def _(spark, sf):
     )
     sinks.overwrite(feeds.devices(spark, sf), bronze_path(root, "bronze_device"))
     sinks.overwrite(feeds.locations(spark, sf), bronze_path(root, "bronze_location"))
+    # from the first reading to the hour after the last observation of any kind
+    times = [feeds.readings(spark, sf).select("last_changed"), feeds.weather(spark, sf).select("last_changed"), feeds.prices(spark, sf).select("ts_utc")]
+    bounds = [df.agg(F.min(df.columns[0]), F.max(df.columns[0])).first() for df in times]
+    first = min(b[0] for b in bounds).replace(minute=0, second=0, microsecond=0)
+    last = max(b[1] for b in bounds).replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
     landed = ingest.Landing(
         statistics=landing.backfill_statistics(spark, sf),
         prices=landing.backfill_prices(spark, sf),
@@ -152,8 +159,8 @@ def _(spark, sf):
         spark,
         root,
         landed,
-        "2023-12-01",
-        "2024-03-01",
+        first,
+        last,
         holidays=feeds.holidays(spark),
         marts=scratch_path(spark, "backfill-marts"),
     )

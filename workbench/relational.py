@@ -18,7 +18,7 @@ from .feeds import wall, with_feeds
 ENTRIES: dict[str, Entry] = {}
 
 # Sums over money columns are large; compare them on a coarser grid.
-MONEY = 2**8
+MONEY = 2**20
 
 
 def register(name: str, sql: str | None, floats=(), grid: int = GRID):
@@ -382,8 +382,6 @@ def _(spark, sf):
     "a4_avg_if",
     """SELECT l_returnflag, avg(l_quantity) FILTER (WHERE l_discount > 0.05) AS discounted_quantity
 FROM lineitem GROUP BY 1""",
-    ["discounted_quantity"],
-    MONEY,
 )
 def _(spark, sf):
     discounted = aggregates.avg_if(F.col("l_quantity"), F.col("l_discount") > 0.05)
@@ -398,9 +396,8 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    hour = hour_start(F.col("last_changed")).alias("hour")
-    last = aggregates.latest("condition_state", "last_changed").alias("condition_state")
-    return feeds.weather(spark, sf).groupBy(hour).agg(last)
+    hour = {"hour": hour_start(F.col("last_changed"))}
+    return aggregates.latest_in_group(feeds.weather(spark, sf), hour, "condition_state", "last_changed")
 
 
 @register("a6_count", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")

@@ -183,8 +183,9 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "append")
     prices = feeds.prices(spark, sf)
-    sinks.append(time_window(prices, "ts_utc", "2000-01-01", "2024-01-11"), path)
-    sinks.append(time_window(prices, "ts_utc", "2024-01-11", "2100-01-01"), path)
+    early = F.coalesce(F.col("ts_utc") < "2024-01-11", F.lit(False))
+    sinks.append(prices.filter(early), path)
+    sinks.append(prices.filter(~early), path)
     return sources.read_or_empty(spark, path, BRONZE_PRICE)
 
 
@@ -232,7 +233,10 @@ def _(spark, sf):
     path = _stored_prices(spark, sf, "replace-range")
     start, end = "2024-01-02 00:00:00", "2024-01-25 15:00:00"
     batch = _corrected(spark, sf, start, end)
-    overlapping = batch.unionByName(time_window(batch, "ts_utc", "2024-01-10", "2024-01-11"))
+    day = time_window(batch, "ts_utc", "2024-01-10", "2024-01-11")
+    # the day was loaded before with other prices
+    older = day.withColumns({"price_per_mwh": F.lit(-1.0), "ingestion_ts": F.col("ingestion_ts") - F.expr("interval 1 day")})
+    overlapping = older.unionByName(batch).unionByName(day)
     sinks.replace_range_backfill(overlapping, path, "ts_utc", start, end, ["zone", "ts_utc"])
     return sources.read_price_table(spark, path)
 

@@ -75,8 +75,14 @@ def _(spark, sf):
     checkpoint = scratch_path(spark, "stream-checkpoint")
     sink = streaming.upsert_interval_sink(table, "last_changed", ["entity_id", "last_changed"])
     # two deliveries that overlap by some days, each drained when it has landed
-    for start, end in (("2000-01-01", "2024-01-18"), ("2024-01-12", "2100-01-01")):
-        sinks.append(time_window(log, "last_changed", start, end), path)
+    at = F.col("last_changed")
+    corrected = F.when(at >= "2024-01-12", F.concat("state", F.lit("0")))
+    first = log.filter(at < "2024-01-18").withColumn("state", F.coalesce(corrected, "state"))
+    later = log.filter(~F.coalesce(at < "2024-01-12", F.lit(False)))
+    # an older version in the same delivery, which the newer one must beat
+    stale = later.withColumns({"state": F.lit("-1"), "ingestion_ts": F.col("ingestion_ts") - F.expr("interval 1 day")})
+    for delivery in (first, later.unionByName(stale)):
+        sinks.append(delivery, path)
         streaming.drain(streaming.stream_readings(spark, path), sink, checkpoint)
     return sinks.read_days(spark, table, BRONZE_IOT).select("entity_id", "state", "last_changed")
 
@@ -97,18 +103,23 @@ def _(spark, sf):
 @register(
     "x6_enrich",
     with_feeds(
-        "readings dim_device holidays",
-        f"""SELECT entity_id, last_changed, "DeviceKey", "Brand", "Model", day IN (SELECT h.day FROM holidays h) AS "IsHoliday"
+        "readings dim_device dim_location holidays",
+        f"""SELECT entity_id, last_changed, d."DeviceKey", d."Brand", d."Model", l."LocationKey", l."DeviceLocation",
+  day IN (SELECT h.day FROM holidays h) AS "IsHoliday"
 FROM (SELECT *, CAST({feeds.wall('last_changed')} AS DATE) AS day FROM readings) r
-JOIN dim_device d ON r.day BETWEEN d."InstallationDate" AND d."ValidTo" """,
+JOIN (SELECT * REPLACE (CASE WHEN "DeviceKey" = 1 THEN NULL ELSE "InstallationDate" END AS "InstallationDate") FROM dim_device) d
+  ON r.day BETWEEN coalesce(d."InstallationDate", DATE '1900-01-01') AND d."ValidTo"
+JOIN dim_location l ON r.day BETWEEN l."ValidFrom" AND l."ValidTo" """,
     ),
 )
 def _(spark, sf):
     readings = streaming.stream_readings(spark, _landed(spark, feeds.readings(spark, sf)))
     rows = readings.select("entity_id", "last_changed")
-    enriched = streaming.enrich_stream(
-        rows, marts.star(spark, sf).dim_device, feeds.holidays(spark), "last_changed"
-    )
+    star = marts.star(spark, sf)
+    # one version without an installation date
+    first = F.col("DeviceKey") == 1
+    devices = star.dim_device.withColumn("InstallationDate", F.when(~first, F.col("InstallationDate")))
+    enriched = streaming.enrich_stream(rows, devices, star.dim_location, feeds.holidays(spark), "last_changed")
     table = _drained(spark, enriched, streaming.append_sink, scratch_path(spark, "stream-enrich"), "append")
     return spark.read.schema(enriched.schema).parquet(table).drop("batch_id")
 
