@@ -189,12 +189,11 @@ def _scan(text, induced, runs, seeds, seed_prefixes, memory: int, aim: int):
 def _types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each suffix is S, and how often its first symbol repeats at its start."""
     n = len(text)
-    change = np.flatnonzero(np.append(text[1:] != text[:-1], True))
-    end = change[np.searchsorted(change, np.arange(n))]
-    follows = np.where(end + 1 < n, text[np.minimum(end + 1, n - 1)].astype(np.int64), -1)
-    small = follows > text
-    small[n - 1] = True
-    return small, end - np.arange(n) + 1
+    end = np.flatnonzero(np.append(text[1:] != text[:-1], True))
+    length = np.diff(end, prepend=-1)
+    larger = np.append(text[end[1:]] > text[end[:-1]], True)  # than the symbols of the run before
+    left = np.repeat(end + 1, length) - np.arange(n)
+    return np.repeat(larger, length), left
 
 
 def _names(text: np.ndarray, small: np.ndarray, stars: np.ndarray) -> tuple[np.ndarray, bool]:
@@ -223,7 +222,7 @@ def _names(text: np.ndarray, small: np.ndarray, stars: np.ndarray) -> tuple[np.n
         offset += width
         active = active[order][(size > 1) & (stars[active[order]] + offset <= last[active[order]])]
     ranks = np.unique(base, return_inverse=True)
-    return ranks[1].astype(np.int64), len(ranks[0]) == len(stars)
+    return ranks[1].astype(np.int32), len(ranks[0]) == len(stars)
 
 
 def _extend(text: np.ndarray, a: np.ndarray, b: np.ndarray, shared: np.ndarray) -> np.ndarray:

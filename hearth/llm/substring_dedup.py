@@ -20,9 +20,9 @@ from .wordhash import mix, prefix_hash, texts_of
 MATCH = 50
 # Bytes of an anchor. Every string of MATCH bytes holds the anchor of least hash
 # in it, so equal strings lie around equal anchors.
-ANCHOR = 16
+ANCHOR = 24
 # Bytes of spans that a shard sorts at a time, if one anchor has no more.
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
 LEAST_ID = -(1 << 63)
 _HOME = 33  # class numbers: partition, and place in it
 
@@ -191,10 +191,10 @@ def _least_owner(spans: list[bytes], owners: np.ndarray, match: int) -> list[np.
     """For each start in each span: the least owner of a span with the same ``match`` bytes."""
     lengths = np.array([len(s) for s in spans], dtype=np.int64)
     raw = np.frombuffer(b"".join([s + b"\0" for s in spans]), dtype=np.uint8)
-    text = raw.astype(np.int64) + 2
+    text = raw.astype(np.int32) + 2
     ends = np.cumsum(lengths + 1) - 1
     text[ends] = 1
-    order, shared = suffix_order(np.append(text, 0))
+    order, shared = suffix_order(np.append(text, np.int32(0)))
     room = np.repeat(ends, lengths + 1) - np.arange(len(text))
     least = np.repeat(owners, lengths + 1)
     group = np.cumsum(shared < match) - 1  # neighbours in suffix order that share a whole string
