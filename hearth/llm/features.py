@@ -44,7 +44,8 @@ class Characters:
         n = len(self.codes)
         total = np.full(n, order, dtype=np.uint32) * np.uint32(0x2545F491)
         for j in range(order):
-            total[: n - j] ^= (self.codes[j:] + np.uint32(j + 1)) * _MULTIPLIERS[j]
+            rest = max(0, n - j)
+            total[:rest] ^= (self.codes[j : j + rest] + np.uint32(j + 1)) * _MULTIPLIERS[j % len(_MULTIPLIERS)]
             total *= np.uint32(0x9E3779B1)
         total ^= total >> np.uint32(15)
         total *= np.uint32(0x85EBCA77)

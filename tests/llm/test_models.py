@@ -45,13 +45,17 @@ def test_language_of_awkward_rows(spark):
     assert language.predict_languages(frame(spark, [])).count() == 0
 
 
-def test_ftrl_is_sparse_and_learns():
-    rng, model = np.random.default_rng(2), language.Ftrl(2, 50)
-    for _ in range(400):
-        at = np.sort(rng.choice(50, 5, replace=False))
-        model.learn(at, np.ones(5), int(0 in at))
-    w = model.weights()
-    assert (w == 0).mean() > 0.1 and w[1, 0] - w[0, 0] > 1
+def test_ftrl_learns_and_more_l1_leaves_fewer_weights():
+    zeros = []
+    for l1 in (0.0, 12.0):
+        rng, model = np.random.default_rng(2), language.Ftrl(2, 50, l1=l1)
+        for _ in range(400):
+            at = np.sort(rng.choice(50, 5, replace=False))
+            model.learn(at, np.ones(5), int(0 in at))
+        w = model.weights()
+        assert w[1, 0] - w[0, 0] > 1
+        zeros.append((w == 0).mean())
+    assert zeros[0] == 0 and zeros[1] > 0.2
 
 
 def test_quality_held_out(spark):
