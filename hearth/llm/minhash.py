@@ -233,7 +233,7 @@ def _in_blocks(members: DataFrame, group: str, payload: DataFrame, block: int) -
     sizes = stage(members.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "group-sizes")
     parts = F.ceil(F.col("n") / block).cast("int")
     own = F.when(F.col("n") > block, F.pmod(F.xxhash64("cls"), parts)).otherwise(0).cast("int")
-    dealt = members.join(sizes, group).withColumn("own", own).withColumn(
+    dealt = members.join(sizes.hint("merge"), group).withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     rows = dealt.select(
@@ -244,7 +244,7 @@ def _in_blocks(members: DataFrame, group: str, payload: DataFrame, block: int) -
         "cls",
     )
     return (
-        stage(rows, "dealt").join(payload, "cls")
+        stage(rows, "dealt").join(payload.hint("merge"), "cls")
         .select("grp", "left", "right", "side", "cls", *[c for c in payload.columns if c != "cls"])
         .repartition("grp", "left", "right")
         .sortWithinPartitions("grp", "left", "right", "side")
@@ -336,12 +336,12 @@ def near_duplicates(
 
     banded = reps.select(F.explode("bands").alias("band"), "cls")
     shared = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "bands")
-    members = stage(banded.join(shared, "band").select("band", "cls"), "members")
+    members = stage(banded.join(shared.hint("merge"), "band").select("band", "cls"), "members")
     similar = _links(_in_blocks(members, "band", reps.select("cls", "signature"), block), _alike(steps))
     clusters = stage(components(similar), "clusters")
 
     wanted = clusters.join(reps, clusters["node"] == reps["cls"]).select("cls", "digest", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("bigint"), text_of(docs).alias("text")).join(stage(wanted, "wanted"), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("bigint"), text_of(docs).alias("text")).join(stage(wanted, "wanted").hint("merge"), "doc_id")
     full = stage(_with_sets(texts, plan, shingle).dropDuplicates(["cls"]), "sets")
     clustered = clusters.select(F.col("node").alias("cls"), "component")
     links = _links(_in_blocks(clustered, "component", full, block), _verified(steps, percent))
