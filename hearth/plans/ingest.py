@@ -8,7 +8,7 @@ load says what it did with its rows. When to run a load is up to the caller.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +18,18 @@ from ..functions.time import backfill_cutoff
 from ..operators.aggregates import coverage
 from ..operators.filters import as_time, cutoff_report, in_list, in_window, time_window
 from ..operators.quality import run_suite
-from ..schemas import BRONZE_IOT, SENSOR_COLUMNS
-from ..sinks import read_days, replace_interval, replace_range_backfill, upsert_rows
+from ..schemas import BRONZE_IOT, BRONZE_PRICE, BRONZE_WEATHER, SENSOR_COLUMNS
+from ..sinks import (
+    days_of,
+    on_days,
+    read_days,
+    replace_days,
+    replace_interval,
+    replace_range_backfill,
+    upsert_rows,
+    with_day,
+    write_day_partitioned,
+)
 from ..sources import (
     read_bronze,
     read_hourly_weather,
@@ -30,13 +40,20 @@ from ..sources import (
 )
 from ..sources.registry import bronze_path
 from ..together import together
-from .silver import stg_iot
-from .star import Star, build_star
+from .silver import stg_iot, stg_price, stg_weather
+from .star import Star, assemble_star
 from .suites import STAR_CHECKS
 
 IOT, WEATHER, PRICE = "bronze_iot_raw_data", "bronze_weather_history", "bronze_price"
 
 
+# Hourly staging of each log: name, model, its hour, and the schema of the log.
+STAGING = {
+    IOT: ("stg_iot", stg_iot, "hour_start", BRONZE_IOT),
+    WEATHER: ("stg_weather", stg_weather, "timestamp", BRONZE_WEATHER),
+    PRICE: ("stg_price", stg_price, "timestamp", BRONZE_PRICE),
+}
+
 # What names a row of each log.
 KEYS = {
     IOT: ("last_changed", ["entity_id", "last_changed"]),
@@ -49,7 +66,7 @@ KEYS = {
 class Loaded:
     """What a load did with one log: whether the log changed, how many landed rows lie
     in the interval, elsewhere, or have no time, how many hours from the cutoff on
-    were skipped, and which known sensors had no row."""
+    were skipped, and which known sensors had no row. ``days`` are those to stage anew."""
 
     changed: bool
     inside: int
@@ -57,6 +74,7 @@ class Loaded:
     untimed: int
     skipped: int = 0
     missing: tuple[str, ...] = ()
+    days: tuple = field(default=(), compare=False, repr=False)
 
 
 @dataclass(frozen=True)
@@ -96,6 +114,14 @@ def _tally(df: DataFrame, ts: str, start, end) -> dict[str, int]:
     return row.asDict()
 
 
+def _touched_days(df: DataFrame, ts: str, start, end) -> tuple:
+    """Days of the batch and of the interval; bounded by the calendar."""
+    last = as_time(end) - F.expr("interval 1 microsecond")
+    days = F.sequence(F.to_date(as_time(start)), F.greatest(F.to_date(last), F.to_date(as_time(start))))
+    interval = df.sparkSession.range(1).select(days.alias("days")).first()["days"]
+    return tuple(sorted({*interval, *days_of(with_day(df.filter(F.col(ts).isNotNull()), ts))}))
+
+
 def _load(df: DataFrame, root: str, name: str, start, end) -> Loaded:
     """Replace the interval by the rows inside; rows elsewhere replace those of their own keys."""
     ts, keys = KEYS[name]
@@ -103,7 +129,7 @@ def _load(df: DataFrame, root: str, name: str, start, end) -> Loaded:
     changed = replace_interval(time_window(df, ts, start, end), path, ts, start, end)
     if tally["elsewhere"]:
         upsert_rows(df.filter(F.col(ts).isNotNull() & ~in_window(ts, start, end)), path, ts, keys)
-    return Loaded(changed or tally["elsewhere"] > 0, **tally)
+    return Loaded(changed or tally["elsewhere"] > 0, **tally, days=_touched_days(df, ts, start, end))
 
 
 def load_interval(spark: SparkSession, root: str, landing: Landing, start, end) -> dict[str, Loaded]:
@@ -135,8 +161,9 @@ def _backfill_readings(spark: SparkSession, landing: Landing, start, end) -> Dat
 def _fill(df: DataFrame, root: str, name: str, start, end) -> Loaded:
     ts, keys = KEYS[name]
     tally = _tally(df, ts, start, end)
-    changed = replace_range_backfill(time_window(df, ts, start, end), bronze_path(root, name), ts, start, end, keys)
-    return Loaded(changed, **tally)
+    inside = time_window(df, ts, start, end)
+    changed = replace_range_backfill(inside, bronze_path(root, name), ts, start, end, keys)
+    return Loaded(changed, **tally, days=_touched_days(inside, ts, start, end))
 
 
 def _missing(readings: DataFrame) -> tuple[str, ...]:
@@ -170,12 +197,47 @@ def load_range(spark: SparkSession, root: str, landing: Landing, start, end) ->
     return report
 
 
-def rebuild(spark: SparkSession, root: str, *, holidays: DataFrame, marts: str) -> tuple[Star, DataFrame]:
-    """Build every model from the bronze tables below ``root`` and test the star."""
-    star = build_star(
-        bronze_iot=read_bronze(spark, root, IOT),
-        bronze_weather=read_bronze(spark, root, WEATHER),
-        bronze_price=read_bronze(spark, root, PRICE),
+def _staging_path(marts: str, name: str) -> str:
+    return f"{marts.rstrip('/')}/staging/{STAGING[name][0]}"
+
+
+def _restage(spark: SparkSession, root: str, marts: str, name: str, days: tuple | None) -> DataFrame:
+    """Hourly staging of one log, made anew for ``days`` or, with None, as a whole.
+
+    An hour lies within one day of its log, so a day's hours need that day only.
+    """
+    _, model, hour, schema = STAGING[name]
+    path, log = _staging_path(marts, name), read_days(spark, bronze_path(root, name), schema)
+    if days is None:
+        write_day_partitioned(model(log.drop("ts_day")), path, hour, mode="overwrite")
+    elif days:
+        replace_days(model(log.filter(on_days(days)).drop("ts_day")), path, hour, days)
+    return spark.read.parquet(path).drop("ts_day")
+
+
+def _is_staged(spark: SparkSession, marts: str, name: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_staging_path(marts, name)}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def rebuild(
+    spark: SparkSession, root: str, *, holidays: DataFrame, marts: str, loaded: dict[str, Loaded] | None = None
+) -> tuple[Star, DataFrame]:
+    """Build every model from the bronze tables below ``root`` and test the star.
+
+    Staging lies in day partitions below ``marts``. After a load only its days are
+    staged anew (``loaded`` tells them; without it, or the first time, all are);
+    dimensions and fact, which have a row per hour, are always built as a whole.
+    """
+
+    def days(name: str) -> tuple | None:
+        return loaded[name].days if loaded is not None and _is_staged(spark, marts, name) else None
+
+    staged = together(spark, *[partial(_restage, spark, root, marts, name, days(name)) for name in STAGING])
+    star = assemble_star(
+        stg_iot=staged[0],
+        stg_weather=staged[1],
+        stg_price=staged[2],
         bronze_device=read_bronze(spark, root, "bronze_device"),
         bronze_location=read_bronze(spark, root, "bronze_location"),
         holidays=holidays,
@@ -200,8 +262,9 @@ def run(
     on_load: Callable[[dict[str, Loaded]], None] = _ignore,
 ) -> tuple[Star, DataFrame]:
     """One scheduled interval: load, rebuild, test. ``on_load`` is told what was loaded."""
-    on_load(load_interval(spark, root, landing, start, end))
-    return rebuild(spark, root, holidays=holidays, marts=marts)
+    loaded = load_interval(spark, root, landing, start, end)
+    on_load(loaded)
+    return rebuild(spark, root, holidays=holidays, marts=marts, loaded=loaded)
 
 
 def backfill(
@@ -216,8 +279,9 @@ def backfill(
     on_load: Callable[[dict[str, Loaded]], None] = _ignore,
 ) -> tuple[Star, DataFrame]:
     """A closed range: load, rebuild, test. ``on_load`` is told what was loaded."""
-    on_load(load_range(spark, root, landing, start, end))
-    return rebuild(spark, root, holidays=holidays, marts=marts)
+    loaded = load_range(spark, root, landing, start, end)
+    on_load(loaded)
+    return rebuild(spark, root, holidays=holidays, marts=marts, loaded=loaded)
 
 
 def late_replay(batch: DataFrame, bronze: str, hourly: str, start, end) -> DataFrame:

@@ -60,7 +60,29 @@ def build_star(
     sensors: Mapping[str, str] = SENSOR_COLUMNS,
 ) -> Star:
     """Write staging, dimensions and fact as a new version below ``root``, publish and return them."""
-    spark = bronze_iot.sparkSession
+    return assemble_star(
+        stg_iot=silver.stg_iot(bronze_iot, sensors),
+        stg_weather=silver.stg_weather(bronze_weather),
+        stg_price=silver.stg_price(bronze_price),
+        bronze_device=bronze_device,
+        bronze_location=bronze_location,
+        holidays=holidays,
+        root=root,
+    )
+
+
+def assemble_star(
+    *,
+    stg_iot: DataFrame,
+    stg_weather: DataFrame,
+    stg_price: DataFrame,
+    bronze_device: DataFrame,
+    bronze_location: DataFrame,
+    holidays: DataFrame,
+    root: str,
+) -> Star:
+    """A new version from hourly staging frames, which are written with it."""
+    spark = stg_iot.sparkSession
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     folder = f"{root.rstrip('/')}/versions/{version}"
 
@@ -69,9 +91,9 @@ def build_star(
 
     stg_iot, stg_weather, stg_price, dim_device, dim_location = together(
         spark,
-        partial(table, "stg_iot", silver.stg_iot, bronze_iot, sensors),
-        partial(table, "stg_weather", silver.stg_weather, bronze_weather),
-        partial(table, "stg_price", silver.stg_price, bronze_price),
+        partial(materialize, stg_iot, "table", "stg_iot", folder),
+        partial(materialize, stg_weather, "table", "stg_weather", folder),
+        partial(materialize, stg_price, "table", "stg_price", folder),
         partial(table, "dim_device", gold.dim_device, bronze_device),
         partial(table, "dim_location", gold.dim_location, bronze_location),
     )

@@ -149,7 +149,7 @@ def _finish_pending(spark: SparkSession, table: str) -> None:
     _delete(spark, _note(table))
 
 
-def _days_of(df: DataFrame) -> list:
+def days_of(df: DataFrame) -> list:
     """Distinct days; at most one value per calendar day of a batch or interval."""
     return [row[DAY] for row in df.select(DAY).distinct().collect()]
 
@@ -163,7 +163,7 @@ def _put_days(current: DataFrame, content: DataFrame, path: str, table: str, tou
     """Make the staged ``content`` the whole of the touched days of ``table``."""
     spark = content.sparkSession
     before = current.filter(touched).select(DAY).distinct()
-    emptied = _days_of(before.join(content.select(DAY).distinct(), DAY, "left_anti"))
+    emptied = days_of(before.join(content.select(DAY).distinct(), DAY, "left_anti"))
     days = F.array(*[F.lit(day) for day in emptied]).cast("array<date>")
     note = spark.range(1, numPartitions=1).select(F.lit(path).alias("content"), days.alias("emptied"))
     note.write.mode("overwrite").json(_note(table))
@@ -197,7 +197,7 @@ def replace_interval(
         touched = day_range(DAY, start, end)
         affected = current.filter(touched)
         if summary["elsewhere"]:
-            other_days = _days_of(new.filter(~touched))
+            other_days = days_of(new.filter(~touched))
             affected = affected.unionByName(current.filter(~touched).filter(on_days(other_days)))
         path = f"{staging}/new-days"
         content = _staged(replace_where(affected, new, in_window(ts, start, end)), path)
@@ -208,6 +208,19 @@ def replace_interval(
             _release_staging(spark, table, staging)
 
 
+def replace_days(df: DataFrame, table: str, ts: str, days: Sequence) -> None:
+    """Make ``df`` the whole of ``days``; days without a row disappear. Safe to rerun."""
+    spark, staging = df.sparkSession, _new_staging(table)
+    try:
+        path = f"{staging}/new-days"
+        content = _staged(with_day(df, ts), path)
+        _finish_pending(spark, table)
+        _put_days(read_days(spark, table, content.schema), content, path, table, on_days(days))
+    finally:
+        if not _noted(spark, table):
+            _release_staging(spark, table, staging)
+
+
 def newest(df: DataFrame, keys: Sequence[str], version: str = "ingestion_ts") -> DataFrame:
     """One row per key: the greatest ``version``, then the greatest of the other
     columns in their order. Without such a column the other columns alone decide."""
@@ -240,7 +253,7 @@ def upsert_rows(df: DataFrame, table: str, ts: str, keys: Sequence[str]) -> None
     spark, staging = df.sparkSession, _new_staging(table)
     try:
         new = _staged(newest(with_day(df, ts), keys), f"{staging}/new-rows")
-        days = _days_of(new)
+        days = days_of(new)
         if not days:
             return
         _finish_pending(spark, table)

@@ -167,3 +167,33 @@ def test_replay_of_half_hours_recomputes_whole_ones(spark, root):
     stored = ingest.late_replay(late, bronze, hourly, "2025-01-02 00:30:00", "2025-01-02 01:30:00")
     found = [(r.hour_start, r.heat_pump_power_avg) for r in stored.orderBy("hour_start").collect()]
     assert found == [(utc("2025-01-02 00:00:00"), 150.0), (utc("2025-01-02 01:00:00"), 500.0)]
+
+
+def test_two_intervals_equal_one_full_build(spark, root):
+    options = dict(holidays=holidays(spark, 2020, 2040), marts=f"{root}/marts")
+    landed = landing(spark, root)
+    next_hour = [state(PUMP, "700", "2025-11-23T11:20:00Z"), state(PUMP, "50", "2025-11-20T05:00:00Z")]
+    later = ingest.Landing(
+        history=land(spark, f"{root}/history-2", [next_hour]), weather=land(spark, f"{root}/weather-2", [[]]),
+        prices=land(spark, f"{root}/prices-2", {"success": True, "data": {"ee": [{"timestamp": 1763895600, "price": 90}]}}),
+    )
+    ingest.run(spark, f"{root}/bronze", landed, START, END, **options)
+    step, _ = ingest.run(spark, f"{root}/bronze", later, END, "2025-11-23 12:00:00", **options)
+    full, _ = ingest.rebuild(spark, f"{root}/bronze", holidays=options["holidays"], marts=f"{root}/full")
+    for name in ("stg_iot", "stg_weather", "stg_price", "dim_time", "fact"):
+        assert tuples(getattr(step, name)) == tuples(getattr(full, name)), name
+    assert step.fact.count() == 3
+
+
+def test_only_touched_days_are_staged(spark, root, monkeypatch):
+    ingest.run(spark, f"{root}/bronze", landing(spark, root), START, END, holidays=holidays(spark, 2020, 2040), marts=f"{root}/marts")
+    plans = []
+    name, model, hour, schema = ingest.STAGING[ingest.IOT]
+
+    def spied(log):
+        plans.append(log._jdf.queryExecution().executedPlan().toString())
+        return model(log)
+
+    monkeypatch.setitem(ingest.STAGING, ingest.IOT, (name, spied, hour, schema))
+    ingest._restage(spark, f"{root}/bronze", f"{root}/marts", ingest.IOT, (utc("2025-11-23").date(),))
+    assert "PartitionFilters: [isnotnull(ts_day" in plans[0] and "2025-11-23" in plans[0]
