@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import text_of
 from .features import Characters, held_out, sampled, text_blocks, vector_sum
@@ -194,8 +195,8 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 names=[*names, "lang_pred", "score"],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    return kept.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
 
 
 def predict_languages(docs: DataFrame, *, max_docs: int = MAX_TRAINING_DOCS) -> DataFrame:

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as pipeline
 
 STAGES = dict(pipeline.STAGES)
-EXTRA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept_text string, whole_row int"
+EXTRA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, kept_text string, whole_row int, `odd name.` string"
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def folder_of_tables(spark, tmp_path_factory):
     base = next(t for i, t in awkward() if i == 22)
     items = [(1, " ".join(base.split(" ")[48:70])), (2, None)]
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
-    spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", "y", 3) for i, t in awkward()], EXTRA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", "y", 3, "z") for i, t in awkward()], EXTRA).write.parquet(f"{folder}/documents.parquet")
     return folder
 
 
