@@ -153,6 +153,36 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
 
 
+OP8_SQL = """
+WITH docs AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+), strings AS (
+  SELECT doc_id, i, array_slice(b, i + 1, i + 50) AS s
+  FROM (SELECT doc_id, b, unnest(range(0, n - 49)) AS i FROM docs WHERE n >= 50)
+), owners AS (
+  SELECT s, min(doc_id) AS least FROM strings GROUP BY s
+), starts AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS fresh
+  FROM strings JOIN owners USING (s) WHERE least < doc_id
+), spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS z
+  FROM (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM starts)
+  GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM spans
+  UNION ALL
+  SELECT doc_id, coalesce(last, 0), n FROM docs LEFT JOIN (SELECT doc_id, max(z) AS last FROM spans GROUP BY doc_id) USING (doc_id)
+), kept AS (
+  SELECT doc_id, sha256(unhex(string_agg(substr(hex(b), 2 * a + 1, 2 * (z - a)), '' ORDER BY a))) AS kept_sha256
+  FROM pieces JOIN docs USING (doc_id) GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(configure(spark), sf_dir, "documents"))
 
@@ -203,4 +233,5 @@ SQL: dict[str, str] = {
     "op4_decontamination": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
     "op6_topk": OP6_SQL,
+    "op8_substrings": OP8_SQL,
 }
