@@ -19,7 +19,7 @@ from hearth.llm.queries import TOKENIZER
 from hearth.session import configure
 
 # A document stays in if its language is this probable at least.
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.3
 NEAR_DUPLICATE_PERCENT = 80
 
 
