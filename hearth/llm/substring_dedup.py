@@ -21,7 +21,7 @@ MATCH = 50
 # Bytes of an anchor. Every string of MATCH bytes holds the anchor of least hash
 # in it, so equal strings lie around equal anchors.
 ANCHOR = 24
-# Bytes of spans that a shard sorts at a time, if one anchor has no more.
+# Bytes of spans that a shard sorts at a time. An anchor that may have more is split.
 GROUP_BYTES = 1 << 19
 LEAST_ID = -(1 << 63)
 _HOME = 33  # class numbers: partition, and place in it
@@ -50,6 +50,27 @@ def _anchors(data: np.ndarray, match: int, anchor: int) -> tuple[np.ndarray, np.
     return begin, end, low[begin], mix((sums[end - 1 + match] - sums[begin]) * down[begin] + length.astype(np.uint64))
 
 
+def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each start in the runs [begin, end), and a hash of its ``match`` bytes."""
+    sums, down = prefix_hash(data)
+    n = end - begin
+    starts = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return starts, mix((sums[starts + match] - sums[starts]) * down[starts] + np.uint64(1))
+
+
+def _held(anchors: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different anchors of a text, the number of different contents of each, and a tag of these contents."""
+    order = np.lexsort((content, anchors))
+    anchors, content = anchors[order], content[order]
+    new = np.concatenate([[True], anchors[1:] != anchors[:-1]])[: len(anchors)]
+    other = new | np.concatenate([[True], content[1:] != content[:-1]])[: len(anchors)]
+    if not len(anchors):
+        return anchors, np.zeros(0, dtype=np.int64), anchors
+    first = np.flatnonzero(new)
+    tags = np.add.reduceat(np.where(other, content, np.uint64(0)), first) >> np.uint64(32)
+    return anchors[first], np.add.reduceat(other.astype(np.int64), first), tags
+
+
 def _table(spark: SparkSession, docs: DataFrame) -> str:
     """Distinct texts ``(digest, doc_id, cls, packed)`` with their smallest id, bucketed and sorted by digest."""
 
@@ -111,22 +132,43 @@ def _bucket(anchors: np.ndarray, n: int) -> np.ndarray:
     return ((anchors >> np.uint64(20)) % np.uint64(n)).astype(np.int32)
 
 
-_ENTRIES = _Blobs("bucket", {"anchor": "<u8", "low": "<u4", "home": "<i4"})
-_SHARED = _Blobs("home", {"low": "<u4", "anchor": "<u8"})
+_ENTRIES = _Blobs("bucket", {"anchor": "<u8", "low": "<u4", "home": "<i4", "n": "<u2", "tag": "<u4"})
+_SHARED = _Blobs("home", {"low": "<u4", "anchor": "<u8", "hot": "?"})
 _REMOVED = _Blobs("home", {"low": "<u4", "begin": "<u4", "end": "<u4"})
 
 
-def _shared_anchors(texts: DataFrame, buckets: int, match: int, anchor: int) -> DataFrame:
-    """``cls, anchors``: for each class the anchors that other classes hold too."""
+def _hot(e: dict[str, np.ndarray], shared: np.ndarray, most: int) -> np.ndarray:
+    """Which of the entries ``shared``, in order of anchors, are of an anchor with more than ``most`` different contents.
+
+    Classes with the same contents count once, other classes with their sum: the bound is never too low.
+    """
+    out = np.zeros(len(shared), dtype=bool)
+    anchors = e["anchor"][shared]
+    first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]])[: len(anchors)])
+    if len(first):
+        stop = np.append(first[1:], len(anchors))
+        for i in np.flatnonzero(np.add.reduceat(e["n"][shared].astype(np.int64), first) > most):
+            at = shared[first[i] : stop[i]]
+            kinds = np.unique(e["tag"][at].astype(np.int64) << 16 | e["n"][at])
+            out[first[i] : stop[i]] = (kinds & 0xFFFF).sum() > most
+    return out
+
+
+def _shared_anchors(texts: DataFrame, buckets: int, match: int, anchor: int, group: int = GROUP_BYTES) -> DataFrame:
+    """``cls, anchors, hot``: for each class the anchors that other classes hold too, and those
+    of them whose different spans may exceed ``group`` bytes."""
+    most = group // (2 * match - anchor + 1)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             classes = batch.column(0).to_numpy()
-            found = [np.unique(_anchors(np.frombuffer(unpack.decompress(p), dtype=np.uint8), match, anchor)[2]) for p in batch.column(1).to_pylist()]
-            anchors = np.concatenate([*found, np.zeros(0, np.uint64)])
-            owner = np.repeat(classes, [len(x) for x in found])
-            yield _ENTRIES.rows(_bucket(anchors, buckets), anchor=anchors, low=owner & ((1 << _HOME) - 1), home=owner >> _HOME)
+            found = [_held(*_anchors(np.frombuffer(unpack.decompress(p), dtype=np.uint8), match, anchor)[2:]) for p in batch.column(1).to_pylist()]
+            anchors, n, tags = [np.concatenate([*[f[i] for f in found], np.zeros(0, kind)]) for i, kind in enumerate((np.uint64, np.int64, np.uint64))]
+            owner = np.repeat(classes, [len(f[0]) for f in found])
+            yield _ENTRIES.rows(
+                _bucket(anchors, buckets), anchor=anchors, low=owner & ((1 << _HOME) - 1), home=owner >> _HOME, n=np.minimum(n, 0xFFFF), tag=tags
+            )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = _ENTRIES.read(batches)
@@ -134,18 +176,18 @@ def _shared_anchors(texts: DataFrame, buckets: int, match: int, anchor: int) ->
         a = e["anchor"][order]
         same = a[1:] == a[:-1]
         shared = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(a) else order
-        yield _SHARED.rows(e["home"][shared], low=e["low"][shared], anchor=e["anchor"][shared])
+        yield _SHARED.rows(e["home"][shared], low=e["low"][shared], anchor=e["anchor"][shared], hot=_hot(e, shared, most))
 
     def give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = _SHARED.read(batches)
         classes = (e["home"] << _HOME) | e["low"].astype(np.int64)
-        found = [(key, e["anchor"][at].tobytes()) for key, at in _groups(classes)]
+        found = [(key, e["anchor"][at].tobytes(), e["anchor"][at[e["hot"][at]]].tobytes()) for key, at in _groups(classes)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], names=["cls", "anchors"]
+            [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["cls", "anchors", "hot"]
         )
 
     entries = texts.select("cls", "packed").mapInArrow(emit, _ENTRIES.schema).repartition("bucket")
-    return entries.mapInArrow(meet, _SHARED.schema).repartition("home").mapInArrow(give_back, "cls bigint, anchors binary")
+    return entries.mapInArrow(meet, _SHARED.schema).repartition("home").mapInArrow(give_back, "cls bigint, anchors binary, hot binary")
 
 
 _PIECES = "bucket int, home binary, low binary, doc_id binary, start binary, anchor binary, content binary, first binary, length binary, bytes binary"
@@ -153,28 +195,45 @@ _PIECE_KINDS = {"home": "<i4", "low": "<u4", "doc_id": "<i8", "start": "<u4", "a
 
 
 def _pieces(texts: DataFrame, buckets: int, match: int, anchor: int) -> DataFrame:
-    """Spans around shared anchors, by bucket of the anchor; equal spans of a batch bring their bytes once."""
+    """Spans around shared anchors, by bucket of the anchor; equal spans of a batch bring their bytes once.
+
+    Around a hot anchor each string of ``match`` bytes is a span of its own, with its hash
+    as anchor and content: equal strings meet, different ones go to different buckets, and
+    as no such span has to be sorted, it brings no bytes.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             columns: dict[str, list] = {name: [] for name in _PIECE_KINDS}
             spans: list[bytes] = []
-            for cls, doc_id, packed, shared in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            sorts: list[np.ndarray] = []
+            for cls, doc_id, packed, shared, hot in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 raw = unpack.decompress(packed)
-                begin, end, anchors, content = _anchors(np.frombuffer(raw, dtype=np.uint8), match, anchor)
-                at = np.flatnonzero(np.isin(anchors, np.frombuffer(shared, dtype="<u8")))
-                begin, end = begin[at], end[at] - 1 + match
-                spans += [raw[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)]
+                data = np.frombuffer(raw, dtype=np.uint8)
+                runs = _anchors(data, match, anchor)
+                at = np.flatnonzero(np.isin(runs[2], np.frombuffer(shared, dtype="<u8")))
+                begin, end, anchors, content = [x[at] for x in runs]
+                end = end - 1 + match
+                sort = np.ones(len(at), dtype=bool)
+                if hot:
+                    split = np.isin(anchors, np.frombuffer(hot, dtype="<u8"))
+                    starts, hashes = _strings(data, begin[split], end[split] + 1 - match, match)
+                    added = (starts, starts + match, hashes, hashes)
+                    begin, end, anchors, content = [np.concatenate([x[~split], y]) for x, y in zip((begin, end, anchors, content), added, strict=True)]
+                    sort = np.arange(len(begin)) < len(begin) - len(starts)
+                spans += [raw[b:e] if s else b"" for b, e, s in zip(begin.tolist(), end.tolist(), sort.tolist(), strict=True)]
+                sorts.append(sort)
                 for name, value in (("home", cls >> _HOME), ("low", cls & ((1 << _HOME) - 1)), ("doc_id", doc_id)):
-                    columns[name].append(np.full(len(at), value))
-                for name, values in (("start", begin), ("anchor", anchors[at]), ("content", content[at]), ("length", end - begin)):
+                    columns[name].append(np.full(len(begin), value))
+                for name, values in (("start", begin), ("anchor", anchors), ("content", content), ("length", end - begin)):
                     columns[name].append(values)
             if not spans:
                 continue
             e = {name: np.concatenate(parts) for name, parts in columns.items() if parts}
             e["first"] = np.zeros(len(spans), dtype=bool)
             e["first"][np.unique(np.stack([e["anchor"], e["content"]]), axis=1, return_index=True)[1]] = True
+            e["first"] &= np.concatenate(sorts)
             rows = []
             for key, at in _groups(_bucket(e["anchor"], buckets)):
                 held = press.compress(b"".join([spans[i] for i in at[e["first"][at]]]))
@@ -184,7 +243,7 @@ def _pieces(texts: DataFrame, buckets: int, match: int, anchor: int) -> DataFram
                 [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["bucket", *_PIECE_KINDS, "bytes"]
             )
 
-    return texts.select("cls", "doc_id", "packed", "anchors").mapInArrow(emit, _PIECES)
+    return texts.select("cls", "doc_id", "packed", "anchors", "hot").mapInArrow(emit, _PIECES)
 
 
 def _least_owner(spans: list[bytes], owners: np.ndarray, match: int) -> list[np.ndarray]:
@@ -242,7 +301,8 @@ def _removed(pieces: DataFrame, match: int) -> DataFrame:
         starts = (e["length"][order][first].astype(np.int64) - match + 1)
         owner: list[np.ndarray] = [np.full(n, x) for n, x in zip(starts.tolist(), least.tolist(), strict=True)]
         chosen = np.flatnonzero(several)
-        # anchors have no string in common, so they are sorted in groups of about GROUP_BYTES
+        # anchors have no string in common, so they are sorted in groups of about GROUP_BYTES;
+        # those of more are split, and their strings have one content each
         room = np.cumsum(e["length"][order][first[chosen]].astype(np.int64) + 1) // GROUP_BYTES
         of_chosen = of_anchor[chosen]
         begins = np.flatnonzero(np.concatenate([[True], of_chosen[1:] != of_chosen[:-1]])[: len(chosen)])
@@ -311,7 +371,7 @@ def _results(texts: DataFrame) -> DataFrame:
     return texts.select("digest", F.col("doc_id").alias("least"), "packed", "spans").mapInArrow(run, _RESULT)
 
 
-def find_repeats(docs: DataFrame, *, match: int = MATCH, anchor: int = ANCHOR) -> DataFrame:
+def find_repeats(docs: DataFrame, *, match: int = MATCH, anchor: int = ANCHOR, group: int = GROUP_BYTES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_bytes, n_removed, spans, kept_sha256``.
 
     A byte of a whole text (UTF-8; null: empty) is removed if a string of
@@ -327,7 +387,9 @@ def find_repeats(docs: DataFrame, *, match: int = MATCH, anchor: int = ANCHOR) -
     3. The spans around the others go to the shard of their anchor, equal spans
        once with their least owner. A shard puts all suffixes of its different
        spans in order by external induced sorting; neighbours that share
-       ``match`` bytes are one string, and its least owner decides.
+       ``match`` bytes are one string, and its least owner decides. An anchor
+       whose different spans may exceed ``group`` bytes is split: its strings
+       go to shards by their own hash, where their least owner decides.
     4. Spans to remove go back to their class and are merged.
     """
     if not 1 <= anchor <= match:
@@ -340,7 +402,7 @@ def find_repeats(docs: DataFrame, *, match: int = MATCH, anchor: int = ANCHOR) -
     texts = spark.table(name)
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = texts.select("cls", "digest")
-    shared = stage(_shared_anchors(texts, buckets, match, anchor).join(keys, "cls").select("digest", "anchors"), "shared")
+    shared = stage(_shared_anchors(texts, buckets, match, anchor, group).join(keys, "cls").select("digest", "anchors", "hot"), "shared")
     pieces = _pieces(texts.join(shared, "digest"), buckets, match, anchor)
     removed = stage(_removed(pieces, match).join(keys, "cls").select("digest", "spans"), "removed")
     results = stage(_results(texts.join(removed, "digest", "left")), "results")

@@ -117,6 +117,36 @@ def test_repeats(spark, match, anchor):
     assert sorted(got, key=key) == sorted(brute.repeats(rows, match), key=key)
 
 
+@pytest.mark.parametrize("match, anchor", [(50, 16), (20, 7), (3, 3)])
+def test_repeats_around_split_anchors(spark, match, anchor):
+    rows = [r for r in awkward() if len(r[1] or "") < 3000]
+    found = substring_dedup.find_repeats(frame(spark, rows), match=match, anchor=anchor, group=2 * (2 * match - anchor + 1))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, [tuple(s) for s in r.spans], r.kept_sha256) for r in found.collect()]
+    assert sorted(got, key=key) == sorted(brute.repeats(rows, match), key=key)
+
+
+def test_repeats_of_a_common_phrase(spark):
+    """A phrase one byte short of a match, with other text around it in each of many documents."""
+    rng = random.Random(8)
+    own = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=40))
+    phrase = "A phrase that all have; 49 bytes, one short of it"
+    rows = [(i, own() + phrase + ("" if i % 9 else "!") + own()) for i in range(9000)]
+    docs = frame(spark, rows)
+    texts = spark.table(substring_dedup._table(spark, docs.select("doc_id", "text")))
+    shared = substring_dedup._shared_anchors(texts, 8, 50, 24).join(texts.select("cls", "digest"), "cls").drop("cls")
+    bytes_of = {}
+    for row in substring_dedup._pieces(texts.join(shared, "digest"), 8, 50, 24).collect():
+        arrays = [np.frombuffer(row[name], dtype=substring_dedup._PIECE_KINDS[name]).tolist() for name in ("anchor", "content", "length")]
+        for a, content, length in zip(*arrays):
+            bytes_of.setdefault(a, {})[content] = length + 1
+    assert bytes_of and max(sum(found.values()) for found in bytes_of.values()) <= substring_dedup.GROUP_BYTES
+    found = substring_dedup.find_repeats(docs)
+    got = [(r.doc_id, r.n_bytes, r.n_removed, [tuple(s) for s in r.spans], r.kept_sha256) for r in found.collect()]
+    expected = brute.repeats(rows)
+    assert sum(r[2] > 0 for r in expected) > 900
+    assert sorted(got, key=key) == sorted(expected, key=key)
+
+
 def test_induced_sort():
     rng = random.Random(3)
     for _ in range(600):
