@@ -18,8 +18,6 @@ from hearth.llm.features import held_out
 from hearth.llm.queries import TOKENIZER
 from hearth.session import configure
 
-# A document stays in if its language is this probable at least.
-MIN_LANGUAGE_SCORE = 0.3
 NEAR_DUPLICATE_PERCENT = 80
 
 
@@ -29,12 +27,12 @@ def _with_row(docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those whose language stays unsure."""
+    """Drops documents without a letter and those in no learned language, by the share of
+    n-grams that the training documents know; texts of several languages stay."""
     learned = docs.filter(~held_out(docs, *language.FOLDS)).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     model = language.train(learned)
-    found = language.identify(_with_row(docs), model)
-    sure = F.col("score") >= MIN_LANGUAGE_SCORE
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & sure).select("whole_row.*")
+    found = language.identify(_with_row(docs), model, familiar=True)
+    return found.filter(F.col("lang_pred") != language.UNKNOWN).select("whole_row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

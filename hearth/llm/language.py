@@ -22,6 +22,14 @@ BITS = 16
 MAX_TRAINING_DOCS = 4000
 FOLDS = (5, 0)
 EPOCHS = 4
+# An n-gram is known if it occurs in this part of the fitted documents of any language.
+KNOWN_IN = 0.01
+# A text is strange if its share of known n-grams is below this part of what all but
+# 5% of the documents kept from fitting have in a language that it may be in.
+KNOWN_PART = 0.9
+POSSIBLE = 0.05
+# Texts of fewer different n-grams are too short to tell.
+LEAST_NGRAMS = 100
 _ASCII_LETTER = re.compile(r"[A-Za-z]")
 
 # Digits, marks and control characters count as blanks, letters as lower case.
@@ -62,6 +70,36 @@ class LanguageModel:
     table: np.ndarray  # weight times inverse document frequency, a row for each language
     bias: np.ndarray
     temperature: float = 1.0
+    known: np.ndarray | None = None  # which n-grams are known
+    usual: np.ndarray | None = None  # a low share of known n-grams for each language
+
+    def strange(self, texts: list[str | None]) -> np.ndarray:
+        """Whether a text has too few known n-grams for any language it may be in, however many were learned.
+
+        The languages count together as known, so a text of several is not strange.
+        """
+        out = np.zeros(len(texts), dtype=bool)
+        if self.known is None or self.known.all():
+            return out
+        able = [i for i, t in enumerate(texts) if t and has_letter(t)]
+        few, shares = [], []
+        for at, part in text_blocks([texts[i] for i in able]):
+            chars, orders = _buckets(part)
+            n, held = np.zeros(len(part)), np.zeros(len(part))
+            for bucket, whole in orders:
+                n += chars.per_text(whole.astype(np.int64))
+                held += chars.per_text((whole & self.known[bucket]).astype(np.int64))
+            share = _beyond_chance(held / np.maximum(n, 1), self.known)
+            for d in np.flatnonzero(share < KNOWN_PART * self.usual.max()):
+                low, high = chars.begin[d], chars.begin[d + 1]
+                if len(np.unique(np.concatenate([b[low:high][w[low:high]] for b, w in orders]))) >= LEAST_NGRAMS:
+                    few.append(able[at + d])
+                    shares.append(share[d])
+        if few:
+            p = softmax(self.logits([texts[i] for i in few]) / self.temperature)
+            possible = p >= min(POSSIBLE, 1 / len(self.languages))
+            out[few] = np.array(shares) < KNOWN_PART * np.where(possible, self.usual, np.inf).min(axis=1)
+        return out
 
     def logits(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), len(self.languages)))
@@ -94,6 +132,28 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _beyond_chance(share, known: np.ndarray):
+    """A share of known n-grams without those that only share a bucket with a known one."""
+    chance = known.mean()
+    return np.maximum(0.0, (share - chance) / (1 - chance))
+
+
+def _familiar(learned: list, kept: list, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Known n-grams of the learned examples, and for each language a low share of them in kept examples (none: 0)."""
+    size = 1 << BITS
+    known, usual = np.zeros(size, dtype=bool), np.zeros(languages)
+    for k in range(languages):
+        own = [at[:-1] for at, _, label in learned if label == k]
+        counts = np.bincount(np.concatenate([*own, np.zeros(0, dtype=np.int64)]), minlength=size)
+        known |= counts >= max(1, KNOWN_IN * len(own))
+    if not known.all():
+        for k in range(languages):
+            shares = [tf[known[at[:-1]]].sum() for at, tf, label in kept if label == k and len(tf) >= LEAST_NGRAMS]
+            if shares:
+                usual[k] = _beyond_chance(np.quantile(shares, 0.05), known)
+    return known, usual
+
+
 class Ftrl:
     """Follow the regularised leader, with L1 and L2 penalties; a row of weights for each class."""
 
@@ -176,20 +236,28 @@ def train(rows: DataFrame, *, max_docs: int = MAX_TRAINING_DOCS, epochs: int = E
     w = model.weights()
     found = LanguageModel(languages, (w[:, :-1] * idf).astype(np.float32), w[:, -1] * 0.1)
     if kept:
+        found.known, found.usual = _familiar(learned, [(at, x[:-1] / idf[at[:-1]], label) for at, x, label in kept], len(languages))
         logits = np.array([w[:, at] @ x for at, x, _ in kept])
         found.temperature = _calibrate(logits, np.array([label for *_, label in kept]))
     return found
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The columns of ``docs`` with ``lang_pred`` and ``score`` of each whole text; ``text`` stays as it is."""
+def identify(docs: DataFrame, model: LanguageModel, *, familiar: bool = False) -> DataFrame:
+    """The columns of ``docs`` with ``lang_pred`` and ``score`` of each whole text; ``text`` stays as it is.
+
+    With ``familiar``, rows whose text is strange to the model are left out.
+    """
     names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     kept = docs.select(*[f"`{c}`" for c in names])
     place = [c.lower() for c in names].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, scores = model.predict(batch.column(place).cast(pa.string()).to_pylist())
+            texts = batch.column(place).cast(pa.string()).to_pylist()
+            if familiar:
+                keep = ~model.strange(texts)
+                batch, texts = batch.filter(pa.array(keep)), [t for t, k in zip(texts, keep, strict=True) if k]
+            found, scores = model.predict(texts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                 names=[*names, "lang_pred", "score"],

@@ -1,9 +1,11 @@
 """The pipeline's stages on their own inputs."""
 
+import random
 from collections import Counter
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 from test_dedup import awkward
 from test_tokens import PATH, check_packing
 from tokenizers import Tokenizer
@@ -44,6 +46,25 @@ def test_language(spark, folder_of_tables):
     assert pairs(kept) == Counter({k: n for k, n in pairs(docs).items() if any(map(str.isalpha, k[1] or ""))})
 
 
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+RUSSIAN = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства."
+
+
+@pytest.mark.parametrize("languages", [["en"], ["de", "en"], ["de", "en", "es", "fr"]])
+def test_language_rejects_what_was_not_learned(spark, languages):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.col("lang").isin(languages))
+    rng = random.Random(2)
+    gibberish = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(80))
+    clean = {lang: docs.filter(F.col("lang") == lang).orderBy("doc_id").first().text for lang in languages}
+    mixed = [clean[a][:400] + "\n" + clean[b][:400] for a in languages for b in languages]
+    added = [(10**9 + i, t) for i, t in enumerate([FINNISH, RUSSIAN, gibberish, *mixed])]
+    extra = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in added], docs.schema)
+    kept = {r.doc_id for r in STAGES["language"](spark, docs.unionByName(extra), "").collect()}
+    assert not kept & {10**9, 10**9 + 1, 10**9 + 2}
+    assert {i for i, _ in added[3:]} <= kept
+    assert {r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text or ""))} <= kept
+
+
 def test_line_dedup(spark, folder_of_tables):
     docs = docs_of(spark, folder_of_tables)
     kept = STAGES["line_dedup"](spark, docs, folder_of_tables)
