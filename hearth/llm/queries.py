@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
-from . import decontaminate, language, line_dedup, minhash, packing, quality, secret_scan, substring_dedup, token_counts, topk
+from . import decontaminate, language, line_dedup, minhash, packing, quality, quality_rules, secret_scan, substring_dedup, token_counts, topk
 from .common import table
 
 # One of the vocabulary files that the box offers; operators take any path.
@@ -35,8 +35,7 @@ OP3_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^ 	-
-]+') AS w FROM documents
+    '[^\x20\x09-\x0D]+') AS w FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
@@ -215,6 +214,53 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, TOKENIZER, scratch_path(spark, "token-cache"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_rules(table(configure(spark), sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT place, i, array_to_string(w[i:i + 4], ' ') AS key
+  FROM (SELECT place, w, unnest(range(1, len(w) - 3)) AS i FROM docs WHERE len(w) >= 5)
+), repeats AS (
+  SELECT place, count(DISTINCT spot) AS n FROM (
+    SELECT place, unnest(range(i, i + 5)) AS spot
+    FROM (SELECT place, i, count(*) OVER (PARTITION BY place, key) AS times FROM windows) WHERE times > 1
+  ) GROUP BY place
+), lines AS (
+  SELECT place, count(*) AS n, count(*) - count(DISTINCT line) AS dup,
+    count(*) FILTER (WHERE regexp_matches(line, '^ *[-*•]')) AS bullets,
+    count(*) FILTER (WHERE regexp_matches(line, '(\.\.\.|…) *$')) AS unended
+  FROM (SELECT place, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY place
+), words AS (
+  SELECT place, count(*) AS n, sum(length(word)) AS chars,
+    count(*) FILTER (WHERE lower(word) IN (STOP_WORDS)) AS stop,
+    count(*) FILTER (WHERE regexp_matches(word, '\p{Lu}') AND NOT regexp_matches(word, '\p{Ll}') AND length(word) > 1) AS capital,
+    count(*) FILTER (WHERE regexp_matches(word, '\p{L}')) AS letter
+  FROM (SELECT place, unnest(w) AS word FROM docs) GROUP BY place
+), measured AS (
+  SELECT doc_id, coalesce(w.n, 0) AS n_words, CAST(coalesce(w.chars, 0) AS BIGINT) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+    coalesce(r.n, 0) AS n_repeat_words, w.stop, w.capital, w.letter, l.n AS n_lines, l.bullets, l.unended
+  FROM docs LEFT JOIN words w USING (place) LEFT JOIN lines l USING (place) LEFT JOIN repeats r USING (place)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words AND word_chars BETWEEN 2 * n_words AND 12 * n_words
+    AND 10 * (n_symbols - 2) <= n_words AND 50 * (stop + 1) >= n_words AND 2 * (capital - 2) <= n_words
+    AND 2 * (letter + 1) >= n_words AND 10 * (n_dup_lines - 1) <= 3 * n_lines
+    AND 10 * (bullets - 1) <= 9 * n_lines AND 10 * (unended - 1) <= 3 * n_lines AS kept
+FROM measured
+""".replace("STOP_WORDS", ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -226,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 SQL: dict[str, str] = {
@@ -234,4 +281,5 @@ SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op6_topk": OP6_SQL,
     "op8_substrings": OP8_SQL,
+    "op12_quality_rules": OP12_SQL,
 }
