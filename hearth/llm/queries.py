@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
-from . import decontaminate, language, line_dedup, minhash, packing, quality, quality_rules, secret_scan, substring_dedup, token_counts, topk
+from . import decontaminate, language, line_dedup, minhash, packing, quality, quality_rules, resampling, secret_scan, substring_dedup, token_counts, topk
 from .common import table
 
 # One of the vocabulary files that the box offers; operators take any path.
@@ -214,6 +214,50 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, TOKENIZER, scratch_path(spark, "token-cache"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The CRC table comes from its polynomial; a word's CRC folds its bytes.
+OP11_SQL = r"""
+WITH polynomial AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS steps
+), texts AS (
+  SELECT row_number() OVER () AS place, doc_id, text, false AS target FROM documents
+  UNION ALL SELECT row_number() OVER (), NULL, text, true FROM benchmark
+), words AS (
+  SELECT place, target, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts
+), hashed AS (
+  SELECT word, xor(list_reduce(
+      list_transform(range(octet_length(encode(word))), lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT)),
+      lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM words), polynomial
+), counts AS (
+  SELECT bucket, count(*) FILTER (WHERE NOT target) AS s, count(*) FILTER (WHERE target) AS t
+  FROM words JOIN hashed USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (all_s + 10000) / (CAST(s + 1 AS DOUBLE) * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM counts, (SELECT CAST(sum(s) AS DOUBLE) AS all_s, CAST(sum(t) AS DOUBLE) AS all_t FROM counts)
+), weights AS (
+  SELECT place, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight
+  FROM words JOIN hashed USING (word) JOIN gains USING (bucket) WHERE NOT target GROUP BY place
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+      (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weights USING (place) WHERE NOT target
+), ranked AS (
+  SELECT *, n_features >= 20 AS may, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN may AND place <= 10 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(configure(spark), sf_dir, "documents"))
     return judged.select(
@@ -272,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
+    "op11_resampling": op11_resampling,
     "op12_quality_rules": op12_quality_rules,
 }
 
@@ -281,5 +326,6 @@ SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op6_topk": OP6_SQL,
     "op8_substrings": OP8_SQL,
+    "op11_resampling": OP11_SQL,
     "op12_quality_rules": OP12_SQL,
 }
