@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch_path
-from . import decontaminate, language, line_dedup, minhash, packing, quality, quality_rules, resampling, secret_scan, substring_dedup, token_counts, topk
+from . import conversations, decontaminate, language, line_dedup, minhash, packing, quality, quality_rules, resampling, secret_scan, substring_dedup, token_counts, topk
 from .common import table
 
 # One of the vocabulary files that the box offers; operators take any path.
@@ -305,6 +306,85 @@ FROM measured
 """.replace("STOP_WORDS", ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, dropped = conversations.damaged(table(configure(spark), sf_dir, "conversations"))
+    return conversations.repair(rows, also=dropped)
+
+
+# STEP and IW are spelled out below. From the last row back to the first: for each state the cheapest way to the end, as
+# cost, edits and lines; comparing such structs compares costs first, then edits.
+_OP13_SHORT = r"""
+WITH RECURSIVE polynomial AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS steps
+), coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+      list_transform(range(octet_length(encode(name))), lambda i: CAST('0x' || substr(hex(encode(name)), 2 * i + 1, 2) AS BIGINT)),
+      lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1]), 4294967295), 4294967295) % 20 AS code
+  FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations), polynomial
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded
+), rows AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault
+  FROM damaged
+), counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+    count(*) FILTER (WHERE fault = 3) AS truncated, count(*) FILTER (WHERE i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM rows) GROUP BY conv_id
+), ways AS (
+  SELECT conv_id, n AS i, {'c': 0, 'a': '', 't': ''} AS w0, {'c': 4, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS w1,
+    {'c': 2, 'a': 'I', 't': chr(10) || 'assistant:'} AS w2, {'c': 0, 'a': '', 't': ''} AS w3
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i, IW(v0, v2, v3, 'user:', 'assistant:'), IW(v1, v2, v3, 'user:', 'assistant:'), IW(v2, v3, v2, 'assistant:', 'user:'),
+    IW(v3, v2, v3, 'user:', 'assistant:')
+  FROM (SELECT w.conv_id, w.i - 1 AS i, STEP(w0, w2, w1, 's', w2, 'u', 'user:') AS v0, STEP(w1, w2, w2, 'u', w2, 'u', 'user:') AS v1,
+      STEP(w2, w3, w3, 'a', w3, 'a', 'assistant:') AS v2, STEP(w3, w2, w2, 'u', w2, 'u', 'user:') AS v3
+    FROM ways w JOIN rows r ON r.i = w.i AND r.conv_id IS NOT DISTINCT FROM w.conv_id)
+), ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT d.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, CAST(coalesce(w.w0.c, 0) AS BIGINT) AS cost,
+  coalesce(w.w0.a, '') AS audit, sha256(coalesce(w.w0.t[2:], '')) AS repaired_sha256
+FROM ids d LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+  LEFT JOIN ways w ON w.conv_id IS NOT DISTINCT FROM d.conv_id AND w.i = 0
+"""
+
+
+def _spelled_out(sql: str) -> str:
+    """The two repeated expressions of ``_OP13_SHORT``: edits of a row, and insertions before it."""
+
+    def step(own, rerole, keep, initial, keep2, initial2, given):
+        more = "CASE fault WHEN 3 THEN 1 ELSE 0 END"
+        never = "CASE WHEN fault IN (1, 2) THEN 1000000 ELSE 0 END"
+        line = "chr(10) || role || ':' || text"
+        kept = [
+            f"{{'c': {w}.c + {more} + {never} + CASE WHEN initial = {at} THEN 0 ELSE 1000000 END, 'a': 'K' || {w}.a, 't': {line} || {w}.t}}"
+            for w, at in ((keep, initial), (keep2, initial2))
+        ]
+        other = f"{{'c': {rerole}.c + 2 + {more} + {never}, 'a': 'R' || {rerole}.a, 't': chr(10) || {given} || text || {rerole}.t}}"
+        return f"list_sort([{{'c': {own}.c + 3, 'a': 'D' || {own}.a, 't': {own}.t}}, {other}, {', '.join(kept)}])[1]"
+
+    def insert(own, one, two, first, second):
+        once = f"{{'c': {one}.c + 2, 'a': 'I' || {one}.a, 't': chr(10) || {first} || {one}.t}}"
+        twice = f"{{'c': {two}.c + 4, 'a': 'II' || {two}.a, 't': chr(10) || {first} || chr(10) || {second} || {two}.t}}"
+        return f"list_sort([{own}, {once}, {twice}])[1]"
+
+    for name, build in (("STEP", step), ("IW", insert)):
+        sql = re.sub(rf"\b{name}\(([^()]*)\)", lambda m, build=build: build(*m[1].split(", ")), sql)
+    return sql
+
+
+OP13_SQL = _spelled_out(_OP13_SHORT)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -318,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
     "op11_resampling": op11_resampling,
     "op12_quality_rules": op12_quality_rules,
+    "op13_conversations": op13_conversations,
 }
 
 SQL: dict[str, str] = {
@@ -328,4 +409,5 @@ SQL: dict[str, str] = {
     "op8_substrings": OP8_SQL,
     "op11_resampling": OP11_SQL,
     "op12_quality_rules": OP12_SQL,
+    "op13_conversations": OP13_SQL,
 }
