@@ -6,7 +6,7 @@ flattens it with ``inline``, so the work is spread over documents. With
 ``per="file"`` a whole file is one row, which suits payloads of an API call, not
 files of many gigabytes.
 
-A document that is no JSON, or not of its payload's shape, fails the read: a load
+A document that is no JSON, is ``null`` or not of its payload's shape, fails the read: a load
 must not take what is left for the whole. ``broken="skip"`` leaves such documents
 out, and :func:`bad_documents` lists them for a quarantine. Blank lines are no documents.
 """
@@ -70,15 +70,28 @@ def _parse(documents: DataFrame, schema: str) -> DataFrame:
     wrapped = F.concat(F.lit('{"payload":'), F.col("value"), F.lit("}"))
     options = {"columnNameOfCorruptRecord": "unparsed"}
     parsed = F.from_json(wrapped, f"struct<payload:{schema},unparsed:string>", options)
-    rows = documents.filter(F.trim("value") != "").select("value", parsed.alias("parsed"))
-    return rows.select("value", F.col("parsed.payload").alias("payload"), F.col("parsed.unparsed").isNotNull().alias("is_broken"))
+    # what closes the wrapper itself, or adds a field to it, is not one element of a list
+    alone = F.coalesce(F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]"))), F.lit(0)) == 1
+    rows = documents.filter(F.trim("value") != "").select("value", parsed.alias("parsed"), alone.alias("is_alone"))
+    broken = F.col("parsed.unparsed").isNotNull() | F.col("parsed.payload").isNull() | ~F.col("is_alone")
+    return rows.select("value", F.col("parsed.payload").alias("payload"), broken.alias("is_broken"))
 
 
-def _payloads(documents: DataFrame, schema: str, broken: str) -> DataFrame:
+def _without_zone(parsed: DataFrame, zone: str) -> DataFrame:
+    """Also takes successful price documents that have data but no list of the zone for broken.
+
+    Their other fields are looked up only where the list is absent.
+    """
+    fields = F.json_object_keys(F.get_json_object("value", "$.data"))
+    lost = F.col(f"payload.data.{zone}").isNull() & F.when(F.col("payload.data").isNotNull(), F.size(fields) > 0)
+    broken = F.col("is_broken") | F.coalesce(F.col("payload.success") & lost, F.lit(False))
+    return parsed.withColumn("is_broken", broken)
+
+
+def _payloads(parsed: DataFrame, broken: str) -> DataFrame:
     """Parsed documents as one column ``payload``."""
     if broken not in ("fail", "skip"):
         raise ValueError("broken must be 'fail' or 'skip'")
-    parsed = _parse(documents, schema)
     if broken == "skip":
         return parsed.filter("NOT is_broken").select("payload")
     message = F.concat(F.lit("broken document: "), F.substring("value", 1, 100))
@@ -94,7 +107,8 @@ def bad_documents(spark: SparkSession, path: str, kind: str, *, per: str = "line
         "statistics": _statistics_schema(),
         "hourly": _hourly_schema(),
     }
-    return _parse(read_documents(spark, path, per), schemas[kind]).filter("is_broken").select("value")
+    parsed = _parse(read_documents(spark, path, per), schemas[kind])
+    return (_without_zone(parsed, zone) if kind == "price" else parsed).filter("is_broken").select("value")
 
 
 def _ingested(at: Column | None) -> Column:
@@ -125,7 +139,7 @@ def _hourly_schema() -> str:
 
 
 def _history_records(documents: DataFrame, attributes_type: str, broken: str) -> DataFrame:
-    lists = _payloads(documents, _history_schema(attributes_type), broken)
+    lists = _payloads(_parse(documents, _history_schema(attributes_type)), broken)
     return lists.select(F.inline(F.flatten(F.filter("payload", lambda one: one.isNotNull()))))
 
 
@@ -169,8 +183,9 @@ def read_price(
     ingested_at: Column | None = None,
     broken: str = "fail",
 ) -> DataFrame:
-    """Price payload; unsuccessful or empty documents give no rows."""
-    parsed = _payloads(read_documents(spark, path, per), _price_schema(zone), broken)
+    """Price payload; unsuccessful documents and those without data give no rows, those
+    whose data lacks the list of the zone are broken."""
+    parsed = _payloads(_without_zone(_parse(read_documents(spark, path, per), _price_schema(zone)), zone), broken)
     records = parsed.filter("payload.success").select(F.inline(f"payload.data.{zone}"))
     return records.select(
         _ingested(ingested_at),
@@ -185,7 +200,7 @@ def read_statistics(
     spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
 ) -> DataFrame:
     """Long-term statistics keyed by entity; rows without a time are dropped."""
-    documents = _payloads(read_documents(spark, path, per), _statistics_schema(), broken)
+    documents = _payloads(_parse(read_documents(spark, path, per), _statistics_schema()), broken)
     by_entity = documents.select(F.explode("payload").alias("entity_id", "records"))
     records = by_entity.select("entity_id", F.inline("records"))
     attributes = F.struct(
@@ -212,7 +227,7 @@ def read_hourly_weather(
     broken: str = "fail",
 ) -> DataFrame:
     """Parallel hourly arrays zipped by position; hours from ``cutoff`` on are dropped."""
-    parsed = _payloads(read_documents(spark, path, per), _hourly_schema(), broken)
+    parsed = _payloads(_parse(read_documents(spark, path, per), _hourly_schema()), broken)
     # a missing array would make the whole zip NULL, so an empty one stands in
     measures = [
         F.coalesce(F.col(f"payload.hourly.{name}"), F.array().cast("array<double>"))

@@ -51,6 +51,42 @@ def test_price_payloads(spark, folder):
     assert sources.read_price(spark, folder, zone="lv").first().price_per_mwh == 9.0
 
 
+REFUSED = {
+    "history": ["null", "[[]", '[[]],"b":[]', "[]}", "[],[]", '{"a":1}', "3"],
+    "weather": ["null", "[[]]}{"],
+    "price": [
+        "null", "[]", '{"success":true},"b":{"c":1}', '{"success":true}}', '{"success":true,"data":{"lv":[]}}',
+        '{"success":true,"data":{"ee":null}}', '{"success":true,"data":{"ee":3}}',
+    ],
+    "statistics": ["null", "[]", '{},"x":{}'],
+    "hourly": ["null", "[]", '{"hourly":{}},"x":1'],
+}
+TAKEN = {
+    "history": ["[]", "[[]]", " [ ] "], "weather": ["[]"], "statistics": ["{}"], "hourly": ["{}", '{"hourly":null}'],
+    "price": ["{}", '{"success":false}', '{"success":true}', '{"success":true,"data":null}', '{"success":true,"data":{}}',
+              '{"success":null,"data":{"lv":[]}}', '{"success":true,"data":{"ee":[]}}', '{"success":true,"data":{"lv":[],"ee":[]}}'],
+}
+
+
+@pytest.mark.parametrize("kind", REFUSED)
+def test_what_is_no_document_is_refused(spark, folder, kind):
+    """Broken, null, more than one value in a text, or without what its shape must have."""
+    texts = [(text,) for text in REFUSED[kind] + TAKEN[kind] + ["", "  "]]
+    spark.createDataFrame(texts, "value string").write.text(folder)
+    found = sorted(r.value for r in sources.bad_documents(spark, folder, kind).collect())
+    assert found == sorted(REFUSED[kind])
+
+
+def test_price_without_its_zone_fails_the_read(spark, folder):
+    good = {"success": True, "data": {"ee": [{"timestamp": 1761955200, "price": 2}]}}
+    land(spark, folder, good, {"success": True, "data": {"lv": []}})
+    with pytest.raises(Exception, match="broken document"):
+        sources.read_price(spark, folder).collect()
+    assert sources.read_price(spark, folder, broken="skip").count() == 1
+    with pytest.raises(Exception, match="broken document"):
+        sources.read_price(spark, folder, zone="lv").collect()
+
+
 def test_statistics_state_preference(spark, folder):
     land(spark, folder, {"a": [
         {"start": 1761955200000, "mean": 0, "state": 5}, {"start": 1761955200, "mean": None, "state": 7.5},
