@@ -1,8 +1,9 @@
 """Loads of landed payloads: the hourly interval, a backfill, a late replay.
 
 Every load stages and checks its batch before anything is deleted, so an empty
-landing folder, or one broken document in it, leaves the stored rows alone. Each
-load says what it did with its rows. When to run a load is up to the caller.
+landing folder, or one broken document in it, leaves the stored rows alone. Landed
+documents are read and parsed once, by the write that stages them; it also counts
+their rows, and each load says what it did with them. When to run a load is up to the caller.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import backfill_cutoff
 from ..operators.aggregates import coverage
-from ..operators.filters import as_time, cutoff_report, in_list, in_window, time_window
+from ..operators.filters import as_time, in_list, in_window, time_window
 from ..operators.quality import run_suite
 from ..schemas import BRONZE_IOT, BRONZE_PRICE, BRONZE_WEATHER, SENSOR_COLUMNS
 from ..sinks import (
@@ -26,6 +27,7 @@ from ..sinks import (
     replace_days,
     replace_interval,
     replace_range_backfill,
+    staged_batch,
     upsert_rows,
     with_day,
     write_day_partitioned,
@@ -105,13 +107,11 @@ def cutoff(now) -> Column:
     return backfill_cutoff(as_time(now))
 
 
-def _tally(df: DataFrame, ts: str, start, end) -> dict[str, int]:
+def _places(ts: str, start, end) -> dict[str, Column]:
+    """Counts of rows in the interval, elsewhere, and without a time, for the write that stages a batch."""
     inside = F.coalesce(in_window(ts, start, end), F.lit(False))
     timed = F.col(ts).isNotNull()
-    row = df.agg(
-        F.count_if(inside).alias("inside"), F.count_if(timed & ~inside).alias("elsewhere"), F.count_if(~timed).alias("untimed")
-    ).first()
-    return row.asDict()
+    return {"inside": F.count_if(inside), "elsewhere": F.count_if(timed & ~inside), "untimed": F.count_if(~timed)}
 
 
 def _touched_days(df: DataFrame, ts: str, start, end) -> tuple:
@@ -123,13 +123,18 @@ def _touched_days(df: DataFrame, ts: str, start, end) -> tuple:
 
 
 def _load(df: DataFrame, root: str, name: str, start, end) -> Loaded:
-    """Replace the interval by the rows inside; rows elsewhere replace those of their own keys."""
+    """Replace the interval by the rows inside; rows elsewhere replace those of their own keys.
+
+    The landed documents are parsed by the one write that stages the batch, which also
+    counts its rows; all that follows reads staged rows.
+    """
     ts, keys = KEYS[name]
-    path, tally = bronze_path(root, name), _tally(df, ts, start, end)
-    changed = replace_interval(time_window(df, ts, start, end), path, ts, start, end)
-    if tally["elsewhere"]:
-        upsert_rows(df.filter(F.col(ts).isNotNull() & ~in_window(ts, start, end)), path, ts, keys)
-    return Loaded(changed or tally["elsewhere"] > 0, **tally, days=_touched_days(df, ts, start, end))
+    path = bronze_path(root, name)
+    with staged_batch(df, path, **_places(ts, start, end)) as (rows, tally):
+        changed = replace_interval(time_window(rows, ts, start, end), path, ts, start, end, is_staged=True)
+        if tally["elsewhere"]:
+            upsert_rows(rows.filter(F.col(ts).isNotNull() & ~in_window(ts, start, end)), path, ts, keys)
+        return Loaded(changed or tally["elsewhere"] > 0, **tally, days=_touched_days(rows, ts, start, end))
 
 
 def load_interval(spark: SparkSession, root: str, landing: Landing, start, end) -> dict[str, Loaded]:
@@ -148,24 +153,47 @@ def load_interval(spark: SparkSession, root: str, landing: Landing, start, end)
     return dict(zip(loads, found, strict=True))
 
 
-def _backfill_readings(spark: SparkSession, landing: Landing, start, end) -> DataFrame:
-    if landing.statistics is not None:
-        rows = _known_sensors(read_statistics(spark, landing.statistics, per=landing.per))
-        rows = time_window(rows, "last_changed", start, end)
-        if landing.history is None or not rows.isEmpty():
-            return rows
-    rows = _known_sensors(read_iot_history(spark, landing.history, per=landing.per))
-    return time_window(rows, "last_changed", start, end)
-
-
-def _fill(df: DataFrame, root: str, name: str, start, end) -> Loaded:
+def _fill(rows: DataFrame, root: str, name: str, start, end, tally: dict[str, int]) -> Loaded:
+    """Replace the range by the newest of the staged rows inside; others are only counted."""
     ts, keys = KEYS[name]
-    tally = _tally(df, ts, start, end)
-    inside = time_window(df, ts, start, end)
+    inside = time_window(rows, ts, start, end)
     changed = replace_range_backfill(inside, bronze_path(root, name), ts, start, end, keys)
     return Loaded(changed, **tally, days=_touched_days(inside, ts, start, end))
 
 
+def _fill_readings(spark: SparkSession, root: str, landing: Landing, start, end) -> Loaded:
+    """From statistics, or from histories where those have no row in the range."""
+    ts, path = KEYS[IOT][0], bronze_path(root, IOT)
+    sources = []
+    if landing.statistics is not None:
+        sources.append(read_statistics(spark, landing.statistics, per=landing.per))
+    if landing.history is not None or not sources:
+        sources.append(read_iot_history(spark, landing.history, per=landing.per))
+    for place, readings in enumerate(sources, 1):
+        with staged_batch(_known_sensors(readings), path, **_places(ts, start, end)) as (rows, tally):
+            if tally["inside"] or place == len(sources):
+                found = _fill(rows, root, IOT, start, end, {"inside": tally["inside"], "elsewhere": 0, "untimed": 0})
+                return replace(found, missing=_missing(time_window(rows, ts, start, end)))
+    raise AssertionError("the last source is always taken")
+
+
+def _fill_prices(spark: SparkSession, root: str, landing: Landing, start, end) -> Loaded:
+    prices = read_price(spark, landing.prices, per=landing.per)
+    with staged_batch(prices, bronze_path(root, PRICE), **_places(KEYS[PRICE][0], start, end)) as (rows, tally):
+        return _fill(rows, root, PRICE, start, end, tally)
+
+
+def _fill_weather(spark: SparkSession, root: str, landing: Landing, start, end) -> Loaded:
+    """Hours from ``end`` on are skipped, and counted as such."""
+    ts = KEYS[WEATHER][0]
+    hours = read_hourly_weather(spark, landing.weather, F.lit("9999-12-31").cast("timestamp"), per=landing.per)
+    measures = _places(ts, start, end) | {"skipped": F.count_if(F.col(ts) >= as_time(end))}
+    with staged_batch(hours, bronze_path(root, WEATHER), **measures) as (rows, tally):
+        skipped = tally.pop("skipped")
+        found = _fill(rows, root, WEATHER, start, end, tally | {"elsewhere": tally["elsewhere"] - skipped})
+        return replace(found, skipped=skipped)
+
+
 def _missing(readings: DataFrame) -> tuple[str, ...]:
     """Known sensors without a row; at most as many as there are sensors."""
     rows = coverage(readings, "entity_id", list(SENSOR_COLUMNS)).filter("NOT present").collect()
@@ -178,23 +206,9 @@ def load_range(spark: SparkSession, root: str, landing: Landing, start, end) ->
     Rows outside the range are left to other loads; they are counted, as are the
     weather hours from ``end`` on and the sensors that have no rows.
     """
-    hours = read_hourly_weather(spark, landing.weather, F.lit("9999-12-31").cast("timestamp"), per=landing.per)
-    readings = _backfill_readings(spark, landing, start, end)
-    loads = {
-        IOT: readings,
-        PRICE: read_price(spark, landing.prices, per=landing.per),
-        WEATHER: read_hourly_weather(spark, landing.weather, as_time(end), per=landing.per),
-    }
-    skipped, missing, *found = together(
-        spark,
-        lambda: cutoff_report(hours, "last_changed", end).first()["skipped"],
-        lambda: _missing(readings),
-        *[partial(_fill, df, root, name, start, end) for name, df in loads.items()],
-    )
-    report = dict(zip(loads, found, strict=True))
-    report[WEATHER] = replace(report[WEATHER], skipped=skipped)
-    report[IOT] = replace(report[IOT], missing=missing)
-    return report
+    fills = {IOT: _fill_readings, PRICE: _fill_prices, WEATHER: _fill_weather}
+    found = together(spark, *[partial(fill, spark, root, landing, start, end) for fill in fills.values()])
+    return dict(zip(fills, found, strict=True))
 
 
 def _staging_path(marts: str, name: str) -> str:

@@ -12,9 +12,10 @@ once if a write fails before its note stands. One writer at a time per table.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,18 +172,36 @@ def _put_days(current: DataFrame, content: DataFrame, path: str, table: str, tou
     _delete(spark, _note(table))
 
 
+@contextmanager
+def staged_batch(df: DataFrame, table: str, **measures: Column) -> Iterator[tuple[DataFrame, dict]]:
+    """``df`` written once beside ``table``, with aggregates of its rows taken by that same write.
+
+    Gives the written rows and the values of ``measures`` by name. What reads ``df`` is
+    thus read once, however often its rows are needed; they go at the end of the block.
+    """
+    spark, staging = df.sparkSession, _new_staging(table)
+    observation = Observation()
+    try:
+        observed = df.observe(observation, *[value.alias(name) for name, value in measures.items()]) if measures else df
+        rows = _staged(observed, f"{staging}/landed")
+        yield rows, observation.get if measures else {}
+    finally:
+        _release_staging(spark, table, staging)
+
+
 def replace_interval(
-    df: DataFrame, table: str, ts: str, start, end, *, allow_empty: bool = False
+    df: DataFrame, table: str, ts: str, start, end, *, allow_empty: bool = False, is_staged: bool = False
 ) -> bool:
     """Delete ``[start, end)`` from ``table``, then append ``df``. Safe to rerun.
 
     An empty batch leaves the table alone unless ``allow_empty`` is set. Rows of
-    ``df`` outside the interval are appended without deleting anything.
+    ``df`` outside the interval are appended without deleting anything. Say
+    ``is_staged`` if ``df`` reads a written batch; it is then not written again.
     Returns whether the table was changed.
     """
     spark, staging = df.sparkSession, _new_staging(table)
     try:
-        new = _staged(with_day(df, ts), f"{staging}/new-rows")
+        new = with_day(df, ts) if is_staged else _staged(with_day(df, ts), f"{staging}/new-rows")
         summary = new.agg(
             F.count("*").alias("rows"),
             F.count_if(F.col(ts).isNull()).alias("untimed"),

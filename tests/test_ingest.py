@@ -1,6 +1,7 @@
 """Interval runs and backfills from landed payloads to tested models."""
 
 import json
+import re
 
 import pytest
 from helpers import devices, iot, locations, tuples, utc
@@ -135,6 +136,66 @@ def test_backfill_report(spark, root):
     assert not told[ingest.PRICE].changed
 
 
+def landing_scans(spark, job, *folders):
+    """How often ``job`` scans each landing folder, by the executed plans of the session."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    job()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    seen = store.executionsList(int(before), int(store.executionsCount() - before))
+    plans = [seen.apply(i).physicalPlanDescription() for i in range(seen.size())]
+    final = [re.split("== Initial Plan ==", plan)[0].split("\n\n\n")[-1] for plan in plans]
+    return {f: sum(f"{f}]" in part for plan in final for part in re.findall(r"Location:.*", plan)) for f in folders}
+
+
+def test_an_interval_parses_each_log_once(spark, root):
+    """Rows inside, elsewhere and without a time, all told from one scan of each landing folder."""
+    landed = landing(spark, root)
+    land(spark, landed.history, [[state(PUMP, "1", None), state(PUMP, "7", "2025-11-20T05:00:00Z")]])
+    told = {}
+    folders = [landed.history, landed.weather, landed.prices]
+    scans = landing_scans(spark, lambda: told.update(ingest.load_interval(spark, f"{root}/bronze", landed, START, END)), *folders)
+    assert scans == dict.fromkeys(folders, 1)
+    assert told[ingest.IOT] == ingest.Loaded(True, inside=2, elsewhere=2, untimed=1)
+    assert {str(day) for day in told[ingest.IOT].days} == {"2025-11-20", "2025-11-23"}
+    assert told[ingest.WEATHER] == told[ingest.PRICE] == ingest.Loaded(True, 1, 0, 0)
+    assert no_staging(spark, f"{root}/bronze")
+
+
+def test_a_backfill_parses_each_log_once(spark, root):
+    hourly = {"hourly": {"time": [f"2025-11-{d}T10:00" for d in (21, 22, 23, 24, 25)], "temperature_2m": [1.0] * 5}}
+    prices = [{"timestamp": 1763892000 + 86400 * i, "price": i} for i in (-2, -1, 0, 1)]
+    landed = ingest.Landing(
+        statistics=land(spark, f"{root}/statistics", {PUMP: [{"start": "2025-11-19T00:00:00Z", "mean": 5}]}),
+        history=land(spark, f"{root}/history", [[state(PUMP, "100", "2025-11-22T10:10:00Z"), state(PUMP, "9", None)]]),
+        prices=land(spark, f"{root}/prices", {"success": True, "data": {"ee": prices}}),
+        weather=land(spark, f"{root}/hourly", hourly),
+    )
+    told = {}
+    folders = [landed.statistics, landed.history, landed.prices, landed.weather]
+    job = lambda: told.update(ingest.load_range(spark, f"{root}/bronze", landed, "2025-11-22", "2025-11-24"))
+    assert landing_scans(spark, job, *folders) == dict.fromkeys(folders, 1)
+    missing = tuple(sorted(set(SENSOR_COLUMNS) - {PUMP}))
+    assert told[ingest.IOT] == ingest.Loaded(True, 1, 0, 0, missing=missing)
+    assert told[ingest.PRICE] == ingest.Loaded(True, inside=2, elsewhere=2, untimed=0)
+    assert told[ingest.WEATHER] == ingest.Loaded(True, inside=2, elsewhere=1, untimed=0, skipped=2)
+    assert no_staging(spark, f"{root}/bronze")
+
+
+def no_staging(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return not [f.getPath().getName() for f in found if f.getPath().getName().endswith(("_staging", "_pending"))]
+
+
+def test_a_load_that_fails_leaves_no_staged_rows(spark, root):
+    landed = landing(spark, root)
+    spark.createDataFrame([("{",)], "value string").write.mode("append").text(landed.prices)
+    with pytest.raises(Exception, match="broken document"):
+        ingest.load_interval(spark, f"{root}/bronze", landed, START, END)
+    assert no_staging(spark, f"{root}/bronze")
+
+
 def test_dead_build_leaves_the_star_before_it(spark, root, monkeypatch):
     options = dict(holidays=holidays(spark, 2020, 2040), marts=f"{root}/marts")
     ingest.run(spark, f"{root}/bronze", landing(spark, root), START, END, **options)
