@@ -119,19 +119,23 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, bins, id_type = encoder(tokenizer), HarmonicBins(capacity, first_id(0)), None
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
             id_type = batch.schema.field(0).type
-            doc_ids = iter(batch.column(0).to_pylist())
-            for texts in in_blocks(batch.column(1).to_pylist()):
+            doc_ids, begun = iter(batch.column(0).to_pylist()), []
+            for texts, rows_here in in_blocks(batch.column(1)):
+                found, counts = one.encode(texts)
+                if not rows_here:  # a part of a long text
+                    begun.append(found)
+                    continue
                 rows: list[tuple] = []
-                for ids in one.encode(texts):
-                    ids, doc_id, start = ids + end, next(doc_ids), 0
-                    tokens = len(ids) // 4
+                for own in np.split(found, np.cumsum(counts)[:-1]):
+                    ids, begun = np.concatenate([*begun, own, end]).astype("<u4", copy=False).tobytes(), []
+                    doc_id, start, tokens = next(doc_ids), 0, len(ids) // 4
                     for length in piece_lengths(tokens, capacity):
-                        own = ids[4 * start : 4 * (start + length)]
-                        values = np.frombuffer(own, dtype="<u4").astype(np.int32) if with_ids else None
-                        rows += bins.add((doc_id, tokens, start, length, zlib.crc32(own), values))
+                        piece = ids[4 * start : 4 * (start + length)]
+                        values = np.frombuffer(piece, dtype="<u4").astype(np.int32) if with_ids else None
+                        rows += bins.add((doc_id, tokens, start, length, zlib.crc32(piece), values))
                         start += length
                 yield _batch(rows, id_type)
         if id_type is not None:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import encoder, in_blocks
+from .bpe import counts_of, encoder
 from .common import stage, text_of
 
 LIMIT = 1024
@@ -48,8 +48,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, *, limit: int = LI
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoder(tokenizer)
         for batch in batches:
-            counts = [len(ids) // 4 for part in in_blocks(batch.column(1).to_pylist()) for ids in one.encode(part)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
+            counts = pa.array(counts_of(one, batch.column(1)), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts], names=["digest", "n_tokens"])
 
     missing = digests.select("digest").distinct().join(read_cache(spark, cache, version), "digest", "left_anti")
     (

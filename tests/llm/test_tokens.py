@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -26,20 +27,43 @@ def tokenizer():
     return Tokenizer.from_file(PATH)
 
 
-def test_encoder_equals_library(tokenizer):
-    pieces = ["a", "Bc", "é", "'s", "12", "...", " ", "  ", "\n", "\t", "漢", "<|endoftext|>", " ", "!"]
+def odd_texts():
+    pieces = ["a", "Bc", "é", "'s", "12", "...", " ", "  ", "\n", "\t", "漢", "<|endoftext|>", "\u2003", "!", "\x01", "\x1d", " a", "\nb"]
     rng = random.Random(1)
-    texts = [t or "" for t in ODD] + ["".join(rng.choices(pieces, k=rng.randint(1, 30))) for _ in range(3000)]
-    found = bpe.Encoder(PATH).encode(texts)
-    for text, ids in zip(texts, found, strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    return [t or "" for t in ODD] + ["".join(rng.choices(pieces, k=rng.randint(1, 30))) for _ in range(3000)]
+
 
+def listed(ids, counts):
+    return [one.tolist() for one in np.split(ids, np.cumsum(counts)[:-1])]
 
-def test_encoder_forgets(monkeypatch, tokenizer):
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
-    one = bpe.Encoder(PATH)
-    for text in ("a b c d e f", "b c", "long" * 40 + " x"):
-        assert np.frombuffer(one.encode([text])[0], "<u4").tolist() == tokenizer.encode(text).ids
+
+def test_encoder_equals_library(tokenizer):
+    texts, one = odd_texts(), bpe.Encoder(PATH)
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    for _ in range(2):  # the second time with known units
+        assert listed(*one.encode(pa.array(texts))) == expected
+        assert one.count(pa.array(texts)).tolist() == [len(ids) for ids in expected]
+
+
+def test_known_units_are_bounded(tokenizer):
+    texts, one = odd_texts(), bpe.Encoder(PATH, cache_bytes=4000)
+    for at in range(0, len(texts), 50):
+        some = texts[at : at + 50]
+        assert listed(*one.encode(pa.array(some))) == [tokenizer.encode(text).ids for text in some]
+        assert one._known.nbytes() < 6000
+
+
+@pytest.mark.parametrize("size", [1, 5, 60, 1 << 20])
+def test_long_texts_in_parts(tokenizer, size):
+    """Parts of a long text have its ids, wherever it is cut."""
+    texts, one, found, begun = odd_texts()[:400], bpe.Encoder(PATH), [], []
+    for block, rows in bpe.in_blocks(pa.array([*texts, None], pa.string()), size):
+        ids = listed(*one.encode(block))
+        begun += ids[0]
+        if rows:
+            found += [begun, *ids[1:]]
+            begun = []
+    assert found == [tokenizer.encode(text).ids for text in [*texts, ""]]
 
 
 def frame(spark, texts):
