@@ -8,14 +8,15 @@ their rows, and each load says what it did with them. When to run a load is up t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.time import backfill_cutoff
+from ..functions.time import backfill_cutoff, hour_start
 from ..operators.aggregates import coverage
 from ..operators.filters import as_time, in_list, in_window, time_window
 from ..operators.quality import run_suite
@@ -41,6 +42,7 @@ from ..sources import (
     read_weather_history,
 )
 from ..sources.registry import bronze_path
+from ..streaming.late import late_rows, mark_replayed, pending_batches
 from ..together import together
 from .silver import stg_iot, stg_price, stg_weather
 from .star import Star, assemble_star
@@ -314,3 +316,38 @@ def late_replay(batch: DataFrame, bronze: str, hourly: str, start, end) -> DataF
     recomputed = stg_iot(touched)
     replace_interval(recomputed, hourly, "hour_start", first, last, allow_empty=True)
     return spark.read.parquet(hourly).select(*recomputed.columns)
+
+
+def replay_late(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    ts: str,
+    keys: Sequence[str],
+    bronze: str,
+    *,
+    hourly: str | None = None,
+    model: Callable[[DataFrame], DataFrame] = stg_iot,
+    hour: str = "hour_start",
+) -> int:
+    """Bring in the late rows below ``root`` (see :mod:`hearth.streaming.late`); returns their number.
+
+    They replace the rows of their ``keys`` in ``bronze``, and the hours they name are
+    computed anew from it by ``model`` and replace those of ``hourly``. Only days with late
+    rows are read or written. A replay that dies is made again by the next one.
+    """
+    batches = pending_batches(spark, root)
+    if not batches:
+        return 0
+    seen = Observation()
+    late = late_rows(spark, root, schema, ts, batches).observe(seen, F.count(F.lit(1)).alias("rows"))
+    upsert_rows(late.drop("late_hour"), bronze, ts, keys)
+    if hourly is not None:
+        # at most one row per hour of the calendar
+        hours = late_rows(spark, root, schema, ts, batches).select(F.col("late_hour").alias("_hour")).distinct()
+        days = days_of(hours.select(F.to_date("_hour").alias("ts_day")))
+        stored = read_days(spark, bronze, schema).filter(on_days(days))
+        touched = stored.join(hours, hour_start(stored[ts]) == hours["_hour"], "left_semi")
+        upsert_rows(model(touched.select(*schema.names)), hourly, hour, [hour])
+    mark_replayed(spark, root, batches)
+    return seen.get["rows"]

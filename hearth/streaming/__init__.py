@@ -1,5 +1,6 @@
 """The hourly load as Structured Streaming."""
 
+from .late import admit_sink, late_rows, mark_replayed, pending_batches, stream_accepted
 from .readings import (
     append_sink,
     dedup_stream,
@@ -13,12 +14,17 @@ from .readings import (
 )
 
 __all__ = [
+    "admit_sink",
     "append_sink",
     "dedup_stream",
     "drain",
     "enrich_stream",
     "hourly_wide_stream",
     "last_state_stream",
+    "late_rows",
+    "mark_replayed",
+    "pending_batches",
+    "stream_accepted",
     "stream_readings",
     "upsert_interval_sink",
     "upsert_result_sink",
