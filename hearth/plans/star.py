@@ -7,14 +7,16 @@ table instead of the bronze log.
 A build goes into a folder of its own and is published by one small file at the
 end. Surrogate keys change from build to build, so calendar and fact must be seen
 together or not at all: a reader follows the last published file, and a build
-that dies leaves the star before it in place.
+that dies leaves the star before it in place. A reader that outlives two builds
+pins the version it reads.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import gold, silver
 from .access import full_access, limited_access
+from ..paths import delete, names, touch
 from ..schemas import SENSOR_COLUMNS
 from ..sinks import materialize
 from ..together import together
@@ -122,38 +125,86 @@ def register_star(star: Star) -> None:
     materialize(limited_access(star.fact), "view", "v_heating_energy_limited_access")
 
 
-def _folder(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+def published(spark: SparkSession, root: str) -> list[str]:
+    """Names of the published versions, oldest first; names begin with their time."""
+    return names(spark, f"{root.rstrip('/')}/published")
 
 
-def _published(spark: SparkSession, root: str) -> list[str]:
-    """Names of the published versions, oldest first; names begin with their time."""
-    folder, fs = _folder(spark, f"{root.rstrip('/')}/published")
-    return sorted(f.getPath().getName() for f in fs.listStatus(folder)) if fs.exists(folder) else []
+def _pinned(spark: SparkSession, root: str) -> set[str]:
+    """Versions that any owner has pinned."""
+    folder = f"{root.rstrip('/')}/pins"
+    return {version for owner in names(spark, folder) for version in names(spark, f"{folder}/{owner}")}
 
 
 def _publish(spark: SparkSession, root: str, version: str) -> None:
-    """Make a finished version the current one, then delete all but it and the one before.
+    """Make a finished version the current one, then delete all but it, the one before and those pinned.
 
     Creating an empty file is one step, so readers see either star. The version
     before stays for readers that have begun with it; folders of builds that died go too.
     """
     base = root.rstrip("/")
-    marker, fs = _folder(spark, f"{base}/published/{version}")
-    fs.create(marker).close()
-    kept = _published(spark, root)[-2:]
-    for place in ("published", "versions"):
-        folder, _ = _folder(spark, f"{base}/{place}")
-        for entry in fs.listStatus(folder):
-            if entry.getPath().getName() not in kept and entry.getPath().getName() < version:
-                fs.delete(entry.getPath(), True)
-
-
-def read_star(spark: SparkSession, root: str) -> Star:
-    """The models of the last published build."""
-    versions = _published(spark, root)
-    if not versions:
-        raise FileNotFoundError(f"no star was published below {root}")
-    names = ["stg_iot", "stg_weather", "stg_price", "dim_time", "dim_device", "dim_location", "fact"]
-    return Star(*[spark.read.parquet(f"{root.rstrip('/')}/versions/{versions[-1]}/{name}") for name in names])
+    touch(spark, f"{base}/published/{version}")
+    current = published(spark, root)
+    kept = {*current[-2:], *_pinned(spark, root)}
+    dropped = [name for name in current if name not in kept and name < version]
+    for name in dropped:
+        delete(spark, f"{base}/published/{name}")
+    # a pin set meanwhile was set before its version's marker went, or its owner looks for another version
+    kept |= _pinned(spark, root)
+    for name in dropped:
+        if name in kept:
+            touch(spark, f"{base}/published/{name}")
+    for name in names(spark, f"{base}/versions"):
+        if name not in kept and name < version:
+            delete(spark, f"{base}/versions/{name}")
+
+
+def unpin(spark: SparkSession, root: str, owner: str) -> None:
+    """Give up an owner's pins; the next build may delete what nothing else keeps."""
+    delete(spark, f"{root.rstrip('/')}/pins/{owner}")
+
+
+def pin(spark: SparkSession, root: str, owner: str, version: str | None = None) -> str:
+    """Keep one version, by default the current one, for a reader that outlives two builds.
+
+    ``owner`` names the reader and holds one version at a time: the pin replaces its
+    earlier ones, also those that a reader of this name left when it died. The pin stands
+    before the version is looked up again, so a build that ends meanwhile either sees the
+    pin or has made a newer version current, which is then taken.
+    """
+    if not owner or "/" in owner:
+        raise ValueError("an owner is a name without slashes")
+    folder = f"{root.rstrip('/')}/pins/{owner}"
+    while True:
+        found = published(spark, root)
+        wanted = version if version is not None else (found[-1] if found else None)
+        if wanted is None or wanted not in found:
+            raise FileNotFoundError(f"no star {version or ''} was published below {root}")
+        touch(spark, f"{folder}/{wanted}")
+        if wanted in published(spark, root):
+            break
+        delete(spark, f"{folder}/{wanted}")
+    for other in names(spark, folder):
+        if other != wanted:
+            delete(spark, f"{folder}/{other}")
+    return wanted
+
+
+@contextmanager
+def pinned_star(spark: SparkSession, root: str, owner: str) -> Iterator[Star]:
+    """The current star, which no build deletes within the block."""
+    version = pin(spark, root, owner)
+    try:
+        yield read_star(spark, root, version)
+    finally:
+        unpin(spark, root, owner)
+
+
+def read_star(spark: SparkSession, root: str, version: str | None = None) -> Star:
+    """The models of the last published build, or of a named one."""
+    versions = published(spark, root)
+    if not versions or (version is not None and version not in versions):
+        raise FileNotFoundError(f"no star {version or ''} was published below {root}")
+    folder = f"{root.rstrip('/')}/versions/{version or versions[-1]}"
+    models = ["stg_iot", "stg_weather", "stg_price", "dim_time", "dim_device", "dim_location", "fact"]
+    return Star(*[spark.read.parquet(f"{folder}/{name}") for name in models])

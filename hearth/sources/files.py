@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.filters import nothing
+from ..paths import path_and_fs
 from ..schemas import BRONZE_PRICE, HOLIDAYS, READINGS_CSV
 
 
@@ -47,6 +48,9 @@ def read_or_empty(
     spark: SparkSession, path: str, schema: T.StructType, *, recursive: bool = False
 ) -> DataFrame:
     """Parquet under ``path``, or an empty relation of the same schema."""
+    place, fs = path_and_fs(spark, path)
+    if not fs.globStatus(place):
+        return nothing(spark, schema)
     reader = spark.read.schema(schema)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)

@@ -98,8 +98,9 @@ def _payloads(parsed: DataFrame, broken: str) -> DataFrame:
     return parsed.select(F.when(F.col("is_broken"), F.raise_error(message)).otherwise(F.col("payload")).alias("payload"))
 
 
-def bad_documents(spark: SparkSession, path: str, kind: str, *, per: str = "line", zone: str = "ee") -> DataFrame:
-    """Texts that a reader would refuse; ``kind`` is ``history``, ``weather``, ``price``, ``statistics`` or ``hourly``."""
+def parse_documents(documents: DataFrame, kind: str, *, zone: str = "ee") -> DataFrame:
+    """``value, payload, is_broken`` of each text that is not blank; ``kind`` is ``history``,
+    ``weather``, ``price``, ``statistics`` or ``hourly``. Works on streams as on batches."""
     schemas = {
         "history": _history_schema("string"),
         "weather": _history_schema(_attributes_type()),
@@ -107,8 +108,25 @@ def bad_documents(spark: SparkSession, path: str, kind: str, *, per: str = "line
         "statistics": _statistics_schema(),
         "hourly": _hourly_schema(),
     }
-    parsed = _parse(read_documents(spark, path, per), schemas[kind])
-    return (_without_zone(parsed, zone) if kind == "price" else parsed).filter("is_broken").select("value")
+    parsed = _parse(documents, schemas[kind])
+    return _without_zone(parsed, zone) if kind == "price" else parsed
+
+
+def payload_rows(payloads: DataFrame, kind: str, *, zone: str = "ee", ingested_at: Column | None = None) -> DataFrame:
+    """Bronze rows of parsed documents (column ``payload``, none of them broken)."""
+    if kind == "price":
+        return _price_rows(payloads, zone, ingested_at)
+    rows = {"history": _iot_rows, "weather": _weather_rows, "statistics": _statistics_rows, "hourly": _hourly_rows}
+    return rows[kind](payloads, ingested_at)
+
+
+def _read(spark: SparkSession, path: str, kind: str, per: str, broken: str, zone: str = "ee") -> DataFrame:
+    return _payloads(parse_documents(read_documents(spark, path, per), kind, zone=zone), broken)
+
+
+def bad_documents(spark: SparkSession, path: str, kind: str, *, per: str = "line", zone: str = "ee") -> DataFrame:
+    """Texts that a reader would refuse; kinds as in :func:`parse_documents`."""
+    return parse_documents(read_documents(spark, path, per), kind, zone=zone).filter("is_broken").select("value")
 
 
 def _ingested(at: Column | None) -> Column:
@@ -138,17 +156,12 @@ def _hourly_schema() -> str:
     return f"struct<hourly:struct<time:array<string>,{arrays}>>"
 
 
-def _history_records(documents: DataFrame, attributes_type: str, broken: str) -> DataFrame:
-    lists = _payloads(_parse(documents, _history_schema(attributes_type)), broken)
-    return lists.select(F.inline(F.flatten(F.filter("payload", lambda one: one.isNotNull()))))
+def _history_records(payloads: DataFrame) -> DataFrame:
+    return payloads.select(F.inline(F.flatten(F.filter("payload", lambda one: one.isNotNull()))))
 
 
-def read_iot_history(
-    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
-) -> DataFrame:
-    """History payload: a list of per-entity lists of state changes."""
-    records = _history_records(read_documents(spark, path, per), "string", broken)
-    return records.select(
+def _iot_rows(payloads: DataFrame, ingested_at: Column | None) -> DataFrame:
+    return _history_records(payloads).select(
         _ingested(ingested_at),
         "entity_id",
         "state",
@@ -157,12 +170,8 @@ def read_iot_history(
     )
 
 
-def read_weather_history(
-    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
-) -> DataFrame:
-    """History payload of the weather entity, nine attributes as doubles."""
-    records = _history_records(read_documents(spark, path, per), _attributes_type(), broken)
-    return records.select(
+def _weather_rows(payloads: DataFrame, ingested_at: Column | None) -> DataFrame:
+    return _history_records(payloads).select(
         _ingested(ingested_at),
         "entity_id",
         F.col("state").alias("condition_state"),
@@ -174,19 +183,8 @@ def read_weather_history(
     )
 
 
-def read_price(
-    spark: SparkSession,
-    path: str,
-    *,
-    per: str = "line",
-    zone: str = "ee",
-    ingested_at: Column | None = None,
-    broken: str = "fail",
-) -> DataFrame:
-    """Price payload; unsuccessful documents and those without data give no rows, those
-    whose data lacks the list of the zone are broken."""
-    parsed = _payloads(_without_zone(_parse(read_documents(spark, path, per), _price_schema(zone)), zone), broken)
-    records = parsed.filter("payload.success").select(F.inline(f"payload.data.{zone}"))
+def _price_rows(payloads: DataFrame, zone: str, ingested_at: Column | None) -> DataFrame:
+    records = payloads.filter("payload.success").select(F.inline(f"payload.data.{zone}"))
     return records.select(
         _ingested(ingested_at),
         from_epoch(F.col("timestamp")).alias("ts_utc"),
@@ -196,12 +194,8 @@ def read_price(
     )
 
 
-def read_statistics(
-    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
-) -> DataFrame:
-    """Long-term statistics keyed by entity; rows without a time are dropped."""
-    documents = _payloads(_parse(read_documents(spark, path, per), _statistics_schema()), broken)
-    by_entity = documents.select(F.explode("payload").alias("entity_id", "records"))
+def _statistics_rows(payloads: DataFrame, ingested_at: Column | None) -> DataFrame:
+    by_entity = payloads.select(F.explode("payload").alias("entity_id", "records"))
     records = by_entity.select("entity_id", F.inline("records"))
     attributes = F.struct(
         *[safe_number(F.col(name)).alias(name) for name in STATISTIC_FIELDS],
@@ -217,24 +211,14 @@ def read_statistics(
     return with_time(rows, "last_changed")
 
 
-def read_hourly_weather(
-    spark: SparkSession,
-    path: str,
-    cutoff: Column,
-    *,
-    per: str = "line",
-    ingested_at: Column | None = None,
-    broken: str = "fail",
-) -> DataFrame:
-    """Parallel hourly arrays zipped by position; hours from ``cutoff`` on are dropped."""
-    parsed = _payloads(_parse(read_documents(spark, path, per), _hourly_schema()), broken)
+def _hourly_rows(payloads: DataFrame, ingested_at: Column | None) -> DataFrame:
     # a missing array would make the whole zip NULL, so an empty one stands in
     measures = [
         F.coalesce(F.col(f"payload.hourly.{name}"), F.array().cast("array<double>"))
         for name in HOURLY_ARRAYS.values()
     ]
     zipped = F.arrays_zip(F.col("payload.hourly.time"), *measures)
-    hours = parsed.select(F.inline(zipped)).toDF("time", *HOURLY_ARRAYS.values())
+    hours = payloads.select(F.inline(zipped)).toDF("time", *HOURLY_ARRAYS.values())
     rows = hours.select(
         _ingested(ingested_at),
         F.lit(WEATHER_ENTITY).alias("entity_id"),
@@ -245,7 +229,55 @@ def read_hourly_weather(
             for name, source in HOURLY_ARRAYS.items()
         ],
     )
-    return before_cutoff(with_time(rows, "last_changed"), "last_changed", cutoff)
+    return with_time(rows, "last_changed")
+
+
+def read_iot_history(
+    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
+) -> DataFrame:
+    """History payload: a list of per-entity lists of state changes."""
+    return _iot_rows(_read(spark, path, "history", per, broken), ingested_at)
+
+
+def read_weather_history(
+    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
+) -> DataFrame:
+    """History payload of the weather entity, nine attributes as doubles."""
+    return _weather_rows(_read(spark, path, "weather", per, broken), ingested_at)
+
+
+def read_price(
+    spark: SparkSession,
+    path: str,
+    *,
+    per: str = "line",
+    zone: str = "ee",
+    ingested_at: Column | None = None,
+    broken: str = "fail",
+) -> DataFrame:
+    """Price payload; unsuccessful documents and those without data give no rows, those
+    whose data lacks the list of the zone are broken."""
+    return _price_rows(_read(spark, path, "price", per, broken, zone), zone, ingested_at)
+
+
+def read_statistics(
+    spark: SparkSession, path: str, *, per: str = "line", ingested_at: Column | None = None, broken: str = "fail"
+) -> DataFrame:
+    """Long-term statistics keyed by entity; rows without a time are dropped."""
+    return _statistics_rows(_read(spark, path, "statistics", per, broken), ingested_at)
+
+
+def read_hourly_weather(
+    spark: SparkSession,
+    path: str,
+    cutoff: Column,
+    *,
+    per: str = "line",
+    ingested_at: Column | None = None,
+    broken: str = "fail",
+) -> DataFrame:
+    """Parallel hourly arrays zipped by position; hours from ``cutoff`` on are dropped."""
+    return before_cutoff(_hourly_rows(_read(spark, path, "hourly", per, broken), ingested_at), "last_changed", cutoff)
 
 
 assert list(WEATHER_ATTRIBUTES) == WEATHER_MEASURES == list(HOURLY_ARRAYS)

@@ -19,6 +19,7 @@ from ..functions.time import local_date
 from ..operators.aggregates import avg_if, latest
 from ..operators.joins import flag_join
 from ..plans.gold import attach_versions
+from ..plans.star import pinned_star
 from ..schemas import BRONZE_IOT, SENSOR_COLUMNS
 from ..sinks import upsert_rows
 
@@ -85,6 +86,23 @@ def enrich_stream(
     return flag_join(dated, days, "_day", "IsHoliday").drop("_day")
 
 
+def enrich_sink(
+    root: str, owner: str, holidays: DataFrame, ts: str, write: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that enriches a batch from the star that is current when it begins.
+
+    The star below ``root`` may be rebuilt while the stream runs: a batch pins its
+    version, so no build deletes what it reads, and the next batch sees the newer one.
+    ``owner`` names the stream's pin; ``write`` is the sink of the enriched rows.
+    """
+
+    def enrich(batch: DataFrame, batch_id: int) -> None:
+        with pinned_star(batch.sparkSession, root, owner) as star:
+            write(enrich_stream(batch, star.dim_device, star.dim_location, holidays, ts), batch_id)
+
+    return enrich
+
+
 def upsert_interval_sink(table: str, ts: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that upserts into a day-partitioned table.
 

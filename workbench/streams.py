@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from hearth import sinks, streaming
 from hearth.operators.filters import time_window
-from hearth.plans.ingest import late_replay
+from hearth.functions.time import hour_start
+from hearth.operators.aggregates import latest_in_group
+from hearth.plans.ingest import late_replay, replay_late
 from hearth.plans.silver import stg_iot
 from hearth.schemas import BRONZE_IOT, BRONZE_WEATHER
 from hearth.session import scratch_path
 
-from . import feeds, marts
+from . import feeds, landing, marts
 from .entry import Entry
 from .feeds import with_feeds
 from .models import SENSOR_AVERAGES
@@ -135,3 +137,94 @@ def _(spark, sf):
     sinks.write_day_partitioned(on_time, bronze, "last_changed")
     sinks.write_day_partitioned(stg_iot(on_time), hourly, "hour_start")
     return late_replay(time_window(log, "last_changed", start, end), bronze, hourly, start, end)
+
+
+LATE_FROM, LATE_TO = "2024-01-10 00:00:00", "2024-01-13 00:00:00"
+READING_KEYS = ["entity_id", "last_changed"]
+
+
+def _late(log):
+    """Half of three days lands again at the end, when the watermark has long passed it."""
+    at = F.col("last_changed")
+    return (at >= LATE_FROM) & (at < LATE_TO) & (F.minute(at) >= 30)
+
+
+def _admitted(spark, log, by="hour"):
+    """The log in two deliveries, each admitted when it has landed: rows in time, then late ones."""
+    late, path, root = F.coalesce(_late(log), F.lit(False)), scratch_path(spark, "late-landing"), scratch_path(spark, "late-admission")
+    checkpoint, deliveries = scratch_path(spark, "stream-checkpoint"), []
+    for part in (log.filter(~late), log.filter(late)):
+        sinks.append(part, path)
+        raw = streaming.stream_readings(spark, path, schema=log.schema)
+        streaming.drain(raw, streaming.admit_sink(root, "last_changed", "2 hours", by=by), checkpoint, mode="append")
+        deliveries.append(streaming.stream_accepted(spark, root, log.schema))
+    return root, deliveries[-1]
+
+
+@register("x2_late_rows", with_feeds("stg_iot", "SELECT * FROM stg_iot"), SENSOR_AVERAGES)
+def _(spark, sf):
+    """Hourly averages of a stream whose late rows were kept and replayed."""
+    root, accepted = _admitted(spark, feeds.readings(spark, sf))
+    hourly = streaming.hourly_wide_stream(accepted, "2 hours")
+    table = _drained(spark, hourly, streaming.upsert_result_sink, scratch_path(spark, "stream-hourly"))
+    bronze = scratch_path(spark, "stream-bronze")
+    streaming.drain(accepted, streaming.append_sink(f"{bronze}-batches"), scratch_path(spark, "stream-checkpoint"), mode="append")
+    on_time = spark.read.schema(BRONZE_IOT).parquet(f"{bronze}-batches").select(*BRONZE_IOT.names)
+    sinks.write_day_partitioned(on_time, bronze, "last_changed")
+    # readings that repeat a time count each, so the key of a row is the row
+    replay_late(spark, root, BRONZE_IOT, "last_changed", ["entity_id", "last_changed", "state", "attributes"], bronze, hourly=table)
+    return sinks.read_days(spark, table, hourly.schema).drop("ts_day")
+
+
+@register("x3_late_rows", with_feeds("readings", "SELECT entity_id, state, last_changed FROM readings", once=True))
+def _(spark, sf):
+    """A deduplicated stream whose late rows were kept and replayed; some are repeats as well."""
+    log = feeds.readings(spark, sf)
+    # what is late arrives twice, and so does what is not
+    twice = log.unionByName(log.withColumn("ingestion_ts", F.col("ingestion_ts") + F.expr("interval 1 hour")))
+    root, accepted = _admitted(spark, twice, by="row")
+    table = scratch_path(spark, "stream-dedup")
+    sink = streaming.upsert_interval_sink(table, "last_changed", READING_KEYS)
+    streaming.drain(streaming.dedup_stream(accepted, "2 hours"), sink, scratch_path(spark, "stream-checkpoint"), mode="append")
+    replay_late(spark, root, BRONZE_IOT, "last_changed", READING_KEYS, table)
+    return sinks.read_days(spark, table, BRONZE_IOT).select("entity_id", "state", "last_changed")
+
+
+@register("x5_late_rows", with_feeds("stg_weather", "SELECT timestamp AS hour_start, condition_state FROM stg_weather"))
+def _(spark, sf):
+    """Last states of hours of a stream whose late rows were kept and replayed."""
+    root, accepted = _admitted(spark, feeds.weather(spark, sf))
+    last = streaming.last_state_stream(accepted, "2 hours")
+    table = _drained(spark, last, streaming.upsert_result_sink, scratch_path(spark, "stream-last"))
+    bronze = scratch_path(spark, "stream-bronze")
+    streaming.drain(accepted, streaming.append_sink(f"{bronze}-batches"), scratch_path(spark, "stream-checkpoint"), mode="append")
+    on_time = spark.read.schema(BRONZE_WEATHER).parquet(f"{bronze}-batches").select(*BRONZE_WEATHER.names)
+    sinks.write_day_partitioned(on_time, bronze, "last_changed")
+
+    def model(rows):
+        return latest_in_group(rows, {"hour_start": hour_start(F.col("last_changed"))}, "condition_state", "last_changed")
+
+    replay_late(spark, root, BRONZE_WEATHER, "last_changed", BRONZE_WEATHER.names[1:], bronze, hourly=table, model=model)
+    return sinks.read_days(spark, table, last.schema).drop("ts_day")
+
+
+@register(
+    "x1_stream_payloads",
+    with_feeds(
+        "readings",
+        """SELECT DISTINCT ON (entity_id, last_changed) entity_id, state, last_changed, attributes FROM (
+  SELECT entity_id, state, last_changed, '{"k":' || json_extract_string(attributes, '$.k') || '}' AS attributes FROM readings
+  UNION ALL SELECT entity_id, 'unavailable', last_changed + INTERVAL 30 MINUTE,
+    '{"k":' || json_extract_string(attributes, '$.k') || '}' FROM readings)
+ORDER BY entity_id, last_changed, state DESC NULLS LAST, attributes DESC NULLS LAST""",
+    ),
+)
+def _(spark, sf):
+    """Landed documents as a stream, broken ones among them, into the bronze table."""
+    landed = landing.iot_history(spark, sf)
+    broken = spark.read.text(landed).select(F.expr("substring(value, 1, 40)").alias("value"))
+    broken.write.mode("append").text(landed)
+    table, quarantine = scratch_path(spark, "payload-table"), scratch_path(spark, "payload-quarantine")
+    sink = streaming.payload_sink("history", table, "last_changed", READING_KEYS, quarantine)
+    streaming.drain(streaming.stream_documents(spark, landed), sink, scratch_path(spark, "stream-checkpoint"), mode="append")
+    return sinks.read_days(spark, table, BRONZE_IOT).select("entity_id", "state", "last_changed", "attributes")
