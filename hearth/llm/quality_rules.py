@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import text_of
 
 BLANKS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 
 # Frequent function words of English, German, French and Spanish.
@@ -85,10 +85,6 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def _long(value: Column) -> Column:
     return value.cast("bigint")
 
@@ -100,10 +96,10 @@ def _total(values: Column) -> Column:
 def _repeated_words(words: Column, window: int) -> Column:
     """Words inside windows that occur at least twice in the text.
 
-    Windows with their places are sorted, so that equal ones are neighbours; each
-    repeated place then covers the words up to the next one, at most a window.
+    Where two windows share a hash, windows with their places are sorted, so that equal
+    ones are neighbours; each repeated place then covers the words up to the next one, at
+    most a window.
     """
-    nothing = F.array().cast("array<string>")
 
     def covered(places: Column) -> Column:
         return _total(F.transform(places, lambda at, i: _long(F.least(F.coalesce(F.get(places, i + 1) - at, F.lit(window)), F.lit(window)))))
@@ -116,16 +112,22 @@ def _repeated_words(words: Column, window: int) -> Column:
 
         return _let(F.sort_array(F.transform(F.filter(ordered, same), lambda one: one["at"])), covered)
 
-    def count(windows: Column) -> Column:
-        ordered = F.sort_array(F.transform(windows, lambda key, at: F.struct(key.alias("key"), at.alias("at"))))
-        return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("bigint")).otherwise(_let(ordered, repeated))
-
-    def windows_of(words: Column) -> Column:
+    def exact(words: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(words) - window + 1)
-        joined = F.transform(starts, lambda at: F.array_join(F.slice(words, at, F.lit(window)), " "))
-        return F.when(F.size(words) < window, nothing).otherwise(joined)
+        windows = F.transform(starts, lambda at: F.struct(F.array_join(F.slice(words, at, F.lit(window)), " ").alias("key"), at.alias("at")))
+        return _let(F.sort_array(windows), repeated)
+
+    def counted(words: Column) -> Column:
+        def distinct(hashes: Column) -> Column:
+            """Whether all windows have different hashes; then they are different."""
+            starts = F.sequence(F.lit(0), F.size(hashes) - window)
+            folded = F.transform(starts, lambda at: F.xxhash64(*[F.get(hashes, at + i) for i in range(window)]))
+            return _let(folded, lambda found: F.size(F.array_distinct(found)) == F.size(found))
+
+        alone = _let(F.transform(words, lambda word: F.xxhash64(word)), distinct)
+        return F.when(F.size(words) <= window, F.lit(0).cast("bigint")).when(alone, F.lit(0).cast("bigint")).otherwise(exact(words))
 
-    return _let(words, lambda own: _let(windows_of(own), count))
+    return _let(words, counted)
 
 
 def _count(values: Column, test: Callable[[Column], Column]) -> Column:
@@ -149,13 +151,13 @@ def measure(docs: DataFrame, *, window: int = WINDOW, stop_words: Sequence[str]
     words, lines = F.col("words"), F.col("lines")
 
     def capital(word: Column) -> Column:
-        return word.rlike(r"\p{Lu}") & ~word.rlike(r"\p{Ll}") & (F.length(word) > 1)
+        return (F.length(word) > 1) & ~word.rlike(r"\p{Ll}") & word.rlike(r"\p{Lu}")  # most words end at the second
 
     return parts.select(
         "doc_id",
         _long(F.size(words)).alias("n_words"),
-        _long(F.length(_without(F.col("text"), BLANKS))).alias("word_chars"),
-        _long(F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).alias("n_symbols"),
+        _long(F.length(F.array_join(words, ""))).alias("word_chars"),
+        _long(F.regexp_count("text", F.lit(SYMBOLS))).alias("n_symbols"),
         _long(F.size(lines)).alias("n_lines"),
         _long(F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
         _repeated_words(words, window).alias("n_repeat_words"),

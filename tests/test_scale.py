@@ -175,3 +175,55 @@ def test_questions_read_only_the_columns_they_need(spark):
     assert "OutdoorTemp" in plan and "WindDir" not in plan
     pushed = [line for line in plan.splitlines() if "ReadSchema" in line and "OutdoorTemp" in line]
     assert pushed and all("PushedFilters: [IsNotNull" in line for line in pushed)
+
+
+def numbered_plainly(df, names, order):
+    others = [c for c in df.columns if c not in [*names, *order]]
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(*order, *others)) - 1
+    return df.withColumn("n", place.cast("bigint"))
+
+
+@pytest.mark.parametrize("copies", [1, 3, 100_000])
+def test_numbers_go_on_across_partitions(spark, monkeypatch, copies):
+    """A key over all partitions, keys that end where one ends, equal rows in any number."""
+    monkeypatch.setattr(keys, "COPIES", copies)
+    spark.conf.set("spark.sql.shuffle.partitions", 7)
+    try:
+        base = spark.range(1500)
+        hot = base.select(F.lit("hot").alias("k"), (F.col("id") % 400).alias("v"), (F.col("id") % 2).alias("w"))
+        some = base.select(F.concat(F.lit("k"), F.col("id") % 11).alias("k"), F.col("id").alias("v"), F.lit(1).cast("bigint").alias("w"))
+        same = spark.range(700).select(F.lit("same").alias("k"), F.lit(None).cast("bigint").alias("v"), F.lit(5).cast("bigint").alias("w"))
+        single = spark.range(50).select(F.concat(F.lit("s"), F.col("id")).alias("k"), F.col("id").alias("v"), F.col("id").alias("w"))
+        rows = hot.unionByName(some).unionByName(same).unionByName(single)
+        found = keys.repeat_number(rows, ["k"], ["v"], "n")
+        assert found.columns == ["k", "v", "w", "n"]
+        assert tuples(found) == tuples(numbered_plainly(rows, ["k"], ["v"]))
+        assert keys.repeat_number(rows.limit(0), ["k"], ["v"], "n").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_numbering_writes_once(spark, folder):
+    rows = spark.range(1000).select((F.col("id") % 10).alias("x"), (F.col("id") % 100).alias("y"))
+    numbered = keys.global_row_number(rows, ["x"], "k", stage_path=f"{folder}/slots", unique=False)
+    expected = rows.withColumn("k", F.row_number().over(Window.orderBy("x", "y")).cast("bigint")).select("k", "x", "y")
+    assert tuples(numbered) == tuples(expected)
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    assert [f.getPath().getName() for f in listed] == ["slots"]
+    # equal rows are one row of it
+    assert spark.read.parquet(f"{folder}/slots").count() == 100
+
+
+def test_wide_table_with_a_hot_timestamp(spark):
+    sensors = ["sensor.ohksoojus_power", "sensor.0xa4c138cdc6eff777_power"]
+    columns = dict(zip(sensors, ["pump", "boiler"]))
+    rows = [(sensors[0], str(i % 7), "2025-01-01 00:00:00") for i in range(300)] + [(sensors[1], str(i), "2025-01-01 00:00:00") for i in range(20)]
+    rows += [(s, str(i), f"2025-01-02 {i:02}:00:00") for s in sensors for i in range(20)]
+    wide = exploration.wide_raw(iot(spark, rows), columns)
+    assert wide.count() == 300 + 20
+    pumps = sorted(str(i % 7) for i in range(300))
+    boilers = sorted(str(i) for i in range(20))
+    expected = [(utc("2025-01-01 00:00:00"), p, boilers[i] if i < 20 else None) for i, p in enumerate(pumps)]
+    expected += [(utc(f"2025-01-02 {i:02}:00:00"), str(i), str(i)) for i in range(20)]
+    assert tuples(wide) == sorted(expected, key=repr)
