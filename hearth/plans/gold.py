@@ -20,6 +20,7 @@ from ..functions.time import (
 )
 from ..operators.filters import not_null
 from ..operators.joins import flag_join, hour_join, instant_join, validity_join
+from ..operators.key_registry import stable_key
 from ..operators.keys import calendar_row_number, global_row_number, surrogate_key
 from ..operators.sets import union_distinct
 
@@ -73,12 +74,20 @@ def calendar_columns(hours: DataFrame) -> DataFrame:
     ).withColumn("IsWeekend", is_weekend(F.col("DayOfWeek")))
 
 
-def dim_time(hours: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Sparse calendar; ``HourTs`` carries the instant that facts join on."""
+def dim_time(hours: DataFrame, holidays: DataFrame, *, registry: str | None = None) -> DataFrame:
+    """Sparse calendar; ``HourTs`` carries the instant that facts join on.
+
+    With a ``registry`` an hour keeps its key when others arrive later; else keys are
+    dense in time order. So for the other models.
+    """
     flagged = flag_join(
         calendar_columns(hours), holidays.select(F.to_date("timestamp")), "FullDate", "IsHoliday"
     )
-    return calendar_row_number(flagged, "HourTs", "TimeKey").select(
+    if registry is None:
+        keyed = calendar_row_number(flagged, "HourTs", "TimeKey")
+    else:
+        keyed = stable_key(flagged, ["HourTs"], "TimeKey", f"{registry}/time")
+    return keyed.select(
         "TimeKey",
         "FullDate",
         "Year",
@@ -94,19 +103,24 @@ def dim_time(hours: DataFrame, holidays: DataFrame) -> DataFrame:
     )
 
 
-def dim_device(bronze_device: DataFrame) -> DataFrame:
-    """Named device versions with an open end filled in."""
+def dim_device(bronze_device: DataFrame, *, registry: str | None = None) -> DataFrame:
+    """Named device versions with an open end filled in; with a ``registry`` a row that is
+    repeated in all its columns is one version."""
     named = not_null(bronze_device, "Brand", "Model").withColumn(
         "ValidTo", valid_to_or_default(F.col("ValidTo"))
     )
-    keyed = surrogate_key(named, ["Brand", "Model", "InstallationDate", "ValidTo"], "DeviceKey")
+    if registry is None:
+        keyed = surrogate_key(named, ["Brand", "Model", "InstallationDate", "ValidTo"], "DeviceKey")
+    else:
+        natural = ["Brand", "Model", "InstallationDate", "ValidTo", "MinPower", "MaxPower"]
+        keyed = stable_key(named.select(*natural).distinct(), natural, "DeviceKey", f"{registry}/device")
     return keyed.select(
         "DeviceKey", "Brand", "Model", "MinPower", "MaxPower", "InstallationDate", "ValidTo"
     )
 
 
-def dim_location(bronze_location: DataFrame) -> DataFrame:
-    """Complete location versions with open ends filled in."""
+def dim_location(bronze_location: DataFrame, *, registry: str | None = None) -> DataFrame:
+    """Complete location versions with open ends filled in; repeated rows as in :func:`dim_device`."""
     text = ["DeviceLocation", "ClosestWeatherStation", "PricingRegion"]
     named = not_null(bronze_location, *text).withColumns(
         {
@@ -114,7 +128,11 @@ def dim_location(bronze_location: DataFrame) -> DataFrame:
             "ValidTo": valid_to_or_default(F.col("ValidTo")),
         }
     )
-    keyed = surrogate_key(named, [*text, "ValidFrom", "ValidTo"], "LocationKey")
+    natural = [*text, "ValidFrom", "ValidTo"]
+    if registry is None:
+        keyed = surrogate_key(named, natural, "LocationKey")
+    else:
+        keyed = stable_key(named.select(*natural).distinct(), natural, "LocationKey", f"{registry}/location")
     return keyed.select("LocationKey", *text, "ValidFrom", "ValidTo")
 
 
@@ -165,6 +183,7 @@ def fact_energy(
     dim_device: DataFrame,
     dim_location: DataFrame,
     stage_path: str | None = None,
+    registry: str | None = None,
 ) -> DataFrame:
     """Hourly fact with dense ``FactKey`` over (TimeKey, DeviceKey, LocationKey)."""
     base = fact_base(
@@ -172,6 +191,8 @@ def fact_energy(
     )
     keys = ["TimeKey", "DeviceKey", "LocationKey"]
     rows = attach_versions(base, dim_device, dim_location).drop("hour_start")
-    return global_row_number(rows, keys, "FactKey", stage_path=stage_path).select(
-        "FactKey", *keys, *MEASURES
-    )
+    if registry is None:
+        keyed = global_row_number(rows, keys, "FactKey", stage_path=stage_path)
+    else:
+        keyed = stable_key(rows, keys, "FactKey", f"{registry}/fact")
+    return keyed.select("FactKey", *keys, *MEASURES)

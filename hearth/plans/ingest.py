@@ -224,11 +224,13 @@ def _restage(spark: SparkSession, root: str, marts: str, name: str, days: tuple
     """
     _, model, hour, schema = STAGING[name]
     path, log = _staging_path(marts, name), read_days(spark, bronze_path(root, name), schema)
+    hourly = model((log if days is None else log.filter(on_days(days))).drop("ts_day"))
     if days is None:
-        write_day_partitioned(model(log.drop("ts_day")), path, hour, mode="overwrite")
+        write_day_partitioned(hourly, path, hour, mode="overwrite")
     elif days:
-        replace_days(model(log.filter(on_days(days)).drop("ts_day")), path, hour, days)
-    return spark.read.parquet(path).drop("ts_day")
+        replace_days(hourly, path, hour, days)
+    # a log without rows leaves a table without files
+    return read_days(spark, path, hourly.schema).drop("ts_day")
 
 
 def _is_staged(spark: SparkSession, marts: str, name: str) -> bool:
@@ -237,19 +239,31 @@ def _is_staged(spark: SparkSession, marts: str, name: str) -> bool:
 
 
 def rebuild(
-    spark: SparkSession, root: str, *, holidays: DataFrame, marts: str, loaded: dict[str, Loaded] | None = None
+    spark: SparkSession,
+    root: str,
+    *,
+    holidays: DataFrame,
+    marts: str,
+    loaded: dict[str, Loaded] | None = None,
+    stable_keys: bool = False,
 ) -> tuple[Star, DataFrame]:
     """Build every model from the bronze tables below ``root`` and test the star.
 
     Staging lies in day partitions below ``marts``. After a load only its days are
     staged anew (``loaded`` tells them; without it, or the first time, all are);
-    dimensions and fact, which have a row per hour, are always built as a whole.
+    dimensions and fact, which have a row per hour, are built as a whole.
+
+    With ``stable_keys`` a registry below ``marts`` keeps every surrogate key, also when
+    hours arrive late, and only facts of the load's days are computed. Say it from the
+    first build on; keys given before it began are not in the registry.
     """
 
     def days(name: str) -> tuple | None:
         return loaded[name].days if loaded is not None and _is_staged(spark, marts, name) else None
 
-    staged = together(spark, *[partial(_restage, spark, root, marts, name, days(name)) for name in STAGING])
+    parts = [days(name) for name in STAGING]
+    staged = together(spark, *[partial(_restage, spark, root, marts, name, part) for name, part in zip(STAGING, parts, strict=True)])
+    known = stable_keys and all(part is not None for part in parts)
     star = assemble_star(
         stg_iot=staged[0],
         stg_weather=staged[1],
@@ -258,6 +272,8 @@ def rebuild(
         bronze_location=read_bronze(spark, root, "bronze_location"),
         holidays=holidays,
         root=marts,
+        registry=f"{marts.rstrip('/')}/keys" if stable_keys else None,
+        touched=sorted({day for part in parts for day in part}) if known else None,
     )
     return star, run_suite(star.tables(), STAR_CHECKS)
 
@@ -276,11 +292,12 @@ def run(
     holidays: DataFrame,
     marts: str,
     on_load: Callable[[dict[str, Loaded]], None] = _ignore,
+    stable_keys: bool = False,
 ) -> tuple[Star, DataFrame]:
     """One scheduled interval: load, rebuild, test. ``on_load`` is told what was loaded."""
     loaded = load_interval(spark, root, landing, start, end)
     on_load(loaded)
-    return rebuild(spark, root, holidays=holidays, marts=marts, loaded=loaded)
+    return rebuild(spark, root, holidays=holidays, marts=marts, loaded=loaded, stable_keys=stable_keys)
 
 
 def backfill(
@@ -293,11 +310,12 @@ def backfill(
     holidays: DataFrame,
     marts: str,
     on_load: Callable[[dict[str, Loaded]], None] = _ignore,
+    stable_keys: bool = False,
 ) -> tuple[Star, DataFrame]:
     """A closed range: load, rebuild, test. ``on_load`` is told what was loaded."""
     loaded = load_range(spark, root, landing, start, end)
     on_load(loaded)
-    return rebuild(spark, root, holidays=holidays, marts=marts, loaded=loaded)
+    return rebuild(spark, root, holidays=holidays, marts=marts, loaded=loaded, stable_keys=stable_keys)
 
 
 def late_replay(batch: DataFrame, bronze: str, hourly: str, start, end) -> DataFrame:

@@ -5,8 +5,8 @@ each bronze table is scanned once, and a lost executor re-reads a small hourly
 table instead of the bronze log.
 
 A build goes into a folder of its own and is published by one small file at the
-end. Surrogate keys change from build to build, so calendar and fact must be seen
-together or not at all: a reader follows the last published file, and a build
+end. Surrogate keys change from build to build unless a registry keeps them, and
+calendar and fact must be seen together or not at all: a reader follows the last published file, and a build
 that dies leaves the star before it in place. A reader that outlives two builds
 pins the version it reads.
 """
@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import gold, silver
 from .access import full_access, limited_access
@@ -83,9 +84,21 @@ def assemble_star(
     bronze_location: DataFrame,
     holidays: DataFrame,
     root: str,
+    registry: str | None = None,
+    touched: Sequence | None = None,
 ) -> Star:
-    """A new version from hourly staging frames, which are written with it."""
+    """A new version from hourly staging frames, which are written with it.
+
+    With a ``registry`` folder every key stays what it was in earlier versions. Then
+    ``touched`` may name the days (UTC) of all hours that changed since the last version:
+    fact rows of other hours are taken over from it, unless device or location versions
+    changed. The calendar, a row per hour, is always made anew, with its keys from the
+    registry.
+    """
+    if touched is not None and registry is None:
+        raise ValueError("without a registry keys change, and no fact can be taken over")
     spark = stg_iot.sparkSession
+    before = read_star(spark, root) if touched is not None and published(spark, root) else None
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     folder = f"{root.rstrip('/')}/versions/{version}"
 
@@ -97,26 +110,51 @@ def assemble_star(
         partial(materialize, stg_iot, "table", "stg_iot", folder),
         partial(materialize, stg_weather, "table", "stg_weather", folder),
         partial(materialize, stg_price, "table", "stg_price", folder),
-        partial(table, "dim_device", gold.dim_device, bronze_device),
-        partial(table, "dim_location", gold.dim_location, bronze_location),
+        partial(table, "dim_device", gold.dim_device, bronze_device, registry=registry),
+        partial(table, "dim_location", gold.dim_location, bronze_location, registry=registry),
     )
     hours = gold.needed_hours(stg_iot, stg_weather, stg_price)
-    dim_time = table("dim_time", gold.dim_time, hours, holidays)
+    dim_time = table("dim_time", gold.dim_time, hours, holidays, registry=registry)
+    if before is not None and not (_equal(before.dim_device, dim_device) and _equal(before.dim_location, dim_location)):
+        before = None
+    changed = _on(stg_iot, "hour_start", touched) if before is not None else stg_iot
+    taken_over = _untouched(before, touched) if before is not None else None
     fact = table(
         "fact",
-        gold.fact_energy,
-        stg_iot=stg_iot,
+        _with_rows(gold.fact_energy, taken_over),
+        stg_iot=changed,
         stg_weather=stg_weather,
         stg_price=stg_price,
         dim_time=dim_time,
         dim_device=dim_device,
         dim_location=dim_location,
         stage_path=f"{folder}/_fact_stage",
+        registry=registry,
     )
     _publish(spark, root, version)
     return Star(stg_iot, stg_weather, stg_price, dim_time, dim_device, dim_location, fact)
 
 
+def _on(df: DataFrame, ts: str, days: Sequence) -> DataFrame:
+    return df.filter(F.to_date(F.col(ts)).isin(list(days))) if days else df.filter(F.lit(False))
+
+
+def _equal(left: DataFrame, right: DataFrame) -> bool:
+    """Whether two dimensions have the same rows."""
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def _untouched(star: Star, days: Sequence) -> DataFrame:
+    """Fact rows of hours on other days; their keys hold in every version of one registry."""
+    hours = _on(star.dim_time, "HourTs", days).select("TimeKey")
+    return star.fact.join(hours, "TimeKey", "left_anti").select(*star.fact.columns)
+
+
+def _with_rows(model: Callable[..., DataFrame], more: DataFrame | None) -> Callable[..., DataFrame]:
+    """The model with rows that need not be computed."""
+    return lambda **inputs: model(**inputs).unionByName(more) if more is not None else model(**inputs)
+
+
 def register_star(star: Star) -> None:
     """Temp views for SQL users, with both access views."""
     for name, df in star.tables().items():

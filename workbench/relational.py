@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from hearth.functions.time import as_instant, hour_start, local_date, parse_iso
 from hearth.functions.bins import floor_bin
 from hearth.operators import aggregates, filters, joins, keys, ordering, sets
+from hearth.operators.key_registry import stable_key
 from hearth.plans import exploration, gold, silver
 from hearth.schemas import SENSOR_COLUMNS
+from hearth.session import scratch_path
 from hearth.sizing import values_column
 
 from . import feeds, marts
@@ -597,6 +599,20 @@ def _(spark, sf):
     return keys.global_row_number(lineitem(spark, sf).select(*order), order, "row_key", unique=False)
 
 
+@register(
+    "w2_stable_key",
+    """SELECT row_number() OVER (ORDER BY c_custkey % 3, c_mktsegment, c_nationkey, c_custkey) AS "CustomerKey", c_custkey
+FROM customer""",
+)
+def _(spark, sf):
+    """Three deliveries of customers; later ones are numbered after all earlier ones."""
+    customers = feeds.table(spark, sf, "customer").select("c_mktsegment", "c_nationkey", "c_custkey")
+    registry, natural = scratch_path(spark, "key-registry"), ["c_mktsegment", "c_nationkey", "c_custkey"]
+    for last in range(3):
+        keyed = stable_key(customers.filter(F.col("c_custkey") % 3 <= last), natural, "CustomerKey", registry)
+    return keyed.select("CustomerKey", "c_custkey")
+
+
 # -- ordering ----------------------------------------------------------------
 
 
