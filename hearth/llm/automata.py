@@ -1,13 +1,33 @@
-"""Probabilistic automata of string formats, by merging states of a prefix tree."""
+"""Probabilistic automata of string formats, by merging states of a prefix tree.
+
+A state predicts the next character; its edges are by character class, so that random
+parts do not branch by every character while fixed parts still predict theirs. Two
+states are compatible if the characters seen at them, and at all that follows them, are
+likelier to come from one distribution than from two. The prior of a distribution is a
+mixture of two Dirichlet ones, for fixed and for random places: a few strings suffice where
+characters are fixed, and states seen once or twice join where their characters fit best. Lengths are learned beside the states, as merged loops would
+forget them.
+"""
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-CONFIDENCE = 0.05
-FLOOR = 1e-3
+import numpy as np
+
+# Characters a credential can have, and the weight of each in the two priors of a state,
+# which are equally likely: few characters, or any.
+ALPHABET = 67
+PRIORS = (0.05, 1.0)
+# What one more state costs: a merge that loses less than that is made.
+STATE_COST = 6.0
+# A longer string teaches its length and its first characters.
+TAUGHT_CHARS = 512
+# How far a merge may fall behind before its comparison ends.
+HOPELESS = -40.0
 
 
 def symbol(char: str) -> str:
@@ -19,54 +39,61 @@ def symbol(char: str) -> str:
     return char
 
 
-_CLASSES = str.maketrans({chr(i): symbol(chr(i)) for i in range(128)})
-# How many characters a class stands for, so that classes of different size compare.
-_MEMBERS = {"0": 10, "a": 6, "g": 20, "A": 6, "G": 20}
-
-
-def symbols(text: str) -> str:
-    return text.translate(_CLASSES)
-
-
-@dataclass
+@dataclass(eq=False)
 class State:
     arrivals: int = 0
-    ends: int = 0
-    next: dict[str, State] = field(default_factory=dict)
     counts: Counter = field(default_factory=Counter)
+    next: dict[str, State] = field(default_factory=dict)
 
 
-def prefix_tree(strings: list[str]) -> State:
+def prefix_tree(strings: Sequence[str]) -> State:
     root = State()
     for text in strings:
         state = root
-        state.arrivals += 1
-        for s in symbols(text):
-            state.counts[s] += 1
-            state = state.next.setdefault(s, State())
+        for char in text[:TAUGHT_CHARS]:
             state.arrivals += 1
-        state.ends += 1
+            state.counts[char] += 1
+            state = state.next.setdefault(symbol(char), State())
     return root
 
 
-def _differ(f1: int, n1: int, f2: int, n2: int, bound: float) -> bool:
-    """Whether two relative frequencies differ by more than chance (Hoeffding)."""
-    return n1 > 0 and n2 > 0 and abs(f1 / n1 - f2 / n2) > bound * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
+def _mixed(one: float, two: float) -> float:
+    high, low = max(one, two), min(one, two)
+    return high + math.log1p(math.exp(low - high)) - math.log(2)
 
 
-def compatible(a: State, b: State, bound: float) -> bool:
-    """Whether two states and all that follows them look alike."""
-    waiting = [(a, b)]
-    while waiting:
+def _more(prior: float, counts: Counter, arrivals: int, new: Counter, new_arrivals: int) -> float:
+    """Logarithm of the probability of ``new`` characters after ``counts``, under one prior."""
+    total = math.lgamma(ALPHABET * prior + arrivals) - math.lgamma(ALPHABET * prior + arrivals + new_arrivals)
+    return total + sum(math.lgamma(prior + counts[c] + n) - math.lgamma(prior + counts[c]) for c, n in new.items())
+
+
+_NONE: Counter = Counter()
+
+
+def evidences(state: State) -> tuple[float, float]:
+    """Logarithm of the probability of a state's characters under each prior."""
+    return tuple(_more(prior, _NONE, 0, state.counts, state.arrivals) for prior in PRIORS)
+
+
+def gain(red: State, blue: State) -> float:
+    """How much likelier all characters become if ``blue`` and the tree below it join ``red``."""
+    pooled: dict[int, list] = {}
+    total, waiting = 0.0, [(red, blue)]
+    while waiting and total > HOPELESS:
         a, b = waiting.pop()
-        if _differ(a.ends, a.arrivals, b.ends, b.arrivals, bound):
-            return False
-        for s in a.next.keys() | b.next.keys():
-            if _differ(a.counts[s], a.arrivals, b.counts[s], b.arrivals, bound):
-                return False
-            if s in a.next and s in b.next and a.next[s] is not b.next[s]:
-                waiting.append((a.next[s], b.next[s]))
-    return True
+        if id(a) not in pooled:
+            pooled[id(a)] = [Counter(a.counts), a.arrivals, *evidences(a)]
+        own = pooled[id(a)]
+        counts, arrivals, few, any_ = own
+        own[2:] = [old + _more(prior, counts, arrivals, b.counts, b.arrivals) for prior, old in zip(PRIORS, (few, any_), strict=True)]
+        total += _mixed(*own[2:]) - _mixed(few, any_) - _mixed(*evidences(b))
+        counts.update(b.counts)
+        own[1] += b.arrivals
+        for s, child in b.next.items():
+            if s in a.next and a.next[s] is not child:
+                waiting.append((a.next[s], child))
+    return total
 
 
 def _fold(red: State, blue: State) -> None:
@@ -75,7 +102,6 @@ def _fold(red: State, blue: State) -> None:
     while waiting:
         red, blue = waiting.pop()
         red.arrivals += blue.arrivals
-        red.ends += blue.ends
         red.counts.update(blue.counts)
         for s, child in blue.next.items():
             if s in red.next:
@@ -86,46 +112,80 @@ def _fold(red: State, blue: State) -> None:
 
 @dataclass
 class Automaton:
-    """Transition and end probabilities by state; state 0 is the start."""
-
-    next: list[dict[str, int]]
-    step: list[dict[str, float]]
-    end: list[float]
-
-    def log_likelihood(self, text: str) -> float:
-        """Natural logarithm of the probability of exactly this string of characters."""
-        state: int | None = 0
-        total = 0.0
-        for s in symbols(text):
-            p = self.step[state].get(s, FLOOR) if state is not None else FLOOR
-            total += math.log(p / _MEMBERS.get(s, 1))
-            state = self.next[state].get(s) if state is not None else None
-        return total + math.log(max(FLOOR, self.end[state]) if state is not None else FLOOR)
-
-
-def infer(strings: list[str], confidence: float = CONFIDENCE) -> Automaton:
-    """Merge statistically compatible states of the prefix tree of ``strings``, from the
-    start outwards: a frontier state joins the first settled state that it is
-    compatible with, or else becomes settled itself."""
-    root = prefix_tree(strings)
-    bound = math.sqrt(0.5 * math.log(2 / confidence))
-    settled = [root]
+    """Next states and logarithms of probabilities by state and character (ASCII); state 0
+    is the start, the last state is for what no state leads to: it is never left, and
+    predicts what the strings have anywhere."""
+
+    next: np.ndarray
+    step: np.ndarray
+    lengths: dict[int, int]
+    strings: int
+
+    @property
+    def states(self) -> int:
+        return len(self.next) - 1
+
+    def length_log(self, length: int) -> float:
+        """Logarithm of the probability of a length: as often as seen, and 1/(n(n+1)) once more for all."""
+        return math.log((self.lengths.get(length, 0) + 1 / (length * (length + 1))) / (self.strings + 1))
+
+    def log_likelihoods(self, strings: Sequence[str]) -> np.ndarray:
+        """Natural logarithm of the probability of each ASCII string, none of them empty; all at once, place by place."""
+        order = sorted(range(len(strings)), key=lambda i: -len(strings[i]))
+        sizes = np.array([len(strings[i]) for i in order], np.int64)
+        if not len(sizes):
+            return np.empty(0)
+        flat = np.frombuffer("".join(strings[i] for i in order).encode("ascii"), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        state, total = np.zeros(len(order), np.int64), np.array([self.length_log(int(n)) for n in sizes])
+        for place in range(int(sizes[0])):
+            live = int(np.searchsorted(-sizes, -place, side="left"))  # strings longer than place come first
+            chars, now = flat[starts[:live] + place], state[:live]
+            total[:live] += self.step[now, chars]
+            state[:live] = self.next[now, chars]
+        out = np.empty(len(order))
+        out[order] = total
+        return out
+
+
+def _settled(strings: Sequence[str]) -> list[State]:
+    """States of the merged tree, from the start outwards: the most visited frontier state
+    joins the settled state that gains most by it (or loses least), or becomes settled itself."""
+    settled = [prefix_tree(strings)]
+    known = {id(settled[0])}
     while True:
-        frontier = [(r, s) for r in settled for s in sorted(r.next) if not any(r.next[s] is x for x in settled)]
+        frontier = [(r, s) for r in settled for s in sorted(r.next) if id(r.next[s]) not in known]
         if not frontier:
-            break
+            return settled
         parent, s = max(frontier, key=lambda e: e[0].next[e[1]].arrivals)
         blue = parent.next[s]
-        for red in settled:
-            if compatible(red, blue, bound):
-                parent.next[s] = red
-                _fold(red, blue)
-                break
+        best, red = max(((gain(red, blue), -i) for i, red in enumerate(settled)), default=(-1.0, 0))
+        if best > -STATE_COST or not blue.arrivals:
+            parent.next[s] = settled[-red]
+            _fold(settled[-red], blue)
         else:
             settled.append(blue)
+            known.add(id(blue))
+
+
+def infer(strings: Sequence[str]) -> Automaton:
+    """The automaton of strings of one format (or of a few)."""
+    settled = _settled(strings)
     number = {id(state): i for i, state in enumerate(settled)}
-    return Automaton(
-        [{s: number[id(child)] for s, child in state.next.items()} for state in settled],
-        [{s: n / max(1, state.arrivals) for s, n in state.counts.items()} for state in settled],
-        [state.ends / max(1, state.arrivals) for state in settled],
-    )
+    lost = len(settled)
+    following = np.full((lost + 1, 128), lost, np.int64)
+    step = np.empty((lost + 1, 128))
+    everything = State()  # what the strings have anywhere, for places that no state leads to
+    for state in settled:
+        everything.counts.update(state.counts)
+        everything.arrivals += state.arrivals
+    for i, state in enumerate([*settled, everything]):
+        few, any_ = evidences(state)
+        weight = 1 / (1 + math.exp(min(700.0, any_ - few)))
+        for code in range(128):
+            char = chr(code)
+            seen = [(state.counts.get(char, 0) + prior) / (state.arrivals + ALPHABET * prior) for prior in PRIORS]
+            step[i, code] = math.log(weight * seen[0] + (1 - weight) * seen[1])
+            if symbol(char) in state.next:
+                following[i, code] = number[id(state.next[symbol(char)])]
+    return Automaton(following, step, dict(Counter(len(text) for text in strings)), len(strings))

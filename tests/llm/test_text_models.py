@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from brute import sha
 
-from hearth.llm import automata, features, language, quality, queries, secret_scan
+from hearth.llm import features, language, quality, queries, secret_scan
 
 SF = "/root/testdata/sf0.01"
 ODD = [(1, None), (2, ""), (3, "123 !!!"), (None, "words without an id"), (4, "é"), (4, "a repeated id"), (5, "漢字 " * 20_000), (6, "\n\n")]
@@ -142,20 +142,3 @@ def test_secrets_query(spark):
         assert r.base_sha256 == sha(",".join(base))
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(b.startswith(k) for b in base) for k in ("assign:", "access:", "hex:"))
         assert [s for s in r.spans.split(",") if s and not s.startswith("format")] == base
-
-
-def test_automata_tell_formats_apart():
-    rng = np.random.default_rng(3)
-    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
-    keys = ["key-" + draw("0123456789ABCDEF", 20) for _ in range(300)]
-    prose = [draw("etaoinshrdlucmfw", int(rng.integers(16, 24))) for _ in range(300)]
-    formats = secret_scan.Formats([automata.infer(keys)], automata.infer(prose))
-    assert len(formats.kinds[0].end) < 60  # merged, not the prefix tree
-    assert min(formats.ratio("key-" + draw("0123456789ABCDEF", 20)) for _ in range(50)) > 1
-    assert max(formats.ratio(draw("etaoinshrdlucmfw", 20)) for _ in range(50)) < 0
-
-
-@pytest.mark.parametrize("name, arrays", [("unseen", ["zz"]), ("empty", [""])])
-def test_automaton_of_little(name, arrays):
-    one = automata.infer(arrays)
-    assert one.log_likelihood("something else") < 0
