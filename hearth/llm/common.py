@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,3 +38,8 @@ def carried(df: DataFrame, without: Iterable[str]) -> list[Column]:
     """The columns of ``df`` but those that an output replaces."""
     names = {name.lower() for name in without}
     return [df[f"`{name}`"] for name in df.columns if name.lower() not in names]
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -15,7 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import let, text_of
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
@@ -80,11 +80,6 @@ MEASURES = [
 ]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once a row, however often ``body`` names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _long(value: Column) -> Column:
     return value.cast("bigint")
 
@@ -110,24 +105,24 @@ def _repeated_words(words: Column, window: int) -> Column:
                 F.get(ordered, i + 1)["key"] == one["key"], F.lit(False)
             )
 
-        return _let(F.sort_array(F.transform(F.filter(ordered, same), lambda one: one["at"])), covered)
+        return let(F.sort_array(F.transform(F.filter(ordered, same), lambda one: one["at"])), covered)
 
     def exact(words: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(words) - window + 1)
         windows = F.transform(starts, lambda at: F.struct(F.array_join(F.slice(words, at, F.lit(window)), " ").alias("key"), at.alias("at")))
-        return _let(F.sort_array(windows), repeated)
+        return let(F.sort_array(windows), repeated)
 
     def counted(words: Column) -> Column:
         def distinct(hashes: Column) -> Column:
             """Whether all windows have different hashes; then they are different."""
             starts = F.sequence(F.lit(0), F.size(hashes) - window)
             folded = F.transform(starts, lambda at: F.xxhash64(*[F.get(hashes, at + i) for i in range(window)]))
-            return _let(folded, lambda found: F.size(F.array_distinct(found)) == F.size(found))
+            return let(folded, lambda found: F.size(F.array_distinct(found)) == F.size(found))
 
-        alone = _let(F.transform(words, lambda word: F.xxhash64(word)), distinct)
+        alone = let(F.transform(words, lambda word: F.xxhash64(word)), distinct)
         return F.when(F.size(words) <= window, F.lit(0).cast("bigint")).when(alone, F.lit(0).cast("bigint")).otherwise(exact(words))
 
-    return _let(words, counted)
+    return let(words, counted)
 
 
 def _count(values: Column, test: Callable[[Column], Column]) -> Column:
