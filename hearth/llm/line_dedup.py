@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass, field
 
@@ -9,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ascii_lower, carried, stage, text_of
+from .common import ascii_lower, carried, let, stage, text_of
 
 BLANKS = " \t\n\v\f\r"
 MIN_CHARS = 40
 MIN_DOCS = 5
+# Batches of a small input, and documents a batch of a large one.
 BATCHES = 4
+BATCH_DOCS = 50_000_000
 FANOUT = 3
 
 
@@ -104,12 +107,49 @@ class LineRuns:
         return found
 
 
+def _places(digests: Column, keys: Column) -> Column:
+    """Places (from 0) of ``digests``, some null, that are among ``keys``; n log n in both.
+
+    Sorted together, a key stands at the head of its run of equal lines.
+    """
+    lines = F.filter(F.transform(digests, lambda d, i: F.struct(d.alias("key"), i.alias("at"))), lambda x: x["key"].isNotNull())
+    heads = F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(-1).alias("at")))
+
+    def of_runs(ordered: Column) -> Column:
+        def head(x: Column, j: Column) -> Column:
+            new = F.coalesce(F.get(ordered, j - 1)["key"] != x["key"], F.lit(True))
+            return F.struct(j.alias("j"), (x["at"] == -1).alias("is_key"), new.alias("is_new"))
+
+        runs = F.filter(F.transform(ordered, head), lambda x: x["is_new"])
+
+        def found(runs: Column) -> Column:
+            def members(x: Column, i: Column) -> Column:
+                last = F.coalesce(F.get(runs, i + 1)["j"], F.size(ordered)) - 1
+                return F.when(x["is_key"] & (last > x["j"]), F.sequence(x["j"] + 1, last)).otherwise(F.array().cast("array<int>"))
+
+            return F.sort_array(F.transform(F.flatten(F.transform(runs, members)), lambda j: F.get(ordered, j)["at"]))
+
+        return let(runs, found)
+
+    return let(F.sort_array(F.concat(heads, lines)), of_runs)
+
+
+def _without(lines: Column, places: Column) -> Column:
+    """``lines`` but those at ``places``, which are in order."""
+
+    def part(i: Column) -> Column:
+        before = F.coalesce(F.get(places, i - 1), F.lit(-1))
+        return F.slice(lines, before + 2, F.coalesce(F.get(places, i), F.size(lines)) - before - 1)
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(places)), part))
+
+
 def drop_frequent_lines(
     docs: DataFrame,
     *,
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
-    batches: int = BATCHES,
+    batches: int | None = None,
     fanout: int = FANOUT,
 ) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text``.
@@ -118,9 +158,11 @@ def drop_frequent_lines(
     A key of at least ``min_chars`` code points found in at least ``min_docs``
     documents loses all its lines but those in the largest ``doc_id`` that holds
     it (in each row with that id). Documents enter the runs in ``batches`` of
-    descending ``doc_id``. Keys are compared by their 128-bit hash.
+    descending ``doc_id``, by default as many as their number asks for. Keys are
+    compared by their 128-bit hash. ``doc_id`` is a number, or null.
     """
     spark = docs.sparkSession
+    batches = batches or max(BATCHES, math.ceil(docs.count() / BATCH_DOCS))
     long_lines = (
         docs.select("doc_id", F.explode(F.split(text_of(docs), "\n", -1)).alias("line"))
         .select("doc_id", line_key(F.col("line")).alias("line"))
@@ -152,11 +194,14 @@ def drop_frequent_lines(
     )
     lines = F.split(text_of(docs), "\n", -1)
 
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        return (F.length(key) < min_chars) | ~F.array_contains(F.col("_line_keys"), _digest(key))
+    def digest(line: Column) -> Column:
+        return let(line_key(line), lambda key: F.when(F.length(key) >= min_chars, _digest(key)))
+
+    def left(lines: Column) -> Column:
+        places = _places(F.transform(lines, digest), F.col("_line_keys"))
+        return let(places, lambda found: _without(lines, found))
 
-    kept = F.when(F.col("_line_keys").isNull(), lines).otherwise(F.filter(lines, stays))
+    kept = F.when(F.col("_line_keys").isNull(), lines).otherwise(let(lines, left))
     return (
         docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_line_doc")), "left")
         .withColumns({"_lines_all": F.size(lines).cast("bigint"), "_lines_kept": kept})
