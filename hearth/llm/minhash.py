@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage, text_of
@@ -24,6 +24,9 @@ MISS = 1e-6
 BATCH = 30
 # Members of a group that one task compares with one another or with as many others.
 GROUP_BLOCK = 512
+# Bytes of their sets in a block, and members of a large group that all others meet first.
+BLOCK_WEIGHT = 16 << 20
+PIVOTS = 8
 WORD_BYTES = byte_class(bytes([0x20, *range(0x09, 0x0E)]))
 
 
@@ -223,26 +226,13 @@ def _survivors(signatures: np.ndarray, a: np.ndarray, b: np.ndarray, steps: list
     return a, b
 
 
-def _in_blocks(members: DataFrame, group: str, payload: DataFrame, block: int) -> DataFrame:
-    """Deal the ``cls`` members of each group into blocks, and every pair of blocks to one task.
+def _parts(n: Column, weight: Column, block: int) -> Column:
+    """Blocks that so many members of that weight make; one at least, if there is a member."""
+    return F.greatest(F.ceil(n / block), F.ceil(weight / BLOCK_WEIGHT)).cast("int")
 
-    A group of at most ``block`` members is one block; a larger one has as many as
-    its size asks for, so that no pair of blocks has many more than two blocks'
-    members. ``payload`` (by ``cls``) is attached once the rows are dealt.
-    """
-    sizes = stage(members.groupBy(group).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "group-sizes")
-    parts = F.ceil(F.col("n") / block).cast("int")
-    own = F.when(F.col("n") > block, F.pmod(F.xxhash64("cls"), parts)).otherwise(0).cast("int")
-    dealt = members.join(sizes.hint("merge"), group).withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    rows = dealt.select(
-        F.col(group).alias("grp"),
-        F.least("own", "other").alias("left"),
-        F.greatest("own", "other").alias("right"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "cls",
-    )
+
+def _attached(rows: DataFrame, payload: DataFrame) -> DataFrame:
+    """Dealt rows with the payload of their class, each pair of blocks in one run."""
     return (
         stage(rows, "dealt").join(payload.hint("merge"), "cls")
         .select("grp", "left", "right", "side", "cls", *[c for c in payload.columns if c != "cls"])
@@ -251,6 +241,80 @@ def _in_blocks(members: DataFrame, group: str, payload: DataFrame, block: int) -
     )
 
 
+def _against_pivots(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """Members of large groups in blocks, each block beside the group's pivots: the
+    ``PIVOTS`` members that stand in the largest and most groups, likely centres."""
+    large = sizes.filter(F.col("parts") > 1)
+    own = members.join(large.hint("merge"), "grp")
+    order = Window.partitionBy("grp").orderBy(F.desc("popularity"), "cls")
+    pivots = own.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PIVOTS)
+    beside = pivots.select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("left"), F.lit(-1).alias("right"), F.lit(1).alias("side"), "cls")
+    return own.select(
+        "grp", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("left"), F.lit(-1).alias("right"), F.lit(0).alias("side"), "cls"
+    ).unionByName(beside)
+
+
+def _apart(members: DataFrame, joined: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """Members in blocks, and every pair of blocks that may hold members not joined yet.
+
+    ``joined`` (``node, component``) says which classes are joined already. In each group
+    the members of its greatest component are compared with all others, and the others
+    with one another; the members of that component need no comparison among themselves.
+    """
+    labelled = stage(
+        members.join(joined.select(F.col("node").alias("cls"), F.col("component").alias("label")).hint("merge"), "cls", "left"), "labelled"
+    )
+    counts = labelled.filter("label IS NOT NULL").groupBy("grp", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    greatest = counts.groupBy("grp").agg(F.max(F.struct("n", "label", "w")).alias("top"))
+    top_n, top_w = F.coalesce("top.n", F.lit(0)), F.coalesce("top.w", F.lit(0))
+    plan = stage(
+        sizes.join(greatest.hint("merge"), "grp", "left").select(
+            "grp",
+            F.col("top.label").alias("top_label"),
+            _parts(F.col("n") - top_n, F.col("w") - top_w, block).alias("others"),
+            _parts(top_n, top_w, block).alias("tops"),
+        ).filter("others > 0"),
+        "blocks",
+    )
+    dealt = labelled.join(plan.hint("merge"), "grp").withColumn("in_top", F.coalesce(F.col("label") == F.col("top_label"), F.lit(False)))
+    parts = F.when(F.col("in_top"), F.col("tops")).otherwise(F.col("others"))
+    own = F.pmod(F.xxhash64("cls"), parts).cast("int")
+    # blocks of the greatest component are numbered -1, -2, ... and meet blocks of others only
+    others = F.sequence(F.lit(0), F.col("others") - 1)
+    tops = F.when(F.col("tops") > 0, F.transform(F.sequence(F.lit(1), F.col("tops")), lambda i: -i)).otherwise(F.array().cast("array<int>"))
+    met = F.explode(F.when(F.col("in_top"), others).otherwise(F.concat(others, tops)))
+    rows = dealt.withColumn("own", F.when(F.col("in_top"), -1 - own).otherwise(own)).withColumn("other", met)
+    return rows.select(
+        "grp",
+        F.greatest("own", "other").alias("left"),
+        F.least("own", "other").alias("right"),
+        (F.col("own") < F.col("other")).cast("int").alias("side"),
+        "cls",
+    )
+
+
+def group_links(members: DataFrame, payload: DataFrame, compare, block: int) -> DataFrame:
+    """``u, v``: links that join the same classes as all links within groups.
+
+    ``members`` is ``grp, cls, popularity, weight``; ``payload`` (by ``cls``) is attached
+    once rows are dealt. Members of a group that makes more than one block are first
+    compared with a few pivots; then only pairs that these links did not join are dealt.
+    So a group of near copies around a centre costs its size, and not its square.
+    """
+    sizes = stage(
+        members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).filter("n > 1")
+        .withColumn("parts", _parts(F.col("n"), F.col("w"), block)),
+        "group-sizes",
+    )
+    first = None
+    joined = members.sparkSession.createDataFrame([], "node bigint, component bigint")
+    if not sizes.filter("parts > 1").isEmpty():
+        first = stage(_links(_attached(_against_pivots(members, sizes, block), payload), compare), "pivot-links")
+        joined = stage(components(first), "joined")
+    rest = _links(_attached(_apart(members, joined, sizes, block), payload), compare)
+    return rest if first is None else rest.unionByName(first).distinct()
+
+
 def _links(dealt: DataFrame, compare) -> DataFrame:
     """``u, v``: per block, links that join the same classes as all links it finds."""
 
@@ -317,10 +381,11 @@ def near_duplicates(
     signatures in batches; a pair is dropped as soon as the posterior says that
     it reaches the threshold with less than ``miss`` probability. What survives
     forms clusters; in these, surviving pairs are verified on the full sets.
-    Every pair of a band or cluster is compared, in blocks of about ``block``
-    members, but a block returns only links enough to join the same documents.
+    Members of a large band or cluster first meet a few pivots; then every pair that
+    these links have not joined is compared, in blocks of about ``block`` members and
+    of bounded size, and a block returns only links enough to join the same documents.
     Banding and pruning may each overlook a pair with about ``miss`` probability;
-    no link is reported wrongly. Repeated rows of one id are judged by their own
+    no link is reported wrongly. ``doc_id`` is an integer. Repeated rows of one id are judged by their own
     texts. A row with a null id is its own component, named null, and kept.
     """
     plan = Plan(percent=percent, miss=miss)
@@ -335,16 +400,21 @@ def near_duplicates(
     )
 
     banded = reps.select(F.explode("bands").alias("band"), "cls")
-    shared = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band"), "bands")
-    members = stage(banded.join(shared.hint("merge"), "band").select("band", "cls"), "members")
-    similar = _links(_in_blocks(members, "band", reps.select("cls", "signature"), block), _alike(steps))
+    shared = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "bands")
+    members = stage(banded.join(shared.hint("merge"), "band").select("band", "cls", "n"), "members")
+    popular = stage(members.groupBy("cls").agg(F.sum("n").alias("popularity")), "popularity")
+    in_bands = members.join(popular.hint("merge"), "cls").select(F.col("band").alias("grp"), "cls", "popularity", F.lit(1).alias("weight"))
+    similar = group_links(stage(in_bands, "in-bands"), reps.select("cls", "signature"), _alike(steps), block)
     clusters = stage(components(similar), "clusters")
 
     wanted = clusters.join(reps, clusters["node"] == reps["cls"]).select("cls", "digest", "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint"), text_of(docs).alias("text")).join(stage(wanted, "wanted").hint("merge"), "doc_id")
     full = stage(_with_sets(texts, plan, shingle).dropDuplicates(["cls"]), "sets")
-    clustered = clusters.select(F.col("node").alias("cls"), "component")
-    links = _links(_in_blocks(clustered, "component", full, block), _verified(steps, percent))
+    clustered = (
+        clusters.select(F.col("node").alias("cls"), F.col("component").alias("grp")).join(popular.hint("merge"), "cls")
+        .join(full.select("cls", F.octet_length("shingles").alias("weight")).hint("merge"), "cls")
+    )
+    links = group_links(stage(clustered.select("grp", "cls", "popularity", "weight"), "clustered"), full, _verified(steps, percent), block)
     found = stage(components(links), "components")
 
     numbered = reps.select("cls", "digest", "doc_id").join(found, F.col("cls") == F.col("node"), "left").select(

@@ -1,10 +1,12 @@
 """Deduplication and decontamination against plain versions, on awkward rows."""
 
 import random
+import time
 
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hearth.llm import components, decontaminate, induced_sort, line_dedup, minhash, substring_dedup
 
@@ -169,3 +171,78 @@ def test_empty_tables(spark):
     assert substring_dedup.find_repeats(docs).count() == 0
     some = frame(spark, [(1, "some words"), (None, None)])
     assert [r.n_hit for r in decontaminate.find_contamination(some, benchmark).collect()] == [0, 0]
+
+
+def test_lines_of_long_texts(spark):
+    """The kept lines of a text cost no more than sorting its lines: five texts of 40,000 lines."""
+    lines = [f"a common line number {i} that is long enough to count as one" for i in range(20_000)]
+    rows = []
+    for d in range(6):
+        own = [line for i, line in enumerate(lines) if d < 5 or i % 3] + [f"own line {d} {i}" for i in range(20_000)] + lines[:100]
+        random.Random(d).shuffle(own)
+        rows.append((d, "\n".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    begin = time.time()
+    found = sorted((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.drop_frequent_lines(docs).collect())
+    assert time.time() - begin < 60
+    assert found == sorted(brute.line_dedup(rows))
+
+
+def test_places_and_rest_of_lists(spark):
+    rng, rows = random.Random(2), []
+    for _ in range(300):
+        lines = [rng.choice(["a", "b", "c", "d", "e", None]) for _ in range(rng.randint(0, 12))]
+        rows.append((lines, sorted({x for x in lines if x and rng.random() < 0.5})))
+    df = spark.createDataFrame(rows, "lines array<string>, keys array<string>")
+    places = line_dedup._places(F.col("lines"), F.col("keys"))
+    found = df.select("lines", "keys", line_dedup.let(places, lambda p: F.struct(p.alias("p"), line_dedup._without(F.col("lines"), p).alias("rest"))).alias("x"))
+    for r in found.collect():
+        assert r.x.p == [i for i, x in enumerate(r.lines) if x in r["keys"]]
+        assert r.x.rest == [x for x in r.lines if x not in r["keys"]]
+
+
+def near_copies(n, seed):
+    """A base text and copies that each change a few words of their own."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, n):
+        own = list(base)
+        for _ in range(rng.randint(1, 4)):
+            own[rng.randrange(len(own))] = f"edit{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_rows_dealt_for_a_group_of_near_copies(spark, monkeypatch):
+    """They grow with the group, not with its square, and the group is still one."""
+    dealt, write = [], minhash.stage
+
+    def spied(df, label):
+        out = write(df, label)
+        if label == "dealt":
+            dealt[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "stage", spied)
+    for n in (256, 1024):
+        dealt.append(0)
+        rows = near_copies(n, 1)
+        found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), block=16).collect()
+        assert {r.component_id for r in found} == {0} and sum(r.kept for r in found) == 1
+    assert dealt[1] < dealt[0] * 4 * 1.3, dealt
+
+
+def test_members_joined_by_no_pivot(spark, monkeypatch):
+    """Chains and several clusters in one group, with pivots that join little."""
+    monkeypatch.setattr(minhash, "PIVOTS", 1)
+    rng, rows = random.Random(7), []
+    for cluster in range(3):
+        text = [f"c{cluster}w{rng.randrange(10**6)}" for _ in range(120)] + [f"common{i}" for i in range(90)]
+        for _ in range(40):  # each differs a little from the one before
+            text = list(text)
+            for _ in range(3):
+                text[rng.randrange(120)] = f"edit{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(text)))
+    found = minhash.near_duplicates(frame(spark, rows), percent=80, block=8).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == sorted(brute.near_duplicates(rows, percent=80))
