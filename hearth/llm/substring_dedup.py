@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -23,6 +24,8 @@ MATCH = 50
 ANCHOR = 24
 # Bytes of spans that a shard sorts at a time. An anchor that may have more is split.
 GROUP_BYTES = 1 << 19
+# Bytes of text for which there is a shard, whatever the session's shuffle partitions are.
+SHARD_BYTES = 32 << 20
 LEAST_ID = -(1 << 63)
 _HOME = 33  # class numbers: partition, and place in it
 
@@ -50,12 +53,19 @@ def _anchors(data: np.ndarray, match: int, anchor: int) -> tuple[np.ndarray, np.
     return begin, end, low[begin], mix((sums[end - 1 + match] - sums[begin]) * down[begin] + length.astype(np.uint64))
 
 
-def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each start in the runs [begin, end), and a hash of its ``match`` bytes."""
+def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each start in the runs [begin, end), and two hashes of its ``match`` bytes: one of sums,
+    one of the bytes as words, which have nothing in common."""
     sums, down = prefix_hash(data)
     n = end - begin
     starts = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return starts, mix((sums[starts + match] - sums[starts]) * down[starts] + np.uint64(1))
+    second = np.full(len(starts), match, dtype=np.uint64)
+    for at in range(0, match, 8):
+        word = np.zeros(len(starts), dtype=np.uint64)
+        for j in range(at, min(at + 8, match)):
+            word = word << np.uint64(8) | data[starts + j].astype(np.uint64)
+        second = mix(second * np.uint64(0x9E3779B97F4A7C15) ^ word)
+    return starts, mix((sums[starts + match] - sums[starts]) * down[starts] + np.uint64(1)), second
 
 
 def _held(anchors: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,9 +207,9 @@ _PIECE_KINDS = {"home": "<i4", "low": "<u4", "doc_id": "<i8", "start": "<u4", "a
 def _pieces(texts: DataFrame, buckets: int, match: int, anchor: int) -> DataFrame:
     """Spans around shared anchors, by bucket of the anchor; equal spans of a batch bring their bytes once.
 
-    Around a hot anchor each string of ``match`` bytes is a span of its own, with its hash
-    as anchor and content: equal strings meet, different ones go to different buckets, and
-    as no such span has to be sorted, it brings no bytes.
+    Around a hot anchor each string of ``match`` bytes is a span of its own, with two hashes
+    as anchor and content: equal strings meet, strings that differ in either are different,
+    and as no such span has to be sorted, it brings no bytes.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +228,8 @@ def _pieces(texts: DataFrame, buckets: int, match: int, anchor: int) -> DataFram
                 sort = np.ones(len(at), dtype=bool)
                 if hot:
                     split = np.isin(anchors, np.frombuffer(hot, dtype="<u8"))
-                    starts, hashes = _strings(data, begin[split], end[split] + 1 - match, match)
-                    added = (starts, starts + match, hashes, hashes)
+                    starts, *hashes = _strings(data, begin[split], end[split] + 1 - match, match)
+                    added = (starts, starts + match, *hashes)
                     begin, end, anchors, content = [np.concatenate([x[~split], y]) for x, y in zip((begin, end, anchors, content), added, strict=True)]
                     sort = np.arange(len(begin)) < len(begin) - len(starts)
                 spans += [raw[b:e] if s else b"" for b, e, s in zip(begin.tolist(), end.tolist(), sort.tolist(), strict=True)]
@@ -269,6 +279,49 @@ def _least_owner(spans: list[bytes], owners: np.ndarray, match: int) -> list[np.
     return [least[b : b + n - match + 1] for b, n in zip(begins.tolist(), lengths.tolist(), strict=True)]
 
 
+def _decide(e: dict[str, np.ndarray], held: list[bytes], match: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Which bytes of the pieces of one shard go: pieces, and for each [begin, end) in its text."""
+    span_of = np.cumsum(e["first"]) - 1
+    order = np.lexsort((e["doc_id"], ~e["first"], e["content"], e["anchor"]))
+    anchors, contents = e["anchor"][order], e["content"][order]
+    new_anchor = np.concatenate([[True], anchors[1:] != anchors[:-1]])
+    new = new_anchor | np.concatenate([[True], contents[1:] != contents[:-1]])
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    least = np.minimum.reduceat(e["doc_id"][order], first)
+    # an anchor with one content needs no order: all its strings are those of the least owner
+    of_anchor = (np.cumsum(new_anchor) - 1)[first]
+    # strings of a split anchor came without bytes: their two hashes tell them apart
+    several = (np.bincount(of_anchor)[of_anchor] > 1) & e["first"][order][first]
+    starts = (e["length"][order][first].astype(np.int64) - match + 1)
+    owner: list[np.ndarray] = [np.full(n, x) for n, x in zip(starts.tolist(), least.tolist(), strict=True)]
+    chosen = np.flatnonzero(several)
+    # anchors have no string in common, so they are sorted in groups of about GROUP_BYTES;
+    # those of more are split, and their strings have one content each
+    room = np.cumsum(e["length"][order][first[chosen]].astype(np.int64) + 1) // GROUP_BYTES
+    of_chosen = of_anchor[chosen]
+    begins = np.flatnonzero(np.concatenate([[True], of_chosen[1:] != of_chosen[:-1]])[: len(chosen)])
+    part = np.repeat(room[begins], np.diff(np.append(begins, len(chosen))))
+    for at in np.split(chosen, np.flatnonzero(np.diff(part)) + 1):
+        if len(at):
+            spans = [held[span_of[order[first[i]]]] for i in at]
+            for i, found in zip(at.tolist(), _least_owner(spans, least[at], match), strict=True):
+                owner[i] = found
+    flat, offset = np.concatenate(owner), np.concatenate([[0], np.cumsum(starts)])
+    for part in np.array_split(np.arange(len(order)), max(1, len(order) // 100_000)):
+        n = starts[group[part]]
+        rows = np.repeat(part, n)
+        inner = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+        gone = flat[offset[group[rows]] + inner] < e["doc_id"][order[rows]]
+        # runs of starts to remove
+        edge = np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1] & (rows[1:] == rows[:-1])]))
+        stop = np.flatnonzero(gone & ~np.concatenate([gone[1:] & (rows[1:] == rows[:-1]), [False]]))
+        piece = order[rows[edge]]
+        begin = e["start"][piece].astype(np.int64) + inner[edge]
+        end = e["start"][piece].astype(np.int64) + inner[stop] + match
+        yield piece, begin, end
+
+
 def _removed(pieces: DataFrame, match: int) -> DataFrame:
     """``cls, spans``: merged byte spans to remove, as pairs of unsigned 32-bit numbers."""
 
@@ -287,43 +340,7 @@ def _removed(pieces: DataFrame, match: int) -> DataFrame:
         e = {name: np.frombuffer(b"".join(parts[name]), dtype=kind) for name, kind in _PIECE_KINDS.items()}
         if not len(e["anchor"]):
             return
-        span_of = np.cumsum(e["first"]) - 1
-        order = np.lexsort((e["doc_id"], ~e["first"], e["content"], e["anchor"]))
-        anchors, contents = e["anchor"][order], e["content"][order]
-        new_anchor = np.concatenate([[True], anchors[1:] != anchors[:-1]])
-        new = new_anchor | np.concatenate([[True], contents[1:] != contents[:-1]])
-        first = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        least = np.minimum.reduceat(e["doc_id"][order], first)
-        # an anchor with one content needs no order: all its strings are those of the least owner
-        of_anchor = (np.cumsum(new_anchor) - 1)[first]
-        several = np.bincount(of_anchor)[of_anchor] > 1
-        starts = (e["length"][order][first].astype(np.int64) - match + 1)
-        owner: list[np.ndarray] = [np.full(n, x) for n, x in zip(starts.tolist(), least.tolist(), strict=True)]
-        chosen = np.flatnonzero(several)
-        # anchors have no string in common, so they are sorted in groups of about GROUP_BYTES;
-        # those of more are split, and their strings have one content each
-        room = np.cumsum(e["length"][order][first[chosen]].astype(np.int64) + 1) // GROUP_BYTES
-        of_chosen = of_anchor[chosen]
-        begins = np.flatnonzero(np.concatenate([[True], of_chosen[1:] != of_chosen[:-1]])[: len(chosen)])
-        part = np.repeat(room[begins], np.diff(np.append(begins, len(chosen))))
-        for at in np.split(chosen, np.flatnonzero(np.diff(part)) + 1):
-            if len(at):
-                spans = [held[span_of[order[first[i]]]] for i in at]
-                for i, found in zip(at.tolist(), _least_owner(spans, least[at], match), strict=True):
-                    owner[i] = found
-        flat, offset = np.concatenate(owner), np.concatenate([[0], np.cumsum(starts)])
-        for part in np.array_split(np.arange(len(order)), max(1, len(order) // 100_000)):
-            n = starts[group[part]]
-            rows = np.repeat(part, n)
-            inner = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            gone = flat[offset[group[rows]] + inner] < e["doc_id"][order[rows]]
-            # runs of starts to remove
-            edge = np.flatnonzero(gone & ~np.concatenate([[False], gone[:-1] & (rows[1:] == rows[:-1])]))
-            stop = np.flatnonzero(gone & ~np.concatenate([gone[1:] & (rows[1:] == rows[:-1]), [False]]))
-            piece = order[rows[edge]]
-            begin = e["start"][piece].astype(np.int64) + inner[edge]
-            end = e["start"][piece].astype(np.int64) + inner[stop] + match
+        for piece, begin, end in _decide(e, held, match):
             yield _REMOVED.rows(e["home"][piece], low=e["low"][piece], begin=begin, end=end)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +417,8 @@ def find_repeats(docs: DataFrame, *, match: int = MATCH, anchor: int = ANCHOR, g
     digests = stage(docs.select(F.col("doc_id"), own.alias("own"), F.unhex(F.md5(F.encode(text_of(docs), "UTF-8"))).alias("digest")), "digests")
     name = _table(spark, rows)
     texts = spark.table(name)
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / SHARD_BYTES))
     keys = texts.select("cls", "digest")
     shared = stage(_shared_anchors(texts, buckets, match, anchor, group).join(keys, "cls").select("digest", "anchors", "hot"), "shared")
     pieces = _pieces(texts.join(shared, "digest"), buckets, match, anchor)

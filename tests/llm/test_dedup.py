@@ -127,6 +127,22 @@ def test_repeats_around_split_anchors(spark, match, anchor):
     assert sorted(got, key=key) == sorted(brute.repeats(rows, match), key=key)
 
 
+def test_split_strings_with_one_hash_in_common():
+    """Strings of a split anchor are equal only if both hashes are."""
+    rows = [(7, 11, 1), (7, 12, 2), (7, 11, 3), (7, 12, 4), (8, 12, 5), (9, 13, 6)]  # anchor, content, doc_id
+    e = {"anchor": np.array([r[0] for r in rows], np.uint64), "content": np.array([r[1] for r in rows], np.uint64)}
+    e |= {"doc_id": np.array([r[2] for r in rows]), "first": np.zeros(len(rows), bool), "length": np.full(len(rows), 50, np.uint16)}
+    e |= {"start": np.arange(len(rows), dtype=np.uint32), "home": np.zeros(len(rows), np.int32), "low": np.zeros(len(rows), np.uint32)}
+    gone = [int(p) for piece, _, _ in substring_dedup._decide(e, [], 50) for p in piece]
+    assert sorted(gone) == [2, 3]
+    # the two hashes of a string do not follow from one another
+    data = np.frombuffer(random.Random(1).randbytes(5000), np.uint8)
+    starts, one, two = substring_dedup._strings(data, np.array([0]), np.array([4900]), 50)
+    assert len(set(one.tolist())) == len(set(two.tolist())) == len(starts) == 4900
+    again = substring_dedup._strings(np.concatenate([data[100:200], data]), np.array([0, 100]), np.array([50, 150]), 50)
+    assert again[2][:50].tolist() == two[100:150].tolist() and again[1][:50].tolist() == one[100:150].tolist()
+
+
 def test_repeats_of_a_common_phrase(spark):
     """A phrase one byte short of a match, with other text around it in each of many documents."""
     rng = random.Random(8)
