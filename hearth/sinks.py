@@ -12,7 +12,7 @@ once if a write fails before its note stands. One writer at a time per table.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -70,13 +70,21 @@ def write_day_partitioned(df: DataFrame, table: str, ts: str, *, mode: str = "ap
     _balanced_by_day(with_day(df, ts)).write.mode(mode).partitionBy(DAY).parquet(table)
 
 
-def write_clustered(df: DataFrame, table: str, keys: Sequence[str], *, mode: str = "overwrite") -> None:
+def write_clustered(
+    df: DataFrame, table: str, keys: Sequence[str], *, mode: str = "overwrite", bloom: Mapping[str, int] | None = None
+) -> None:
     """Stored in key order, so Parquet min/max statistics can skip row groups.
 
     Range partitioning on the whole key splits a dominant leading value, and the
-    hash of the row splits rows that share their key.
+    hash of the row splits rows that share their key. ``bloom`` names columns that also
+    get a bloom filter, with the distinct values to expect in a row group: it skips those
+    whose range holds a value that is asked for while none of their rows does.
     """
-    df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys).write.mode(mode).parquet(table)
+    writer = df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys).write.mode(mode)
+    for column, distinct in (bloom or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{column}", distinct)
+    writer.parquet(table)
 
 
 def save_csv(df: DataFrame, path: str) -> None:

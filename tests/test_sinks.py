@@ -2,6 +2,7 @@
 
 import pytest
 from helpers import price, tuples, utc
+from pyspark.sql import functions as F
 
 from hearth import sinks
 from hearth.schemas import BRONZE_PRICE
@@ -199,3 +200,42 @@ def test_touched_days_are_literals(spark, table):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ts_day" in plan and "(ts_day#" in plan and "= 2025-01-02)" in plan
     assert sinks.read_days(spark, table, BRONZE_PRICE).filter(sinks.on_days([])).count() == 0
+
+
+def rows_scanned(spark, df):
+    """Rows that the file scans of ``df`` hand on, by the metrics of its run."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    last = store.executionsList(int(before), 1).apply(0)
+    values = store.executionMetrics(last.executionId())
+    graph = store.planGraph(last.executionId()).allNodes()
+    total = 0
+    for i in range(graph.size()):
+        node = graph.apply(i)
+        if node.name().startswith("Scan parquet"):
+            metrics = node.metrics()
+            for j in range(metrics.size()):
+                if metrics.apply(j).name() == "number of output rows":
+                    total += int(values.apply(metrics.apply(j).accumulatorId()).replace(",", ""))
+    return total
+
+
+def test_bloom_filters_skip_row_groups_that_min_and_max_do_not(spark, folder):
+    """An entity that is absent, but lies inside the range of every row group."""
+    log = spark.range(200_000).select(
+        F.concat(F.lit("sensor."), F.sha2(F.concat((F.col("id") * 7919 % 200_000).cast("string"), F.lit("x")), 256)).alias("entity_id"),
+        (F.col("id") % 1000).alias("at"),
+    )
+    sinks.write_clustered(log, f"{folder}/plain", ["at"])
+    sinks.write_clustered(log, f"{folder}/bloom", ["at"], bloom={"entity_id": 200_000})
+    absent = "sensor.7fffffffffffffff"
+    found = {}
+    for name in ("plain", "bloom"):
+        stored = spark.read.schema(log.schema).parquet(f"{folder}/{name}")
+        assert stored.count() == 200_000
+        found[name] = rows_scanned(spark, stored.filter(F.col("entity_id") == absent))
+        present = stored.orderBy("entity_id").first()["entity_id"]
+        assert stored.filter(F.col("entity_id") == present).count() == 1
+    assert found["plain"] == 200_000 and found["bloom"] == 0

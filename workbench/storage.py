@@ -297,6 +297,20 @@ def _(spark, sf):
     return sources.read_or_empty(spark, path, log.schema)
 
 
+@register(
+    "k9_bloom_lookup",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 97 = 5)",
+)
+def _(spark, sf):
+    """Orders of some customers from a table stored by date, found by bloom filters on the customer."""
+    path = scratch_path(spark, "bloom")
+    orders = feeds.table(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_custkey", "o_totalprice")
+    sinks.write_clustered(orders, path, ["o_orderdate", "o_orderkey"], bloom={"o_custkey": 100_000})
+    asked = feeds.table(spark, sf, "customer").filter(F.col("c_custkey") % 97 == 5).select(F.col("c_custkey").alias("o_custkey"))
+    stored = spark.read.schema(orders.schema).parquet(path)
+    return stored.join(asked, "o_custkey", "left_semi").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @register(
     "k10_save_csv",
     with_feeds(
