@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hearth import sinks
-from hearth.operators import quality
+from hearth.operators import check_state, quality
 from hearth.plans import access, exploration, gold, ingest, silver
 from hearth.plans.suites import DIAGRAM_CHECKS, GOVERNANCE_CHECKS, STAR_CHECKS
 from hearth.schemas import RAW_COLUMNS
@@ -245,3 +245,36 @@ def _(spark, sf):
 ENTRIES["q8_governance"] = Entry(_suite(GOVERNANCE_CHECKS), _suite_sql(GOVERNANCE_CHECKS))
 ENTRIES["q9_diagram_checks"] = Entry(_suite(DIAGRAM_CHECKS), _suite_sql(DIAGRAM_CHECKS))
 ENTRIES["q10_run_suite"] = Entry(_suite(STAR_CHECKS), _suite_sql(STAR_CHECKS))
+
+
+EVENT_CHECKS = [
+    quality.Check("events", "event_id", "unique"),
+    quality.Check("events", "value", "not_null"),
+    quality.Check("events", "value", "expression", "value BETWEEN 5 AND 90"),
+    quality.Check("events", "user_id", "relationships", parent="customer", parent_key="c_custkey"),
+]
+
+
+@register(
+    "q10_daily_state",
+    """SELECT 'events' AS "table", 'event_id' AS "column", 'unique' AS "check",
+  (SELECT count(*) FROM (SELECT event_id FROM events GROUP BY 1 HAVING count(*) > 1) d) AS failing
+UNION ALL SELECT 'events', 'value', 'not_null', (SELECT count(*) FROM events WHERE value IS NULL)
+UNION ALL SELECT 'events', 'value', 'value BETWEEN 5 AND 90', (SELECT count(*) FROM events WHERE NOT (value BETWEEN 5 AND 90))
+UNION ALL SELECT 'events', 'user_id', 'relationships', (SELECT count(*) FROM events WHERE user_id IS NOT NULL
+  AND user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0))""",
+)
+def _(spark, sf):
+    """Checks of all days while one is damaged, then of that day alone when it is right again."""
+    path, state = scratch_path(spark, "checked-events"), scratch_path(spark, "check-state")
+    events = feeds.events(spark, sf).select("event_id", "user_id", "value", "ts")
+    day = events.agg(F.to_date(F.min("ts"))).first()[0]
+    first = F.to_date("ts") == F.lit(day)
+    damaged = events.withColumns({"value": F.when(~first, F.col("value")), "event_id": F.when(first, F.lit(1)).otherwise(F.col("event_id"))})
+    parents = {"customer": feeds.table(spark, sf, "customer").filter("c_acctbal > 0")}
+    sinks.write_day_partitioned(damaged, path, "ts")
+    stored = sinks.read_days(spark, path, events.schema)
+    check_state.update_checks(stored, EVENT_CHECKS, state, sinks.days_of(stored), parents)
+    sinks.replace_days(events.filter(first), path, "ts", [day])
+    check_state.update_checks(sinks.read_days(spark, path, events.schema), EVENT_CHECKS, state, [day], parents)
+    return check_state.read_checks(spark, "events", EVENT_CHECKS, state)
