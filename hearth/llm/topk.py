@@ -27,7 +27,7 @@ def integer_vectors(rows: DataFrame, *, scale: int = SCALE) -> DataFrame:
 
     Vectors that are null or hold a null, NaN or infinite component are left out, as are
     rows without an id and vectors with a component so large that a score among such
-    vectors would not fit a long (2^31 and more, scaled, for four dimensions); a repeated
+    vectors would not fit a long (2^30 and more, scaled, for four dimensions); a repeated
     row counts once.
     """
     found = rows.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>").alias("x"))
