@@ -9,7 +9,9 @@ from .readings import (
     enrich_sink,
     enrich_stream,
     hourly_wide_stream,
+    last_state_sink,
     last_state_stream,
+    state_times_stream,
     stream_readings,
     upsert_interval_sink,
     upsert_result_sink,
@@ -23,12 +25,14 @@ __all__ = [
     "enrich_sink",
     "enrich_stream",
     "hourly_wide_stream",
+    "last_state_sink",
     "last_state_stream",
     "late_rows",
     "mark_replayed",
     "payload_sink",
     "pending_batches",
     "quarantined",
+    "state_times_stream",
     "stream_accepted",
     "stream_documents",
     "stream_readings",

@@ -16,12 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.parse import safe_number
 from ..functions.time import local_date
-from ..operators.aggregates import avg_if, latest
+from ..operators.aggregates import avg_if, latest, latest_in_group
 from ..operators.joins import flag_join
 from ..plans.gold import attach_versions
 from ..plans.star import pinned_star
 from ..schemas import BRONZE_IOT, SENSOR_COLUMNS
-from ..sinks import upsert_rows
+from ..sinks import days_of, on_days, read_days, staged_batch, upsert_rows, with_day
 
 HOUR = "1 hour"
 
@@ -74,6 +74,44 @@ def last_state_stream(observations: DataFrame, delay: str, value: str = "conditi
     )
 
 
+def state_times_stream(observations: DataFrame, delay: str, value: str = "condition_state") -> DataFrame:
+    """When each non-NULL state was last seen in each hour.
+
+    The text is a grouping key and the buffer a time, so state is hashed and never sorted;
+    :func:`last_state_sink` picks the last state of an hour among the few it has.
+    """
+    return (
+        observations.filter(F.col(value).isNotNull())
+        .withWatermark("last_changed", delay)
+        .groupBy(F.window("last_changed", HOUR).alias("_window"), F.col(value))
+        .agg(F.max("last_changed").alias("seen"))
+        .select(F.col("_window.start").alias("hour_start"), value, "seen")
+    )
+
+
+def last_state_sink(table: str, value: str = "condition_state") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function from :func:`state_times_stream` (update mode) to the last state of each hour.
+
+    Times go to a table beside ``table`` by hour and state; the hours of the batch are
+    then read from it and their last states replace those of ``table``. Both writes
+    replace their keys, so a batch that is run again changes nothing. Equal times are
+    settled by the greater state, as in :func:`last_state_stream`.
+    """
+    times = f"{table.rstrip('/')}_times"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with staged_batch(batch, times) as (rows, _):
+            upsert_rows(rows, times, "hour_start", ["hour_start", value])
+            days = days_of(with_day(rows, "hour_start"))
+            stored = read_days(spark, times, rows.schema).filter(on_days(days)).drop("ts_day")
+            touched = stored.join(rows.select("hour_start").distinct(), "hour_start", "left_semi")
+            last = latest_in_group(touched, {"hour_start": F.col("hour_start")}, value, "seen")
+            upsert_rows(last, table, "hour_start", ["hour_start"])
+
+    return write
+
+
 def enrich_stream(
     rows: DataFrame, dim_device: DataFrame, dim_location: DataFrame, holidays: DataFrame, ts: str
 ) -> DataFrame:

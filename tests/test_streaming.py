@@ -182,3 +182,31 @@ def test_an_admission_run_again_publishes_nothing_new(spark, folder):
         sink(iot(spark, []), number)
     sink(iot(spark, [(PUMP, "1", "2025-01-01 10:00:00")]), 30)
     assert streaming.late_rows(spark, folder, BRONZE_IOT, "last_changed").count() == 3
+
+
+def test_last_states_from_times(spark, folder):
+    """The same as one aggregation of texts, over several deliveries, without a sort in the plan."""
+    deliveries = [
+        [("rain", "2025-01-01 10:05:00", 1.0), (None, "2025-01-01 10:50:00", 1.0), (None, "2025-01-01 11:50:00", 1.0)],
+        [("fog", "2025-01-01 10:40:00", 1.0), ("rain", "2025-01-01 10:20:00", 1.0), ("sun", "2025-01-01 12:00:00", 1.0)],
+        [("rain", "2025-01-01 10:40:00", 1.0), ("a", "2025-01-01 12:00:00", 1.0)],
+    ]
+    plans = []
+    for delivery in deliveries:
+        land(weather(spark, delivery), f"{folder}/in")
+        observed = streaming.stream_readings(spark, f"{folder}/in", schema=BRONZE_WEATHER)
+        stream = streaming.state_times_stream(observed, "2 hours")
+        sink = streaming.last_state_sink(f"{folder}/out")
+
+        def spied(batch, number, sink=sink):
+            plans.append(batch._jdf.queryExecution().toString())
+            sink(batch, number)
+
+        query = streaming.drain(stream, spied, f"{folder}/checkpoint")
+        plans.append(query._jsq.explainInternal(False))
+    found = {r.hour_start.hour: r.condition_state for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert found == {10: "rain", 12: "sun"}
+    assert any("HashAggregate" in plan for plan in plans) and not any("SortAggregate" in plan for plan in plans)
+    batch = spark.read.schema(BRONZE_WEATHER).parquet(f"{folder}/in").filter("condition_state IS NOT NULL")
+    model = latest_in_group(batch, {"hour_start": hour_start(F.col("last_changed"))}, "condition_state", "last_changed")
+    assert {r.hour_start.hour: r.condition_state for r in model.collect()} == found

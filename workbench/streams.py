@@ -139,6 +139,18 @@ def _(spark, sf):
     return late_replay(time_window(log, "last_changed", start, end), bronze, hourly, start, end)
 
 
+@register(
+    "x5_state_times",
+    with_feeds("stg_weather", "SELECT timestamp AS hour_start, condition_state FROM stg_weather WHERE condition_state IS NOT NULL"),
+)
+def _(spark, sf):
+    """Last states of hours from the times at which each state was last seen."""
+    observed = streaming.stream_readings(spark, _landed(spark, feeds.weather(spark, sf)), schema=BRONZE_WEATHER)
+    times = streaming.state_times_stream(observed, "2 hours")
+    table = _drained(spark, times, streaming.last_state_sink, scratch_path(spark, "stream-times"))
+    return spark.read.parquet(table).select("hour_start", "condition_state")
+
+
 LATE_FROM, LATE_TO = "2024-01-10 00:00:00", "2024-01-13 00:00:00"
 READING_KEYS = ["entity_id", "last_changed"]
 
