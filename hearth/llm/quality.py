@@ -15,8 +15,10 @@ from .features import Characters, held_out, sampled, text_blocks
 
 ORDERS = (2, 3, 4)
 BITS = 16
-# Word pairs have two buckets behind the hashed ones: another word follows, or the same one again.
+# Behind the hashed buckets: another word follows, or the same one again.
 SIZE = (1 << BITS) + 2
+# Stands before the first word of a text.
+START = 1 << BITS
 DIMENSIONS = 16
 EPOCHS = 5
 RATE = 0.5
@@ -26,13 +28,16 @@ FOLDS = (4, 2)
 THRESHOLD = 0.7
 
 
-def _words(chars: Characters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each word, bucket of its pair with the word before it, and its place."""
+def _words(chars: Characters) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word its bucket, that of its pair with the word before it (or the text's
+    start), that of whether both are the same, and its place."""
     words, places = chars.words(BITS)
-    again = np.concatenate([[False], words[1:] == words[:-1]])[: len(words)]
+    before = np.concatenate([[START], words[:-1]])[: len(words)].astype(np.uint64)
     first = np.searchsorted(places, chars.begin[:-1])
-    again[first[first < len(words)]] = False
-    return words, (1 << BITS) + again.astype(np.int32), places
+    before[first[first < len(words)]] = START
+    mixed = (before * np.uint64(0x9E3779B97F4A7C15) + words.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    pairs = ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - BITS)
+    return words, pairs.astype(np.int32), (1 << BITS) + (before == words).astype(np.int32), places
 
 
 @dataclass
@@ -47,9 +52,9 @@ class QualityModel:
         out = np.zeros(len(texts))
         for at, part in text_blocks(texts):
             chars = Characters.of(part)
-            words, pairs, places = _words(chars)
-            total = chars.per_text(self.table[words] + self.table[pairs], places)
-            n = chars.per_text(np.full(len(places), 2.0), places)
+            words, pairs, again, places = _words(chars)
+            total = chars.per_text(self.table[words] + self.table[pairs] + self.table[again], places)
+            n = chars.per_text(np.full(len(places), 3.0), places)
             for order in ORDERS:
                 bucket, whole = chars.ngrams(order, BITS)
                 total += chars.per_text(np.where(whole, self.table[bucket], 0.0))
@@ -111,13 +116,13 @@ def train(docs: DataFrame, labels: DataFrame, *, max_docs: int = MAX_TRAINING_DO
             found = []
             for _, part in text_blocks([t or "" for t in batch.column(1).to_pylist()]):
                 chars = Characters.of(part)
-                words, pairs, places = _words(chars)
+                words, pairs, again, places = _words(chars)
                 bound = np.searchsorted(places, chars.begin)
                 grams = [chars.ngrams(order, BITS) for order in ORDERS]
                 for d in range(len(part)):
                     low, high = chars.begin[d], chars.begin[d + 1]
                     own = slice(bound[d], bound[d + 1])
-                    every = [words[own], pairs[own], *(b[low:high][w[low:high]] for b, w in grams)]
+                    every = [words[own], pairs[own], again[own], *(b[low:high][w[low:high]] for b, w in grams)]
                     bucket, count = np.unique(np.concatenate(every), return_counts=True)
                     share = count / max(1, count.sum())
                     found.append((bucket.astype("<i4").tobytes(), share.astype("<f4").tobytes()))

@@ -32,12 +32,18 @@ def word_bucket(word, bits):
     return ((sums ^ (sums >> 29)) * 0xBF58476D1CE4E5B9 & wide) >> (64 - bits)
 
 
+def pair_bucket(before, word, bits):
+    wide = (1 << 64) - 1
+    mixed = (before * 0x9E3779B97F4A7C15 + word + 1) * 0xBF58476D1CE4E5B9 & wide
+    return ((mixed ^ (mixed >> 31)) * 0x94D049BB133111EB & wide) >> (64 - bits)
+
+
 def grams(codes, orders, bits):
     return [gram_bucket(codes[i : i + n], bits) for n in orders for i in range(len(codes) - n + 1)]
 
 
 def quality_buckets(text):
-    """Words, pairs with the word before, and n-grams of the text and one blank."""
+    """Words, pairs with the word before, repetitions, and n-grams of the text and one blank."""
     words, word = [], ""
     for char in text + " ":
         if char in " \t\n\x0b\x0c\r":
@@ -46,8 +52,10 @@ def quality_buckets(text):
         else:
             word += char
     found = [word_bucket(w, quality.BITS) for w in words]
-    pairs = [(1 << quality.BITS) + (i > 0 and found[i] == found[i - 1]) for i in range(len(found))]
-    return found + pairs + grams([ord(c) for c in text + " "], quality.ORDERS, quality.BITS)
+    before = [quality.START, *found[:-1]]
+    pairs = [pair_bucket(a, b, quality.BITS) for a, b in zip(before, found)]
+    again = [(1 << quality.BITS) + (a == b) for a, b in zip(before, found)]
+    return found + pairs + again + grams([ord(c) for c in text + " "], quality.ORDERS, quality.BITS)
 
 
 @pytest.mark.parametrize("seed", [1, 2])
