@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, text_of
@@ -27,6 +27,8 @@ GROUP_BLOCK = 512
 # Bytes of their sets in a block, and members of a large group that all others meet first.
 BLOCK_WEIGHT = 16 << 20
 PIVOTS = 8
+# Blocks beyond which a group is large.
+PIVOT_PARTS = 8
 WORD_BYTES = byte_class(bytes([0x20, *range(0x09, 0x0E)]))
 
 
@@ -241,13 +243,27 @@ def _attached(rows: DataFrame, payload: DataFrame) -> DataFrame:
     )
 
 
-def _against_pivots(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
-    """Members of large groups in blocks, each block beside the group's pivots: the
-    ``PIVOTS`` members that stand in the largest and most groups, likely centres."""
-    large = sizes.filter(F.col("parts") > 1)
-    own = members.join(large.hint("merge"), "grp")
-    order = Window.partitionBy("grp").orderBy(F.desc("popularity"), "cls")
-    pivots = own.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PIVOTS)
+def _all_pairs(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members of each group in blocks, and every pair of blocks."""
+    own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    dealt = members.join(sizes.select("grp", "parts").hint("merge"), "grp").withColumn("own", own)
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "grp",
+        F.least("own", "other").alias("left"),
+        F.greatest("own", "other").alias("right"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "cls",
+    )
+
+
+def _against_pivots(members: DataFrame, popularity: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Members of large groups in blocks, each block beside the group's pivots: of each of
+    ``PIVOTS`` parts the member that stands in the largest and most groups, a likely centre."""
+    large = sizes.filter(F.col("parts") > PIVOT_PARTS)
+    own = stage(members.join(large.select("grp", "parts").hint("merge"), "grp").join(popularity.hint("merge"), "cls"), "large")
+    # one of each of so many parts of a group, found map-side: a window would gather the group
+    part = F.pmod(F.xxhash64("cls"), F.lit(PIVOTS))
+    pivots = own.groupBy("grp", "parts", part.alias("part")).agg(F.max_by("cls", "popularity").alias("cls"))
     beside = pivots.select("grp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("left"), F.lit(-1).alias("right"), F.lit(1).alias("side"), "cls")
     return own.select(
         "grp", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int").alias("left"), F.lit(-1).alias("right"), F.lit(0).alias("side"), "cls"
@@ -293,26 +309,26 @@ def _apart(members: DataFrame, joined: DataFrame, sizes: DataFrame, block: int)
     )
 
 
-def group_links(members: DataFrame, payload: DataFrame, compare, block: int) -> DataFrame:
+def group_links(members: DataFrame, popularity: DataFrame, payload: DataFrame, compare, block: int) -> DataFrame:
     """``u, v``: links that join the same classes as all links within groups.
 
-    ``members`` is ``grp, cls, popularity, weight``; ``payload`` (by ``cls``) is attached
-    once rows are dealt. Members of a group that makes more than one block are first
-    compared with a few pivots; then only pairs that these links did not join are dealt.
-    So a group of near copies around a centre costs its size, and not its square.
+    ``members`` is ``grp, cls, weight``; ``popularity`` and ``payload`` (both by ``cls``) are
+    attached to the rows that need them. Members of a group of more than ``PIVOT_PARTS``
+    blocks are first compared with a few pivots; then only pairs that these links did not
+    join are dealt. So a group of near copies around a centre costs its size, and not its
+    square; in smaller groups a member is dealt ``PIVOT_PARTS`` times at most.
     """
     sizes = stage(
         members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).filter("n > 1")
         .withColumn("parts", _parts(F.col("n"), F.col("w"), block)),
         "group-sizes",
     )
-    first = None
-    joined = members.sparkSession.createDataFrame([], "node bigint, component bigint")
-    if not sizes.filter("parts > 1").isEmpty():
-        first = stage(_links(_attached(_against_pivots(members, sizes, block), payload), compare), "pivot-links")
-        joined = stage(components(first), "joined")
+    if sizes.filter(F.col("parts") > PIVOT_PARTS).isEmpty():
+        return _links(_attached(_all_pairs(members, sizes), payload), compare)
+    first = stage(_links(_attached(_against_pivots(members, popularity, sizes), payload), compare), "pivot-links")
+    joined = stage(components(first), "joined")
     rest = _links(_attached(_apart(members, joined, sizes, block), payload), compare)
-    return rest if first is None else rest.unionByName(first).distinct()
+    return rest.unionByName(first).distinct()
 
 
 def _links(dealt: DataFrame, compare) -> DataFrame:
@@ -402,19 +418,16 @@ def near_duplicates(
     banded = reps.select(F.explode("bands").alias("band"), "cls")
     shared = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "bands")
     members = stage(banded.join(shared.hint("merge"), "band").select("band", "cls", "n"), "members")
-    popular = stage(members.groupBy("cls").agg(F.sum("n").alias("popularity")), "popularity")
-    in_bands = members.join(popular.hint("merge"), "cls").select(F.col("band").alias("grp"), "cls", "popularity", F.lit(1).alias("weight"))
-    similar = group_links(stage(in_bands, "in-bands"), reps.select("cls", "signature"), _alike(steps), block)
+    popularity = members.groupBy("cls").agg(F.sum("n").alias("popularity"))
+    in_bands = members.select(F.col("band").alias("grp"), "cls", F.lit(1).alias("weight"))
+    similar = group_links(in_bands, popularity, reps.select("cls", "signature"), _alike(steps), block)
     clusters = stage(components(similar), "clusters")
 
     wanted = clusters.join(reps, clusters["node"] == reps["cls"]).select("cls", "digest", "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint"), text_of(docs).alias("text")).join(stage(wanted, "wanted").hint("merge"), "doc_id")
     full = stage(_with_sets(texts, plan, shingle).dropDuplicates(["cls"]), "sets")
-    clustered = (
-        clusters.select(F.col("node").alias("cls"), F.col("component").alias("grp")).join(popular.hint("merge"), "cls")
-        .join(full.select("cls", F.octet_length("shingles").alias("weight")).hint("merge"), "cls")
-    )
-    links = group_links(stage(clustered.select("grp", "cls", "popularity", "weight"), "clustered"), full, _verified(steps, percent), block)
+    clustered = clusters.select(F.col("node").alias("cls"), F.col("component").alias("grp")).join(full.select("cls", "weight").hint("merge"), "cls")
+    links = group_links(stage(clustered, "clustered"), popularity, full.drop("weight"), _verified(steps, percent), block)
     found = stage(components(links), "components")
 
     numbered = reps.select("cls", "digest", "doc_id").join(found, F.col("cls") == F.col("node"), "left").select(
@@ -430,7 +443,7 @@ def near_duplicates(
 
 
 def _with_sets(rows: DataFrame, plan: Plan, size: int) -> DataFrame:
-    """``cls, signature, shingles`` from rows whose text has the digest of the class."""
+    """``cls, signature, shingles, weight`` (bytes of shingles) from rows whose text has the digest of the class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(plan)
@@ -445,7 +458,8 @@ def _with_sets(rows: DataFrame, plan: Plan, size: int) -> DataFrame:
                         sets.append(own.astype("<u8").tobytes())
             chosen = batch.column(0).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [chosen, pa.array(signatures, pa.binary()), pa.array(sets, pa.binary())], names=["cls", "signature", "shingles"]
+                [chosen, pa.array(signatures, pa.binary()), pa.array(sets, pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
+                names=["cls", "signature", "shingles", "weight"],
             )
 
-    return rows.select("cls", "digest", "text").mapInArrow(run, "cls bigint, signature binary, shingles binary")
+    return rows.select("cls", "digest", "text").mapInArrow(run, "cls bigint, signature binary, shingles binary, weight bigint")

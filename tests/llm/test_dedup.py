@@ -252,6 +252,7 @@ def test_rows_dealt_for_a_group_of_near_copies(spark, monkeypatch):
 def test_members_joined_by_no_pivot(spark, monkeypatch):
     """Chains and several clusters in one group, with pivots that join little."""
     monkeypatch.setattr(minhash, "PIVOTS", 1)
+    monkeypatch.setattr(minhash, "PIVOT_PARTS", 1)
     rng, rows = random.Random(7), []
     for cluster in range(3):
         text = [f"c{cluster}w{rng.randrange(10**6)}" for _ in range(120)] + [f"common{i}" for i in range(90)]
