@@ -67,3 +67,22 @@ def build(spark, folder, readings, *, observed=(), prices=(), device_rows=None):
 
 def tuples(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def executions(spark, job):
+    """What the session's status store has of the queries that ``job`` ran, and the store."""
+    store = spark._jsparkSession.sharedState().statusStore()
+
+    def listed():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        return store.executionsList()
+
+    found = listed()
+    last = found.apply(found.size() - 1).executionId() if found.size() else -1
+    job()
+    found, out = listed(), []
+    for i in reversed(range(found.size())):
+        if found.apply(i).executionId() <= last:
+            break
+        out.append(found.apply(i))
+    return out[::-1], store

@@ -4,7 +4,7 @@ import json
 import re
 
 import pytest
-from helpers import devices, iot, locations, tuples, utc
+from helpers import devices, executions, iot, locations, tuples, utc
 
 from hearth import sinks
 from hearth.plans import gold, ingest
@@ -138,12 +138,7 @@ def test_backfill_report(spark, root):
 
 def landing_scans(spark, job, *folders):
     """How often ``job`` scans each landing folder, by the executed plans of the session."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
-    job()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    seen = store.executionsList(int(before), int(store.executionsCount() - before))
-    plans = [seen.apply(i).physicalPlanDescription() for i in range(seen.size())]
+    plans = [one.physicalPlanDescription() for one in executions(spark, job)[0]]
     final = [re.split("== Initial Plan ==", plan)[0].split("\n\n\n")[-1] for plan in plans]
     return {f: sum(f"{f}]" in part for plan in final for part in re.findall(r"Location:.*", plan)) for f in folders}
 

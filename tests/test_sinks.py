@@ -1,7 +1,7 @@
 """Interval replacement and the other write modes."""
 
 import pytest
-from helpers import price, tuples, utc
+from helpers import executions, price, tuples, utc
 from pyspark.sql import functions as F
 
 from hearth import sinks
@@ -204,11 +204,8 @@ def test_touched_days_are_literals(spark, table):
 
 def rows_scanned(spark, df):
     """Rows that the file scans of ``df`` hand on, by the metrics of its run."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
-    df.write.format("noop").mode("overwrite").save()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    last = store.executionsList(int(before), 1).apply(0)
+    found, store = executions(spark, lambda: df.write.format("noop").mode("overwrite").save())
+    last = found[-1]
     values = store.executionMetrics(last.executionId())
     graph = store.planGraph(last.executionId()).allNodes()
     total = 0
