@@ -30,6 +30,8 @@ KNOWN_PART = 0.9
 POSSIBLE = 0.05
 # Texts of fewer different n-grams are too short to tell.
 LEAST_NGRAMS = 100
+# Rows of an Arrow batch that are judged, and handed on, at a time.
+PART_ROWS = 1000
 _ASCII_LETTER = re.compile(r"[A-Za-z]")
 
 # Digits, marks and control characters count as blanks, letters as lower case.
@@ -251,17 +253,20 @@ def identify(docs: DataFrame, model: LanguageModel, *, familiar: bool = False) -
     kept = docs.select(*[f"`{c}`" for c in names])
     place = [c.lower() for c in names].index("text")
 
+    def judged(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(place).cast(pa.string()).to_pylist()
+        if familiar:
+            keep = ~model.strange(texts)
+            batch, texts = batch.filter(pa.array(keep)), [t for t, k in zip(texts, keep, strict=True) if k]
+        found, scores = model.predict(texts)
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(place).cast(pa.string()).to_pylist()
-            if familiar:
-                keep = ~model.strange(texts)
-                batch, texts = batch.filter(pa.array(keep)), [t for t, k in zip(texts, keep, strict=True) if k]
-            found, scores = model.predict(texts)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                names=[*names, "lang_pred", "score"],
-            )
+            for begin in range(0, batch.num_rows, PART_ROWS):
+                yield judged(batch.slice(begin, PART_ROWS))
 
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
