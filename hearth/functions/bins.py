@@ -23,5 +23,5 @@ def bin_end(start: Column, width: float) -> Column:
 
 
 def half_floor(x: Column) -> Column:
-    """Largest multiple of one half that is not above ``x``."""
-    return F.floor(x * F.lit(2.0)) / F.lit(2.0)
+    """Largest multiple of one half that is not above ``x``; a zero keeps its sign."""
+    return F.when(x == F.lit(0.0), x).otherwise(F.floor(x * F.lit(2.0)) / F.lit(2.0))
