@@ -57,11 +57,9 @@ def hourly_wide_stream(
     )
 
 
-def dedup_stream(readings: DataFrame, delay: str) -> DataFrame:
-    """Drops repeated deliveries of one state change."""
-    return readings.withWatermark("last_changed", delay).dropDuplicatesWithinWatermark(
-        ["entity_id", "last_changed"]
-    )
+def dedup_stream(readings: DataFrame, delay: str, keys: Sequence[str] = ("entity_id", "last_changed")) -> DataFrame:
+    """Drops repeated deliveries of one state change; ``keys`` tell state changes apart."""
+    return readings.withWatermark("last_changed", delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def last_state_stream(observations: DataFrame, delay: str, value: str = "condition_state") -> DataFrame:

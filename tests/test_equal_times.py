@@ -33,3 +33,7 @@ def check(spark, folder, name):
 
 def test_k3_replace_range(spark, collided):
     check(spark, collided, "k3_replace_range")
+
+
+def test_x3_dedup(spark, collided):
+    check(spark, collided, "x3_dedup")
