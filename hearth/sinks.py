@@ -274,8 +274,9 @@ def clear_range(spark: SparkSession, table: str, schema: T.StructType, ts: str,
 def upsert_rows(df: DataFrame, table: str, ts: str, keys: Sequence[str]) -> None:
     """Insert rows, replacing stored ones with the same ``keys``.
 
-    Of several versions of a key within the batch the newest counts. Reads and
-    rewrites only the days the batch touches; ``keys`` must determine ``ts``.
+    Of several versions of a key within the batch the newest counts; NULL is a value
+    of a key. Reads and rewrites only the days the batch touches; ``keys`` must
+    determine ``ts``.
     """
     spark, staging = df.sparkSession, _new_staging(table)
     try:
@@ -285,7 +286,9 @@ def upsert_rows(df: DataFrame, table: str, ts: str, keys: Sequence[str]) -> None
             return
         _finish_pending(spark, table)
         current = read_days(spark, table, new.schema).filter(on_days(days))
-        kept = current.join(new.select(*keys), list(keys), "left_anti")
+        given = new.select(*[F.col(key).alias(f"_given_{i}") for i, key in enumerate(keys)])
+        same = [current[key].eqNullSafe(given[f"_given_{i}"]) for i, key in enumerate(keys)]
+        kept = current.join(given, same, "left_anti")
         path = f"{staging}/new-days"
         content = _staged(kept.select(*new.columns).unionByName(new), path)
         # every touched day has at least the new rows, so none can end up empty

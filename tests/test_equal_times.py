@@ -37,3 +37,7 @@ def test_k3_replace_range(spark, collided):
 
 def test_x3_dedup(spark, collided):
     check(spark, collided, "x3_dedup")
+
+
+def test_x3_late_rows(spark, collided):
+    check(spark, collided, "x3_late_rows")

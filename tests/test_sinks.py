@@ -236,3 +236,10 @@ def test_bloom_filters_skip_row_groups_that_min_and_max_do_not(spark, folder):
         present = stored.orderBy("entity_id").first()["entity_id"]
         assert stored.filter(F.col("entity_id") == present).count() == 1
     assert found["plain"] == 200_000 and found["bloom"] == 0
+
+
+def test_upsert_of_null_keys(spark, folder):
+    rows = price(spark, [("2025-01-02 12:00:00", 1)]).withColumn("currency", F.lit(None).cast("string"))
+    for _ in range(2):
+        sinks.upsert_rows(rows, folder, "ts_utc", ["zone", "ts_utc", "currency"])
+    assert [p for _, p in stored(spark, folder)] == [1.0]
