@@ -286,6 +286,9 @@ def upsert_rows(df: DataFrame, table: str, ts: str, keys: Sequence[str]) -> None
             return
         _finish_pending(spark, table)
         current = read_days(spark, table, new.schema).filter(on_days(days))
+        if current.isEmpty():  # the staged rows are the whole of their days
+            _put_days(current, new, f"{staging}/new-rows", table, F.lit(False))
+            return
         given = new.select(*[F.col(key).alias(f"_given_{i}") for i, key in enumerate(keys)])
         same = [current[key].eqNullSafe(given[f"_given_{i}"]) for i, key in enumerate(keys)]
         kept = current.join(given, same, "left_anti")

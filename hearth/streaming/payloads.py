@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..paths import delete
@@ -38,7 +38,8 @@ def payload_sink(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function from documents to the day-partitioned ``table`` of their kind.
 
-    A batch is parsed once, by the write that stages it. Rows of good documents replace
+    A batch is parsed once, by the write that stages it, and its rows are taken out of
+    the parsed documents once, by the write that stages them for the table. Rows of good documents replace
     stored rows of their ``keys``; of several versions in a batch the newest counts. What
     fits nowhere goes to a folder of the batch below ``quarantine``: ``documents`` that are
     broken and rows that are ``untimed``. One broken document does not hold up the rest of
@@ -56,10 +57,11 @@ def payload_sink(
             if told["broken"]:
                 staged.filter("is_broken").select("value").write.parquet(f"{folder}/documents")
             rows = keep(payload_rows(staged.filter("NOT is_broken").select("payload"), kind, zone=zone))
-            untimed = rows.filter(F.col(ts).isNull())
-            if not untimed.isEmpty():
-                untimed.write.parquet(f"{folder}/untimed")
-            upsert_rows(rows.filter(F.col(ts).isNotNull()), table, ts, keys)
+            untimed, seen = F.col(ts).isNull(), Observation()
+            observed = rows.observe(seen, F.count_if(untimed).alias("untimed"))
+            upsert_rows(observed.filter(~untimed), table, ts, keys)
+            if seen.get["untimed"]:
+                rows.filter(untimed).write.parquet(f"{folder}/untimed")
 
     return write
 

@@ -243,3 +243,12 @@ def test_upsert_of_null_keys(spark, folder):
     for _ in range(2):
         sinks.upsert_rows(rows, folder, "ts_utc", ["zone", "ts_utc", "currency"])
     assert [p for _, p in stored(spark, folder)] == [1.0]
+
+
+def test_a_first_upsert_stages_its_rows_once(spark, folder, monkeypatch):
+    paths, staged = [], sinks._staged
+    monkeypatch.setattr(sinks, "_staged", lambda df, path: paths.append(path) or staged(df, path))
+    sinks.upsert_rows(price(spark, [("2025-01-02 12:00:00", 1)]), folder, "ts_utc", ["zone", "ts_utc"])
+    assert len(paths) == 1
+    sinks.upsert_rows(price(spark, [("2025-01-02 12:00:00", 2), ("2025-01-02 13:00:00", 3)]), folder, "ts_utc", ["zone", "ts_utc"])
+    assert [p for _, p in stored(spark, folder)] == [2.0, 3.0]
