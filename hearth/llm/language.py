@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import bound_batches
 from .common import text_of
 from .features import Characters, held_out, sampled, text_blocks, vector_sum
 
@@ -249,6 +250,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, familiar: bool = False) -
 
     With ``familiar``, rows whose text is strange to the model are left out.
     """
+    bound_batches(docs.sparkSession)
     names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     kept = docs.select(*[f"`{c}`" for c in names])
     place = [c.lower() for c in names].index("text")

@@ -10,6 +10,10 @@ from pyspark.sql import SparkSession
 SESSION_ZONE = "UTC"
 LOCAL_ZONE = "Europe/Tallinn"
 
+# Bytes of rows that go to a Python worker at a time, unless the session has set its own bound.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -20,6 +24,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by their bytes too: 10,000 rows of long texts are far more than a worker needs at once."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors all reach.
 
