@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from .bpe import counts_of, encoder
 from .common import stage, text_of
 
@@ -38,6 +39,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, *, limit: int = LI
     from it. A run that dies leaves whole files of the cache, which stay right.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     version = tokenizer_version(tokenizer)
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)
     texts = docs.select("doc_id", text_of(docs).alias("text")).withColumn(
