@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -11,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from ..session import bound_batches
 
 BLOCK_CHARS = 1 << 19
-FAN_IN = 64
+# Vectors are added up in pieces of so many counts, by so many tasks.
+PIECE = 1 << 10
+SUM_TASKS = 64
 _MULTIPLIERS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)]
 
 
@@ -95,30 +96,37 @@ def text_blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 def vector_sum(df: DataFrame, local: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
     """Sum of a fixed-size vector of counts over all rows of ``df``.
 
-    Each task adds up its rows and gives one vector; levels of ``FAN_IN`` vectors
-    a task add those up, until one is left for the driver.
+    Each task adds up its rows and gives one vector, cut into pieces of
+    ``PIECE`` counts; the pieces of one place meet in one of ``SUM_TASKS`` tasks.
+    No files are written: without Hadoop's native library an executor starts a
+    process for each, which for a moment shows the executor's memory a second time.
     """
+    bound_batches(df.sparkSession)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             total += local(batch)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["vector"])
+        places = range(0, size, PIECE)
+        pieces = [total[at : at + PIECE].tobytes() for at in places]
+        yield pa.RecordBatch.from_arrays([pa.array(list(places), pa.int64()), pa.array(pieces, pa.binary())], names=["place", "piece"])
 
     def further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, dtype=np.int64)
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for one in batch.column(0).to_pylist():
-                total += np.frombuffer(one, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["vector"])
-
-    vectors = stage(df.mapInArrow(first, "vector binary"), "vectors")
-    n = vectors.count()
-    while n > FAN_IN:
-        n = math.ceil(n / FAN_IN)
-        vectors = stage(vectors.coalesce(n).mapInArrow(further, "vector binary"), "vectors")
-    rows = vectors.coalesce(1).mapInArrow(further, "vector binary").collect()
-    return np.frombuffer(rows[0][0], dtype=np.int64) if rows else np.zeros(size, dtype=np.int64)
+            for at, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = np.frombuffer(piece, dtype=np.int64)
+                totals[at] = totals[at] + counts if at in totals else counts
+        pieces = [total.tobytes() for total in totals.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(pieces, pa.binary())], names=["place", "piece"])
+
+    kind = "place long, piece binary"
+    pieces = df.mapInArrow(first, kind).repartition(SUM_TASKS, "place").mapInArrow(further, kind)
+    out = np.zeros(size, dtype=np.int64)
+    for at, piece in pieces.collect():
+        counts = np.frombuffer(piece, dtype=np.int64)
+        out[at : at + len(counts)] = counts
+    return out
 
 
 def sampled(key: str, fraction) -> object:
